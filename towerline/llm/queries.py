@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, line_dedup, substring_dedup, suffix_dedup
-from .common import read
+from . import bpe, factor_machine, jaccard_join, langid, line_dedup, mixing, permutation_index, perplexity, substring_dedup, suffix_dedup
+from .common import crc_mod, read
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -21,31 +21,75 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.search(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    langs, scorer = langid.fit(docs.filter(~held_out))
+    return langid.predict(docs, langs, scorer, extra={"held_out": held_out})
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeated_passages(read(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.judge_documents(read(spark, sf_dir, "documents"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup.remove_repeated_bytes(read(spark, sf_dir, "documents"), keep="none")
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def label_domain():
+    """Domains of the labelled table: junk, toxic, clean."""
+    return F.when(F.col("quality") == 0, "junk").when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "clean")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    return mixing.mix(docs, labels, label_domain())
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = line_dedup.drop_common_lines(docs, stats=True)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.tokenize(read(spark, sf_dir, "documents"), vocabulary()))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    labels = read(spark, sf_dir, "labels").filter(~held_out).select("doc_id", F.col("quality").alias("label"))
+    machine = factor_machine.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+    out = factor_machine.predict(docs, machine)
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_permutation_index": op1_permutation_index,
+    "op2_language_id": op2_language_id,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_quality_rules": op4_quality_rules,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_mixing": op6_mixing,
     "op7_line_dedup": op7_line_dedup,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_bpe": op9_bpe,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
