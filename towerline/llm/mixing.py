@@ -37,6 +37,8 @@ ITERATIONS = 40
 TOLERANCE = 1e-7
 MOST_DOMAINS = 64
 LEAST_DOCS = 5
+#: A sign enters the vocabulary if some domain holds it so many times as often as all do.
+TELLING = 2.0
 
 
 def tokens(text: Column) -> Column:
@@ -72,21 +74,31 @@ class Domains:
     prior: list[float]
     by_token: list[list[float]]
 
-    def posterior(self, found: Column) -> Column:
-        """found: the signs of a text -> array of a probability for each domain."""
-        if len(self.names) < 2 or not self.vocabulary:
-            total = sum(math.exp(p) for p in self.prior)
-            return F.array(*[F.lit(math.exp(p) / total) for p in self.prior])
+    def places(self, found: Column) -> Column:
+        """Places in the vocabulary of a text's signs, from 1."""
+        if not self.vocabulary:
+            return F.array().cast("array<int>")
         known = F.array(*map(F.lit, self.vocabulary))
-        at = F.transform(F.array_intersect(known, found), lambda t: F.array_position(known, t).cast("int"))
+        return F.transform(F.array_intersect(known, found), lambda t: F.array_position(known, t).cast("int"))
+
+    def with_posterior(self, rows: DataFrame, places: str, name: str) -> DataFrame:
+        """rows with an array of a probability for each domain instead of the places.
+
+        The steps are selects of their own, so that none is worked out more than once."""
+        held = [c for c in rows.columns if c != places]
+        keep = [F.col(f"`{c}`") for c in held]
 
         def score(k: int) -> Column:
-            weights = F.array(*[F.lit(float(t[k])) for t in self.by_token])
-            return F.aggregate(at, F.lit(float(self.prior[k])), lambda s, i: s + F.element_at(weights, i))
+            weights = F.array(*[F.lit(float(t[k])) for t in self.by_token]) if self.by_token else F.array(F.lit(0.0))
+            return F.aggregate(F.col(places), F.lit(float(self.prior[k])), lambda s, i: s + F.element_at(weights, i))
 
-        raw = F.array(*[score(k) for k in range(len(self.names))])
-        weight = F.transform(raw, lambda x: F.exp(x - F.array_max(raw)))
-        return F.transform(weight, lambda x: x / F.aggregate(weight, F.lit(0.0), lambda a, b: a + b))
+        ks = range(len(self.names))
+        rows = rows.select(*keep, *[score(k).alias(f"__s{k}") for k in ks])
+        top = F.array_max(F.array(*[F.col(f"__s{k}") for k in ks]))
+        rows = rows.select(*keep, *[F.col(f"__s{k}") for k in ks], top.alias("__top"))
+        rows = rows.select(*keep, *[F.exp(F.col(f"__s{k}") - F.col("__top")).alias(f"__e{k}") for k in ks])
+        total = sum((F.col(f"__e{k}") for k in ks), F.lit(0.0))
+        return rows.select(*keep, *[F.col(f"__e{k}") for k in ks], total.alias("__sum")).select(*keep, F.array(*[F.col(f"__e{k}") / F.col("__sum") for k in ks]).alias(name))
 
 
 def fit_domains(documents: DataFrame, labels: DataFrame, domain: Column, *, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY) -> Domains:
@@ -106,9 +118,10 @@ def fit_domains(documents: DataFrame, labels: DataFrame, domain: Column, *, id_c
     counts = rows.select("domain", F.explode("signs").alias("sign")).groupBy("sign").agg(*[F.count_if(F.col("domain") == k).cast("double").alias(f"n{i}") for i, k in enumerate(names)])
     share = [(F.col(f"n{i}") + 0.5) / (n[i] + 1.0) for i in range(len(names))]
     overall = (sum((F.col(f"n{i}") for i in range(len(names))), F.lit(0.0)) + 0.5) / (sum(n) + 1.0)
-    tells = sum((F.abs(F.ln(s / overall)) * F.least(s, F.lit(0.5)) for s in share), F.lit(0.0))
+    more = [F.ln(s / overall) for s in share]
+    tells = F.array_max(F.array(*[F.when(m >= math.log(TELLING), m * s).otherwise(0.0) for m, s in zip(more, share, strict=True)]))
     seen = sum((F.col(f"n{i}") for i in range(len(names))), F.lit(0.0))
-    best = counts.filter(seen >= LEAST_DOCS).orderBy(tells.desc(), "sign").limit(vocabulary).collect()
+    best = counts.withColumn("tells", tells).filter((seen >= LEAST_DOCS) & (F.col("tells") > 0)).orderBy(F.desc("tells"), "sign").limit(vocabulary).collect()
     prior = [math.log(x / sum(n)) for x in n]
     weights = []
     for r in best:
@@ -126,14 +139,14 @@ def rate(posterior: Column, step: list[float], max_rate: float | None) -> Column
 
 
 def fit_rates(table: DataFrame, targets: list[float], *, max_rate: float | None = None, iterations: int = ITERATIONS) -> list[float]:
-    """table: (n_tokens, posterior) -> the accumulated step of each domain."""
+    """table: (__tokens, __posterior) -> the accumulated step of each domain."""
     k = len(targets)
     goal, step = np.array(targets, float), np.zeros(k)
     scale = max(goal.sum(), 1.0)
-    t, p = F.col("n_tokens").cast("double"), [F.element_at("posterior", i + 1) for i in range(k)]
+    t, p = F.col("__tokens").cast("double"), [F.element_at("__posterior", i + 1) for i in range(k)]
     best, best_gap = step, math.inf
     for _ in range(iterations):
-        r = rate(F.col("posterior"), list(step), max_rate)
+        r = rate(F.col("__posterior"), list(step), max_rate)
         free = (r > 0) if max_rate is None else (r > 0) & (r < max_rate)
         move = F.when(free, t).otherwise(t * 1e-3)
         got = (
@@ -155,19 +168,19 @@ def fit_rates(table: DataFrame, targets: list[float], *, max_rate: float | None
     return [float(x) for x in best]
 
 
-def memberships(documents: DataFrame, domains: Domains, *, text_col: str = "text", columns: list[Column]) -> DataFrame:
-    """The columns, n_tokens and posterior of each document."""
+def memberships(documents: DataFrame, domains: Domains, *, text_col: str = "text", columns: dict[str, Column]) -> DataFrame:
+    """The columns, __tokens (their number) and __posterior of each document."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return documents.select(*columns, tokens(text).alias("__w"), text.alias("__t")).select(
-        *[F.col(f"`{c}`") for c in documents.select(*columns).columns],
-        F.size("__w").cast("long").alias("n_tokens"),
-        domains.posterior(signs(F.col("__t"), F.col("__w"))).alias("posterior"),
-    )
+    held = [F.col(f"`{c}`") for c in columns]
+    rows = documents.select(*[c.alias(k) for k, c in columns.items()], tokens(text).alias("__w"), text.alias("__t"))
+    rows = rows.select(*held, F.size("__w").cast("long").alias("__tokens"), signs(F.col("__t"), F.col("__w")).alias("__signs"))
+    rows = rows.select(*held, "__tokens", domains.places(F.col("__signs")).alias("__at"))
+    return domains.with_posterior(rows, "__at", "__posterior")
 
 
 def even_targets(table: DataFrame, k: int, power: float = 0.5) -> list[float]:
     """Shares in proportion to a power of the expected shares, with the same total."""
-    got = table.agg(*[F.sum(F.col("n_tokens") * F.element_at("posterior", i + 1)).alias(f"s{i}") for i in range(k)]).first()
+    got = table.agg(*[F.sum(F.col("__tokens") * F.element_at("__posterior", i + 1)).alias(f"s{i}") for i in range(k)]).first()
     now = np.array([got[f"s{i}"] or 0.0 for i in range(k)])
     flat = now**power
     return list(flat / max(flat.sum(), 1e-12) * now.sum())
@@ -182,13 +195,15 @@ def mix(documents: DataFrame, labels: DataFrame, domain: Column, *, targets: dic
 
     targets: tokens wanted of each domain (default: :func:`even_targets`)."""
     domains = fit_domains(documents, labels, domain, id_col=id_col, text_col=text_col)
-    table = durable(memberships(documents, domains, text_col=text_col, columns=[F.col(id_col).alias("doc_id"), hash_unit(F.col(id_col), F.col(text_col), seed=66).alias("u")]))
+    u = hash_unit(F.col(id_col), F.col(text_col), seed=66)
+    table = durable(memberships(documents, domains, text_col=text_col, columns={"doc_id": F.col(id_col), "u": u}))
     goal = even_targets(table, len(domains.names)) if targets is None else [targets.get(k, 0.0) for k in domains.names]
     step = fit_rates(table, goal, max_rate=max_rate)
     names = F.array(*map(F.lit, domains.names))
-    top = F.element_at(names, F.array_position("posterior", F.array_max("posterior")).cast("int"))
-    return table.withColumn("rate", F.when(F.col("n_tokens") == 0, 1.0).otherwise(rate(F.col("posterior"), step, max_rate))).select(
-        "doc_id", "n_tokens", top.alias("domain"), "posterior", "rate", F.floor(F.col("rate") + F.col("u")).cast("int").alias("copies")
+    top = F.element_at(names, F.array_position("__posterior", F.array_max("__posterior")).cast("int"))
+    fitted = F.when(F.col("__tokens") == 0, 1.0).otherwise(rate(F.col("__posterior"), step, max_rate))
+    return table.withColumn("rate", fitted).select(
+        "doc_id", F.col("__tokens").alias("n_tokens"), top.alias("domain"), F.col("__posterior").alias("posterior"), "rate", F.floor(F.col("rate") + F.col("u")).cast("int").alias("copies")
     )
 
 
@@ -196,11 +211,10 @@ def resample(documents: DataFrame, labels: DataFrame, domain: Column, *, keep: d
     """The documents with all their columns, thinned so that each domain named in ``keep``
     holds that part of its expected tokens and others stay whole (no rate above 1)."""
     domains = fit_domains(documents, labels, domain, id_col=id_col, text_col=text_col)
-    table = durable(memberships(documents, domains, text_col=text_col, columns=[F.lit(0).alias("x")]).drop("x"))
+    table = durable(memberships(documents, domains, text_col=text_col, columns={}))
     now = even_targets(table, len(domains.names), 1.0)
     goal = [n * keep.get(k, 1.0) for k, n in zip(domains.names, now, strict=True)]
     step = fit_rates(table, goal, max_rate=1.0)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    words = tokens(text)
-    r = F.when(F.size(words) == 0, 1.0).otherwise(rate(domains.posterior(signs(text, words)), step, 1.0))
-    return documents.filter(copies(r, F.col(id_col), F.col(text_col)) >= 1)
+    rows = memberships(documents, domains, text_col=text_col, columns={c: F.col(f"`{c}`") for c in documents.columns})
+    r = F.when(F.col("__tokens") == 0, 1.0).otherwise(rate(F.col("__posterior"), step, 1.0))
+    return rows.filter(copies(r, F.col(id_col), F.col(text_col)) >= 1).select(*[F.col(f"`{c}`") for c in documents.columns])
