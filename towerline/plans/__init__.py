@@ -1 +1,6 @@
+"""Registered queries of the operators, each with its oracle where SQL has one."""
 
+from . import gold, quality  # noqa: F401
+from .registry import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]
