@@ -143,7 +143,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "label"
     total = rows.count()
     if total > sample_rows:
         rows = rows.filter(hash_unit(F.col("id"), seed=10) < sample_rows / total)
-    got = rows.select("label", "text", "id").mapInArrow(_extract(buckets), "label int, f binary, x binary, s binary").toPandas()
+    got = rows.select("label", "text", "id").mapInArrow(_extract(buckets), "label int, f binary, x binary, s binary").toArrow().to_pandas()
     if not len(got):
         return None
     got = got.sort_values(["s", "label"], kind="stable")

@@ -19,9 +19,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import U, chunks
+from .bytetext import chunks
 from .common import hash_unit
-from .ngrams import Scorer, counter, keys, partial_matching
+from .ngrams import Scorer, by_group, counter, keys, partial_matching
 
 
 def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", order: int = 4, sample_bytes: int = 2_000_000) -> tuple[list[str], Scorer]:
@@ -29,13 +29,11 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     sizes = rows.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes"))
     share = F.least(F.lit(1.0), F.lit(float(sample_bytes)) / F.greatest(F.col("bytes"), F.lit(1)))
     chosen = rows.join(F.broadcast(sizes), "lang").filter(hash_unit(F.col("id"), seed=2) < share).select("lang", "text")
-    counts = chosen.mapInArrow(counter(order), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+    counts = chosen.mapInArrow(counter(order), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     langs, models = [], []
-    for lang, part in sorted(counts.groupby("lang"), key=lambda x: x[0]):
-        g, n = part["gram"].to_numpy().view(U), part["n"].to_numpy()
-        o = np.argsort(g)
+    for lang, grams, n in by_group(counts):
         langs.append(lang)
-        models.append(partial_matching(g[o], n[o], order))
+        models.append(partial_matching(grams, n, order))
     return langs, Scorer(models, order)
 
 

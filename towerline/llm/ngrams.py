@@ -78,7 +78,7 @@ class SortedHash:
     def __init__(self, k: np.ndarray):
         self.bits = max(int(np.ceil(np.log2(max(len(k), 1)))) + 1, 1)
         h = mix(k.astype(U))
-        self.order = np.argsort(h)
+        self.order = np.argsort(h, kind="stable")
         self.hashes = np.append(h[self.order], ~U(0))
         edges = np.arange((1 << self.bits) + 1, dtype=U)
         bucket = self.hashes[:-1] >> U(64 - self.bits)
@@ -207,6 +207,17 @@ def kneser_ney(grams: np.ndarray, counts: np.ndarray, order: int) -> Model:
     return Model(tables, -np.log(256.0))
 
 
+def by_group(table: pa.Table, group: str = "lang") -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+    """(group, grams in ascending order, counts) of a counted table, groups in order."""
+    names = np.asarray(table.column(group).combine_chunks().dictionary_encode().dictionary)
+    code = table.column(group).combine_chunks().dictionary_encode().indices.to_numpy()
+    grams, n = table.column("gram").to_numpy().view(U), table.column("n").to_numpy()
+    for i in np.argsort(names.astype(str)):
+        at = np.flatnonzero(code == i)
+        at = at[np.argsort(grams[at])]
+        yield str(names[i]), grams[at], n[at]
+
+
 class Scorer:
     """Log probabilities under several models at once: the known n-grams of all models sit
     in one sorted hash array with a column for each model; others are worked out."""
@@ -217,17 +228,35 @@ class Scorer:
         self.table = SortedHash(known)
         self.values = np.stack([m.logp(known) for m in models], 1).astype(np.float32)[self.table.order] if models else np.zeros((0, 0), np.float32)
 
-    def __call__(self, k: np.ndarray, columns: np.ndarray | None = None) -> np.ndarray:
-        """(len(k), models), or with columns the value of one model for each key."""
+    def __call__(self, k: np.ndarray) -> np.ndarray:
+        """(len(k), models)."""
         at = self.table.find(k)
         miss = np.flatnonzero(at < 0)
-        if columns is None:
-            out = self.values[at]
-            for j, m in enumerate(self.models):
-                out[miss, j] = m.logp(k[miss])
-            return out
-        out = self.values[at, columns]
+        out = self.values[at]
         for j, m in enumerate(self.models):
-            i = miss[columns[miss] == j]
-            out[i] = m.logp(k[i])
+            out[miss, j] = m.logp(k[miss])
+        return out
+
+
+class OwnScorer:
+    """Log probabilities of each n-gram under one chosen model: the n-grams of all models
+    sit in one sorted hash array, each marked with its model."""
+
+    def __init__(self, models: list[Model], order: int):
+        self.models, self.order = models, order
+        tops = [m.orders[order - 1] for m in models]
+        known = np.concatenate([self._marked(t.grams, np.full(len(t.grams), j)) for j, t in enumerate(tops)]) if models else np.zeros(0, U)
+        self.table = SortedHash(known)
+        self.values = (np.concatenate([t.logp for t in tops]).astype(np.float32) if models else np.zeros(1, np.float32))[self.table.order]
+
+    def _marked(self, k: np.ndarray, model: np.ndarray) -> np.ndarray:
+        return k + (model.astype(U) << U(8 * self.order))
+
+    def __call__(self, k: np.ndarray, model: np.ndarray) -> np.ndarray:
+        at = self.table.find(self._marked(k, model))
+        out = self.values[at]
+        miss = np.flatnonzero(at < 0)
+        for j in np.unique(model[miss]):
+            i = miss[model[miss] == j]
+            out[i] = self.models[j].logp(k[i])
         return out

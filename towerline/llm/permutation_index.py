@@ -98,7 +98,7 @@ def prepare(embeddings: DataFrame, id_col: str, vec_col: str) -> DataFrame:
 
 
 def fit(vectors: DataFrame, *, k: int = 10, sample: int = SAMPLE, pivots: int = PIVOTS, prefix: int = PREFIX, goal: float = RECALL_GOAL) -> PermutationIndex | None:
-    got = vectors.orderBy(F.xxhash64("id"), "id", "vec").limit(sample).toPandas()
+    got = vectors.orderBy(F.xxhash64("id"), "id", "vec").limit(sample).toArrow().to_pandas()
     if not len(got):
         return None
     x = np.stack(got["vec"].to_numpy())
