@@ -123,10 +123,10 @@ def sums_sql(granularity: str) -> str:
             + ", sum(prb_pct) AS prb_sum, count(prb_pct) AS prb_n, count(unavail_s) AS unavail_n, count(*) FILTER (WHERE reported) AS periods_reported, count(*) FILTER (WHERE reported AND suspect) AS periods_suspect FROM wide GROUP BY 1, 2)")
 
 
-def kpi_sql(keys, granularity: str, minutes: int = 15) -> str:
+def kpi_sql(keys, granularity: str, minutes: int = 15, digits: int = 4) -> str:
     n = EXPECTED[granularity] * 15 // minutes
     return " UNION ALL ".join(
-        f"SELECT cell_name, period, vendor, '{k}' AS kpi_id, {ver} AS formula_version, round({FORMULA[k, ver]}, 4) AS value, {n} AS periods_expected, periods_reported, round(periods_reported / {n}.0, 4) AS coverage, round(periods_suspect / nullif(periods_reported, 0), 4) AS suspect_share FROM agg WHERE {NEEDS.get(k, 'true')}"
+        f"SELECT cell_name, period, vendor, '{k}' AS kpi_id, {ver} AS formula_version, round({FORMULA[k, ver]}, {digits}) AS value, {n} AS periods_expected, periods_reported, round(periods_reported / {n}.0, 4) AS coverage, round(periods_suspect / nullif(periods_reported, 0), 4) AS suspect_share FROM agg WHERE {NEEDS.get(k, 'true')}"
         for k, ver in keys)
 
 
@@ -175,13 +175,13 @@ register("d31_reprocess_window", lambda v: rounded(_reprocessed(v).groupBy("peri
 
 
 def worst(v: Views, n: int = 1, floor: float = 0.0):
-    days = kpis.kpi_table(v.wide(), "GSM", "day").withColumnRenamed("period", "day")
+    days = kpis.kpi_table(v.wide(), "GSM", "day").withColumnRenamed("period", "day").withColumn("value", F.round("value", 9))
     weeks = kpis.kpi_table(v.wide(), "GSM", "week").withColumnRenamed("period", "week_start")
     return kpis.worst_cells_week(days, weeks, kpis.kpi_catalog(v.spark), persistence_n=n, min_coverage=floor)
 
 
 _GSM = [(k, ver) for k, ver in FORMULA if k.startswith("GSM")]
-WORST = (f"{sums_sql('day').replace('agg AS', 'aggd AS', 1)}, {sums_sql('week').replace('agg AS', 'aggw AS', 1)}, dk AS ({kpi_sql(_GSM, 'day').replace('FROM agg', 'FROM aggd')}), wk AS ({kpi_sql(_GSM, 'week').replace('FROM agg', 'FROM aggw')}), "
+WORST = (f"{sums_sql('day').replace('agg AS', 'aggd AS', 1)}, {sums_sql('week').replace('agg AS', 'aggw AS', 1)}, dk AS ({kpi_sql(_GSM, 'day', digits=9).replace('FROM agg', 'FROM aggd')}), wk AS ({kpi_sql(_GSM, 'week', digits=9).replace('FROM agg', 'FROM aggw')}), "
          "cat AS (SELECT unnest(['GSM_SAS', 'GSM_HOSR', 'GSM_CSSR', 'GSM_ABN_REL', 'GSM_TCH_BLOCK', 'GSM_SDCCH_BLOCK', 'GSM_SDCCH_DROP']) AS kpi_id, unnest([95.0, 95.0, 95.0, 2.0, 2.0, 2.0, 2.0])::DOUBLE AS lim, unnest([true, true, true, false, false, false, false]) AS up), "
          "cnt AS (SELECT date_trunc('week', d.period)::DATE AS week_start, kpi_id, cell_name, up, lim, count(*) AS days_judged, count(*) FILTER (WHERE CASE WHEN up THEN value < lim ELSE value > lim END) AS breach_days FROM dk d JOIN cat USING (kpi_id) WHERE value IS NOT NULL GROUP BY ALL), "
          "worst AS (SELECT c.week_start, c.kpi_id, c.cell_name, c.days_judged, c.breach_days, w.value AS week_value, row_number() OVER (PARTITION BY c.week_start, c.kpi_id ORDER BY breach_days DESC, CASE WHEN up THEN lim - w.value ELSE w.value - lim END DESC NULLS LAST, c.cell_name) AS rank FROM cnt c LEFT JOIN wk w ON w.cell_name = c.cell_name AND w.kpi_id = c.kpi_id AND w.period = c.week_start WHERE breach_days >= 1)")
@@ -211,3 +211,31 @@ register("d42_ratio_of_sums", lambda v: network.ratio_of_sums_check(kpis.kpi_tab
          with_views("wide", body=f", {sums_sql('week')}, k AS ({kpi_sql([(k, ver) for k, ver in _GSM if k not in ('GSM_SAS', 'GSM_CSSR')], 'week')}) SELECT kpi_id, count(*) AS compared, count(*) AS equal FROM k GROUP BY 1"))
 register("d43_version_diff", lambda v: network.version_diff(kpis.kpi_table(v.wide(), "LTE", "day", versions={"LTE_RRC_SSR": [1, 2]}), "LTE_RRC_SSR"),
          with_views("wide", body=f", {sums_sql('day')} SELECT count(*) AS pairs, 0::BIGINT AS new_above_old, count(*) FILTER (WHERE rrc_succ > 0) AS new_below_old FROM agg"))
+
+
+def _touched_week(v: Views):
+    from datetime import date
+
+    from ..functions.clock import window_of
+
+    w = window_of(date(1996, 3, 3), date(1996, 3, 4))
+    rows = v.wide().filter((F.col("period_start") >= F.lit(w["week_lo"])) & (F.col("period_start") < F.lit(w["week_hi"])))
+    return rows.groupBy(bucket(F.col("period_start"), "week").alias("week")).agg(F.count("*").alias("rows"))
+
+
+register("d07_touched_weeks", _touched_week, with_views("wide", body="SELECT date_trunc('week', (period_start + INTERVAL 7 HOUR)::DATE)::DATE AS week, count(*) AS rows FROM wide WHERE period_start >= TIMESTAMP '1996-02-25 17:00:00' AND period_start < TIMESTAMP '1996-03-10 17:00:00' GROUP BY 1"))
+register("d09_kpi_parts", lambda v: rounded(kpis.kpi_table(v.wide(), "GSM", "day", only="GSM_TCH_BLOCK").select("cell_name", "period", "numerator", "denominator", "periods_expected"), 4), with_views("wide", body=f", {sums_sql('day')} SELECT cell_name, period, round(tch_blocked, 4) AS numerator, round(tch_req, 4) AS denominator, 96 AS periods_expected FROM agg"))
+
+
+def _window_upsert(v: Views):
+    from ..operators.quality import upsert
+
+    day = F.col("period")
+    old = kpis.kpi_table(v.wide(), "GSM", "day", only="GSM_HOSR").withColumn("value", F.lit(-1.0))
+    new = kpis.kpi_table(v.wide(), "GSM", "day", only="GSM_HOSR").filter(day.between("1996-01-01", "1996-03-31"))
+    return upsert(old, new, ["cell_name", "period", "kpi_id", "formula_version"], day.between("1996-01-01", "1996-03-31"))
+
+
+register("d32_kpi_upsert_window", lambda v: rounded(_window_upsert(v).select("cell_name", "period", "value"), 4), with_views("wide", body=f", {sums_sql('day')} SELECT cell_name, period, CASE WHEN period BETWEEN DATE '1996-01-01' AND DATE '1996-03-31' THEN round(100 * ho_succ / nullif(ho_att, 0), 4) ELSE -1.0 END AS value FROM agg WHERE ho_att IS NOT NULL"))
+register("d44_periods_expected", lambda v: kpis.kpi_table(v.wide(), "LTE_CQI", "week", minutes=60).groupBy("periods_expected").agg(F.count("*").alias("rows")), with_views("wide", body=f", {sums_sql('week')} SELECT 168 AS periods_expected, count(*) AS rows FROM agg"))
+register("d45_accessibility_day", lambda v: rounded(kpis.kpi_table(v.wide(), "LTE", "day", only="LTE_RRC_SSR", versions={"LTE_RRC_SSR": [1, 2]}).groupBy("period", "formula_version").agg(F.count("*").alias("cells"), F.min("value").alias("least")), 6), with_views("wide", body=f", {sums_sql('day')}, k AS ({kpi_sql([('LTE_RRC_SSR', 1), ('LTE_RRC_SSR', 2)], 'day', digits=9)}) SELECT period, formula_version, count(*) AS cells, round(min(value), 6) AS least FROM k GROUP BY 1, 2"))
