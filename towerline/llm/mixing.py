@@ -39,6 +39,8 @@ MOST_DOMAINS = 64
 LEAST_DOCS = 5
 #: A sign enters the vocabulary if some domain holds it so many times as often as all do.
 TELLING = 2.0
+#: ... and by so many standard deviations more often than if it were spread evenly.
+SIGNIFICANT = 6.0
 
 
 def tokens(text: Column) -> Column:
@@ -98,7 +100,9 @@ class Domains:
         rows = rows.select(*keep, *[F.col(f"__s{k}") for k in ks], top.alias("__top"))
         rows = rows.select(*keep, *[F.exp(F.col(f"__s{k}") - F.col("__top")).alias(f"__e{k}") for k in ks])
         total = sum((F.col(f"__e{k}") for k in ks), F.lit(0.0))
-        return rows.select(*keep, *[F.col(f"__e{k}") for k in ks], total.alias("__sum")).select(*keep, F.array(*[F.col(f"__e{k}") / F.col("__sum") for k in ks]).alias(name))
+        rows = rows.select(*keep, *[F.col(f"__e{k}") for k in ks], total.alias("__sum"))
+        # out of a generator, so that no filter above is pushed below and repeats the steps
+        return rows.select(*keep, F.explode(F.array(F.array(*[F.col(f"__e{k}") / F.col("__sum") for k in ks]))).alias(name))
 
 
 def fit_domains(documents: DataFrame, labels: DataFrame, domain: Column, *, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS, vocabulary: int = VOCABULARY) -> Domains:
@@ -119,7 +123,8 @@ def fit_domains(documents: DataFrame, labels: DataFrame, domain: Column, *, id_c
     share = [(F.col(f"n{i}") + 0.5) / (n[i] + 1.0) for i in range(len(names))]
     overall = (sum((F.col(f"n{i}") for i in range(len(names))), F.lit(0.0)) + 0.5) / (sum(n) + 1.0)
     more = [F.ln(s / overall) for s in share]
-    tells = F.array_max(F.array(*[F.when(m >= math.log(TELLING), m * s).otherwise(0.0) for m, s in zip(more, share, strict=True)]))
+    surplus = [(F.col(f"n{i}") - overall * n[i]) / F.sqrt(overall * n[i]) for i in range(len(names))]
+    tells = F.array_max(F.array(*[F.when((m >= math.log(TELLING)) & (z >= SIGNIFICANT), m * s).otherwise(0.0) for m, s, z in zip(more, share, surplus, strict=True)]))
     seen = sum((F.col(f"n{i}") for i in range(len(names))), F.lit(0.0))
     best = counts.withColumn("tells", tells).filter((seen >= LEAST_DOCS) & (F.col("tells") > 0)).orderBy(F.desc("tells"), "sign").limit(vocabulary).collect()
     prior = [math.log(x / sum(n)) for x in n]
