@@ -149,7 +149,7 @@ def fit_rates(table: DataFrame, targets: list[float], *, max_rate: float | None
     goal, step = np.array(targets, float), np.zeros(k)
     scale = max(goal.sum(), 1.0)
     t, p = F.col("__tokens").cast("double"), [F.element_at("__posterior", i + 1) for i in range(k)]
-    best, best_gap = step, math.inf
+    best, best_gap, move_by, part = step, math.inf, step, 1.0
     for _ in range(iterations):
         r = rate(F.col("__posterior"), list(step), max_rate)
         free = (r > 0) if max_rate is None else (r > 0) & (r < max_rate)
@@ -159,17 +159,17 @@ def fit_rates(table: DataFrame, targets: list[float], *, max_rate: float | None
             .agg(*[F.sum(F.col("__r") * t * x).alias(f"s{i}") for i, x in enumerate(p)], *[F.sum(F.col("__m") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)])
             .first()
         )
-        total = np.array([got[f"s{i}"] or 0.0 for i in range(k)])
-        gap = goal - total
-        size = float(np.abs(gap).max()) / scale
-        if size < best_gap:
-            best, best_gap = step.copy(), size
-        if size < TOLERANCE:
+        gap = goal - np.array([got[f"s{i}"] or 0.0 for i in range(k)])
+        size = float(np.sqrt((gap**2).sum())) / scale
+        if size < best_gap:  # a step that helps: the next one may be longer again
+            best, best_gap, part = step, size, min(1.0, 2 * part)
+            gram = np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
+            move_by = np.linalg.solve(gram + np.eye(k) * (1e-9 * np.trace(gram) + 1e-9), gap)
+        else:
+            part /= 4
+        if best_gap < TOLERANCE or part < 1e-3:
             break
-        gram = np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
-        step = step + np.linalg.solve(gram + np.eye(k) * (1e-9 * np.trace(gram) + 1e-9), gap)
-        if max_rate is not None:
-            step = np.clip(step, -50, 50)
+        step = best + part * move_by
     return [float(x) for x in best]
 
 
