@@ -52,19 +52,15 @@ def _bin(name: str, share: Column, scale: float) -> Column:
 
 
 def signs(text: Column, words: Column) -> Column:
-    """Distinct words (cut to letters, ASCII lower case) and binned statistics as tokens."""
+    """Distinct words (cut at common punctuation, lower case) and binned statistics as tokens."""
     n = F.greatest(F.size(words), F.lit(1))
-    letters = F.split(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\n\t", "abcdefghijklmnopqrstuvwxyz        "), " ")
-    odd = F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))
-    upper = F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
-    distinct = F.array_distinct(words)
     stats = F.array(
-        _bin("symbols", odd / n, 10),
-        _bin("upper", upper / n, 3),
-        _bin("distinct", F.size(distinct) / n, 10),
+        _bin("symbols", F.regexp_count(text, F.lit(r"[#*$%&|<>]")) / n, 10),
+        _bin("upper", F.regexp_count(text, F.lit("[A-Z]")) / n, 3),
+        _bin("distinct", F.size(F.array_distinct(words)) / n, 10),
         _bin("size", F.log2(n.cast("double")), 0.5),
     )
-    return F.concat(F.array_distinct(letters), stats)
+    return F.concat(F.split(F.lower(text), r"[\x20\x09-\x0D.,;:!?]+"), stats)
 
 
 @dataclass
@@ -119,7 +115,7 @@ def fit_domains(documents: DataFrame, labels: DataFrame, domain: Column, *, id_c
     if len(names) < 2:
         return Domains(names or ["all"], [], [0.0], [])
     n = [float(sizes[k]) for k in names]
-    counts = rows.select("domain", F.explode("signs").alias("sign")).groupBy("sign").agg(*[F.count_if(F.col("domain") == k).cast("double").alias(f"n{i}") for i, k in enumerate(names)])
+    counts = rows.select("domain", F.explode(F.array_distinct("signs")).alias("sign")).groupBy("sign").agg(*[F.count_if(F.col("domain") == k).cast("double").alias(f"n{i}") for i, k in enumerate(names)])
     share = [(F.col(f"n{i}") + 0.5) / (n[i] + 1.0) for i in range(len(names))]
     overall = (sum((F.col(f"n{i}") for i in range(len(names))), F.lit(0.0)) + 0.5) / (sum(n) + 1.0)
     more = [F.ln(s / overall) for s in share]
