@@ -106,7 +106,7 @@ for _g in BUCKET:
 # Formulas written out again as SQL over window sums.
 FORMULA = {
     ("LTE_ERAB_ACC", 1): "100 * (rrc_succ / nullif(rrc_att, 0)) * (s1_succ / nullif(s1_att, 0)) * (erab_succ / nullif(erab_att, 0))",
-    ("LTE_ERAB_RET", 1): "3600 * erab_rel / nullif(session_s, 0)", ("LTE_IP_THP_DL", 1): "1000 * ip_vol_kbit / nullif(ip_time_ms, 0)",
+    ("LTE_ERAB_RET", 1): "3600 * erab_rel / nullif(session_s, 0)", ("LTE_IP_THP_DL", 1): "1000 * (ip_vol_kbit / nullif(ip_time_ms, 0))",
     ("LTE_AVAIL", 1): "100 * (900 * unavail_n - unavail_s) / nullif(900 * unavail_n, 0)", ("LTE_MOB_HOSR", 1): "100 * ho_succ / nullif(ho_att, 0)",
     ("LTE_RRC_SSR", 1): "100 * rrc_succ / nullif(rrc_att, 0)", ("LTE_RRC_SSR", 2): "100 * (rrc_succ / nullif(rrc_att, 0)) * (s1_succ / nullif(s1_att, 0))",
     ("LTE_ERAB_DROP", 1): "100 * erab_rel / nullif(erab_succ, 0)", ("LTE_PRB_UTIL", 1): "prb_sum / nullif(prb_n, 0)", ("LTE_CQI_MEAN", 1): "cqi_weighted / nullif(cqi_samples, 0)",
@@ -123,15 +123,21 @@ def sums_sql(granularity: str) -> str:
             + ", sum(prb_pct) AS prb_sum, count(prb_pct) AS prb_n, count(unavail_s) AS unavail_n, count(*) FILTER (WHERE reported) AS periods_reported, count(*) FILTER (WHERE reported AND suspect) AS periods_suspect FROM wide GROUP BY 1, 2)")
 
 
-def kpi_sql(keys, granularity: str, minutes: int = 15, digits: int = 4) -> str:
+def kpi_sql(keys, granularity: str, minutes: int = 15, digits: int = 9) -> str:
     n = EXPECTED[granularity] * 15 // minutes
     return " UNION ALL ".join(
-        f"SELECT cell_name, period, vendor, '{k}' AS kpi_id, {ver} AS formula_version, round({FORMULA[k, ver]}, {digits}) AS value, {n} AS periods_expected, periods_reported, round(periods_reported / {n}.0, 4) AS coverage, round(periods_suspect / nullif(periods_reported, 0), 4) AS suspect_share FROM agg WHERE {NEEDS.get(k, 'true')}"
+        f"SELECT cell_name, period, vendor, '{k}' AS kpi_id, {ver} AS formula_version, round({FORMULA[k, ver]}, {5 if k == "LTE_IP_THP_DL" else digits}) AS value, {n} AS periods_expected, periods_reported, round(periods_reported / {n}.0, 9) AS coverage, round(periods_suspect / nullif(periods_reported, 0), 9) AS suspect_share FROM agg WHERE {NEEDS.get(k, 'true')}"
         for k, ver in keys)
 
 
 def kpi_query(technology: str, granularity: str, only: str | None = None, versions=None, minutes: int = 15):
-    return lambda v: rounded(kpis.kpi_table(v.wide(), technology, granularity, versions=versions, only=only, minutes=minutes).drop("numerator", "denominator"), 4)
+    def make(v: Views):
+        table = kpis.kpi_table(v.wide(), technology, granularity, versions=versions, only=only, minutes=minutes).drop("numerator", "denominator")
+        # throughputs are large: as many digits as a double holds of them
+        value = F.when(F.col("kpi_id") == "LTE_IP_THP_DL", F.round("value", 5)).otherwise(F.col("value"))
+        return rounded(table.withColumn("value", value), 9)
+
+    return make
 
 
 for _i, (_k, _v) in enumerate(FORMULA):
