@@ -174,6 +174,14 @@ def test_one_of_each_stays(odd):
     assert 6 in ids and 8 not in ids and 9 in ids and 10 not in ids and ids.count(7) == 1
 
 
+def test_unrelated_texts_of_one_id_stay(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(1, text(0)), (1, text(1)), (1, text(1)), (1, ""), (1, " "), (1, None), (2, text(0)), (3, text(2)), (3, text(1) + " more")]
+    got = jaccard_join.keep_one_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(1, text(0)), (1, text(1)), (1, ""), (1, " "), (1, None), (3, text(2))]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
 def test_forest_depth_reaches_its_recall():
     d = jaccard_join.forest_depth(0.8, 24, 8, 0.99999)
     assert 1 - (1 - 0.8**d) ** 24 >= 0.99999 > 1 - (1 - 0.8 ** (d + 1)) ** 24

@@ -216,12 +216,14 @@ def _verify(threshold: float):
 
 
 def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL) -> DataFrame:
-    """-> doc_id, rid, rth, class_id (smallest id of the class), n_links (other documents
-    whose similarity reaches the threshold).  rid, rth name the row (see row_keyed)."""
+    """-> doc_id, rid, rth, root, class_id (smallest id of the class), n_links (other
+    documents whose similarity reaches the threshold).  rid, rth name the row (see
+    row_keyed); root names the class, which class_id does not where ids repeat, and is null
+    for a text without n-grams."""
     spark = documents.sparkSession
-    docs = row_keyed(documents, id_col, text_col).withColumn("rth", F.hash("text"))
+    docs = row_keyed(documents, id_col, text_col)
     depth = forest_depth(threshold, trees, DEPTH, recall)
-    signed = durable(docs.mapInArrow(_signatures(width, trees, depth), "doc_id long, rid long, rth int, node binary, n int, paths array<long>"))
+    signed = durable(docs.mapInArrow(_signatures(width, trees, depth), "doc_id long, rid long, rth long, node binary, n int, paths array<long>"))
     nodes = durable(
         signed.filter("node is not null").groupBy("node").agg(F.count("*").alias("copies"), F.min(F.struct("rid", "rth")).alias("place"), F.min("paths").alias("paths"))
     )
@@ -251,7 +253,7 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
     rows = signed.select("doc_id", "rid", "rth", "node").join(info, "node", "left")
     least = rows.filter("node is not null").groupBy("root").agg(F.min("doc_id").alias("class_id"))
     return rows.join(least, "root", "left").select(
-        "doc_id", "rid", "rth",
+        "doc_id", "rid", "rth", "root",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce(F.col("copies") - 1 + F.col("links"), F.lit(0)).cast("long").alias("n_links"),
     )
@@ -259,10 +261,12 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
 
 def keep_one_each(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents, with all their columns, but of each class of near duplicates only the
-    one with the smallest id (then hash of its text).  Rows without an id stay."""
-    found = near_duplicates(documents, id_col=id_col, text_col=text_col).filter("doc_id is not null")
-    best = found.groupBy("class_id").agg(F.min(F.struct("rid", "rth")).alias("k")).select(F.col("k.rid").alias("__rid"), F.col("k.rth").alias("__rth"))
-    rid, rth = F.col(id_col).cast("long"), F.hash(F.coalesce(F.col(text_col), F.lit("")))
-    keyed = documents.withColumn("__a", rid).withColumn("__b", rth)
-    one = keyed.filter("__a is not null").join(best, (F.col("__a") == F.col("__rid")) & (F.col("__b") == F.col("__rth")), "left_semi").dropDuplicates(["__a", "__b"])
-    return one.unionByName(keyed.filter("__a is null")).select(*[F.col(f"`{c}`") for c in documents.columns])
+    one with the smallest id (then hash of its text).  Rows without an id or without a word
+    stay."""
+    found = near_duplicates(documents, id_col=id_col, text_col=text_col).filter("doc_id is not null and root is not null")
+    best = found.groupBy("root").agg(F.min(F.struct("rid", "rth")).alias("k")).select(F.col("k.rid").alias("__rid"), F.col("k.rth").alias("__rth"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    keyed = documents.withColumn("__a", F.col(id_col).cast("long")).withColumn("__b", F.xxhash64(text))
+    classed = F.col("__a").isNotNull() & text.rlike(r"[^\x20\x09-\x0D]")
+    one = keyed.filter(classed).join(best, (F.col("__a") == F.col("__rid")) & (F.col("__b") == F.col("__rth")), "left_semi").dropDuplicates(["__a", "__b"])
+    return one.unionByName(keyed.filter(~classed)).select(*[F.col(f"`{c}`") for c in documents.columns])
