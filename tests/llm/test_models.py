@@ -142,6 +142,24 @@ def test_quality_rules_odd_cases(odd, rows, empty):
     assert perplexity.judge_documents(empty).count() == 0
 
 
+@tables
+def test_copies_of_one_text_move_no_verdict(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    hot = docs.join(spark.read.parquet(f"{SF}/labels.parquet").filter("quality = 1"), "doc_id").filter("lang = 'de' and length(text) > 500").orderBy("doc_id").limit(1).select("text", "lang")
+    n = docs.filter("lang = 'de'").count()
+    copies = spark.range(10**6, 10**6 + 2 * n).withColumnRenamed("id", "doc_id").crossJoin(hot)
+    verdicts = lambda d: {r["doc_id"]: r["kept"] for r in perplexity.judge_documents(d).collect()}
+    plain, with_copies = verdicts(docs), verdicts(docs.unionByName(copies))
+    assert {i: k for i, k in with_copies.items() if i < 10**6} == plain
+    assert all(k for i, k in with_copies.items() if i >= 10**6)
+
+
+def test_two_texts_of_a_language_are_in_its_band(spark):
+    scored = spark.createDataFrame([("a", 1, 1.2), ("a", 2, 1.4), *[("b", i, 1.0 + i / 1000) for i in range(100)]], "__lang string, __key long, __log_perplexity double")
+    low, high = next((r["low"], r["high"]) for r in perplexity.bands(scored).collect() if r["__lang"] == "a")
+    assert low < 1.2 and high > 1.4
+
+
 def test_perplexity_order_goes_down(odd):
     assert perplexity.fit(odd, most_grams=200)[1].order < perplexity.ORDER
 
