@@ -186,6 +186,46 @@ def test_greedy_cover(spark):
     assert [(r["site"], r["newly"]) for r in space.greedy_cover(df).orderBy("step").collect()] == [(2, 3), (1, 1)]
 
 
+def test_space_out_ends_only_when_all_are_decided(spark):
+    df = spark.createDataFrame([(i, float(i), 0.0, float(-i)) for i in range(53)], "top int, x double, y double, height double")
+    assert sorted(r["top"] for r in space.space_out(df, 1.5).collect()) == list(range(0, 53, 2))
+
+
+def greedy(rows):
+    held, steps = {}, []
+    for s, v in rows:
+        held.setdefault(s, set()).add(v)
+    while any(held.values()):
+        s = min(held, key=lambda k: (-len(held[k]), k))
+        gone = set(held[s])
+        steps.append((len(steps) + 1, s, len(gone)))
+        held = {k: x - gone for k, x in held.items()}
+    return steps
+
+
+def test_greedy_cover_is_the_sequential_one_to_the_end(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = [(rnd.randrange(60), rnd.randrange(150)) for _ in range(600)] + [(1000 + i, 1000 + i) for i in range(210)]
+    df = spark.createDataFrame(rows, "site int, village int")
+    assert [tuple(r) for r in space.greedy_cover(df).orderBy("step").collect()] == greedy(rows)
+
+
+def test_registered_cover_leaves_no_village_open(spark):
+    import os
+
+    from towerline.plans import QUERIES
+    from towerline.plans.space import covered
+    from towerline.plans.views import Views
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("no test tables")
+    rows = [tuple(r) for r in covered(Views(spark, sf)).select("site", "village").collect()]
+    assert [tuple(r) for r in QUERIES["h28_greedy_cover"](spark, sf).orderBy("step").collect()] == greedy(rows)
+
+
 def test_range_join_is_the_brute_force_one(spark):
     import random
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.radio import antenna_gain_db, earth_bulge_m, fresnel_m, knife_edge_db, linear, logistic, path_loss_db
+from ..functions.scratch import scratch_path
 
 #: Fixed values of the planning rules.
 NEAR_VILLAGE_KM, SPACING_KM, SCORE_KM, CANDIDATES = 3.0, 1.5, 5.0, 60
@@ -243,22 +244,28 @@ def proposals(tops: DataFrame, villages: DataFrame) -> DataFrame:
     return tops.join(best.select("top").distinct(), "top", "left_semi")
 
 
-def space_out(points: DataFrame, km: float, rounds: int = 50) -> DataFrame:
+def _written(df: DataFrame) -> DataFrame:
+    """The rows as a table in the shared folder, so that plans do not grow by the round."""
+    path = scratch_path(df.sparkSession, "space")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def space_out(points: DataFrame, km: float) -> DataFrame:
     """Points kept at least `km` apart, higher first (ties: lower id): each round keeps the
-    points that no undecided neighbour precedes and drops the neighbours of kept ones.
-    The result is that of taking them one by one in order."""
+    points that no undecided neighbour precedes and drops the neighbours of kept ones,
+    until all are decided (each round decides the first of the open ones at least).  The
+    result is that of taking them one by one in order."""
     p = points.select("top", "x", "y", "height").persist()
     other = p.select(F.col("top").alias("b"), F.col("x").alias("rx"), F.col("y").alias("ry"), F.col("height").alias("hb"))
     edges = within(p, other, km).filter((F.col("top") != F.col("b")) & (F.col("km") < km))
     # b comes before top
     before = edges.filter((F.col("hb") > F.col("height")) | ((F.col("hb") == F.col("height")) & (F.col("b") < F.col("top")))).select("top", "b").persist()
     state = p.select("top", F.lit(0).alias("s"))  # 0 open, 1 kept, 2 dropped
-    for _ in range(rounds):
+    while state.filter("s = 0").limit(1).count():
         prev = before.join(state.select(F.col("top").alias("b"), F.col("s").alias("sb")), "b").groupBy("top").agg(F.max((F.col("sb") == 1).cast("int")).alias("hit"), F.max((F.col("sb") == 0).cast("int")).alias("open"))
         nxt = F.when(F.col("s") != 0, F.col("s")).when(F.coalesce("hit", F.lit(0)) == 1, 2).when(F.coalesce("open", F.lit(0)) == 0, 1).otherwise(0)
-        state = state.join(prev, "top", "left").select("top", nxt.alias("s")).checkpoint() if p.sparkSession.sparkContext.getCheckpointDir() else state.join(prev, "top", "left").select("top", nxt.alias("s")).persist()
-        if not state.filter("s = 0").limit(1).count():
-            break
+        state = _written(state.join(prev, "top", "left").select("top", nxt.alias("s")))
     return points.join(state.filter("s = 1").select("top"), "top", "left_semi")
 
 
@@ -270,19 +277,23 @@ def candidates(tops: DataFrame, villages: DataFrame, k: int = CANDIDATES) -> Dat
     return rows.orderBy(F.desc("persons"), "top").limit(k).select("top", "persons", F.round("nearest_km", 3).alias("nearest_km"), "cost")
 
 
-def greedy_cover(coverage: DataFrame, rounds: int = 200) -> DataFrame:
+def greedy_cover(coverage: DataFrame) -> DataFrame:
     """Sites chosen one by one, each covering most villages that are still open (ties:
-    lower site), until none is left: (step, site, newly).  Only the choice of each round
-    comes to the driver."""
-    rest, chosen = coverage.select("site", "village").distinct().persist(), []
-    first = rest
-    for step in range(rounds):
-        top = rest.groupBy("site").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "site").limit(1).collect()
-        if not top:
-            break
-        chosen.append((step + 1, top[0]["site"], top[0]["n"]))
-        rest = first.join(F.broadcast(first.filter(F.col("site").isin([c[1] for c in chosen])).select("village").distinct()), "village", "left_anti")
-    return coverage.sparkSession.createDataFrame(chosen, f"step int, site {dict(coverage.dtypes)['site']}, newly long")
+    lower site), until none is left: (step, site, newly).
+
+    A site that comes before every site with which it shares an open village loses none of
+    its villages before its turn, so a round chooses all such sites at once.  In order of
+    newly and site they are the steps, since what a choice covers never grows."""
+    rest = _written(coverage.select("site", "village").dropna().distinct())
+    chosen = rest.select("site", F.lit(0).cast("long").alias("newly")).limit(0)
+    while rest.limit(1).count():
+        ranked = rest.join(rest.groupBy("site").agg(F.count("*").alias("n")), "site")
+        first = ranked.groupBy("village").agg(F.min(F.struct((-F.col("n")).alias("m"), "site"))["site"].alias("first"))
+        won = rest.join(first, "village").groupBy("site").agg(F.count("*").alias("newly"), F.min(F.col("site") == F.col("first")).alias("all"))
+        picked = _written(won.filter("all").select("site", "newly"))
+        gone = rest.join(picked.select("site"), "site").select("village").distinct()
+        rest, chosen = _written(rest.join(gone, "village", "left_anti").select("site", "village")), chosen.unionByName(picked)
+    return chosen.select(F.row_number().over(Window.orderBy(F.desc("newly"), "site")).alias("step"), "site", "newly")
 
 
 def allowed_options(opts: DataFrame, *, fiber: bool = True, grid_only: bool = False, most_capex: int | None = None) -> DataFrame:

@@ -187,7 +187,7 @@ TOPS = f"tops AS (SELECT top, x, y, round(s_acctbal, 2) AS height FROM {place_sq
 register("h25_proposals", lambda v: sp.proposals(tops(v), villages(v)).select("top"), f"WITH {TOPS}, {VIL}, n AS (SELECT village, top, height FROM tops t, vil v WHERE sqrt(pow(t.x - v.x, 2) + pow(t.y - v.y, 2)) <= 3) SELECT DISTINCT top FROM (SELECT top, row_number() OVER (PARTITION BY village ORDER BY height DESC, top) AS r FROM n) WHERE r = 1")
 register("h26_space_out", lambda v: sp.space_out(tops(v), 6.0).select("top"))
 register("h27_candidates", lambda v: sp.candidates(tops(v), villages(v)).select("top", "persons", "nearest_km", "cost"), f"WITH {TOPS}, {VIL}, n AS (SELECT top, population, sqrt(pow(t.x - v.x, 2) + pow(t.y - v.y, 2)) AS km FROM tops t, vil v) SELECT top, sum(population)::BIGINT AS persons, round(min(km), 3) AS nearest_km, (1800000000 + round_even(120000000 * min(km), 0))::BIGINT AS cost FROM n WHERE km <= 5 GROUP BY top ORDER BY persons DESC, top LIMIT 60")
-register("h28_greedy_cover", lambda v: sp.greedy_cover(covered(v), 8))
+register("h28_greedy_cover", lambda v: sp.greedy_cover(covered(v)))
 SERVED = "sv AS (SELECT village, population, coalesce(bool_or(level >= -110) FILTER (WHERE technology = 'LTE'), false) AS outdoor, coalesce(bool_or(covered), false) AS indoor FROM vil LEFT JOIN cov USING (village) GROUP BY 1, 2)"
 
 
