@@ -211,12 +211,26 @@ def test_search_recall(spark):
     assert hit / total >= 0.9
 
 
+@tables
+def test_search_prunes(spark):
+    """Few vectors are reranked, and most true neighbours are among them."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    e = df.toPandas()
+    ids, x = e.vec_id.to_numpy(), np.stack(e.embedding).astype(float)
+    got = permutation_index.search(df, F.col("vec_id") % 100 == 0).toPandas()
+    hit = [len({i for i, _ in brute_nearest(ids, x, q, 10)} & set(got[got.query_id == ids[q]].vec_id)) for q in np.flatnonzero(ids % 100 == 0)]
+    assert np.mean(hit) >= 9 and got.n_candidates.mean() <= 0.12 * len(ids)
+
+
 def test_search_odd_cases(spark):
     rows = [(0, [1.0, 0.0]), (100, [1.0, 0.0]), (5, [1.0, 0.0]), (3, [0.0, 2.0]), (200, None), (300, []), (400, [0.0, 0.0]), (500, [float("nan"), 1.0]), (600, [1.0, None]), (700, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (7, [float("inf"), 1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("id", F.lit("clash")).withColumn("vec", F.lit(1))
     got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in permutation_index.search(df, F.col("vec_id") % 100 == 0).collect())
     assert got == [(0, 1, 5), (0, 2, 100), (0, 3, 3), (100, 1, 0), (100, 2, 5), (100, 3, 3)]
     assert permutation_index.search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
+    twice = spark.createDataFrame([(100, [1.0, 0.0]), (100, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0])], "vec_id long, embedding array<float>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in permutation_index.search(twice, F.col("vec_id") == 100).collect())
+    assert got == [(100, 1, 1), (100, 1, 2), (100, 2, 1), (100, 2, 2)]
 
 
 def test_tokenizer_is_the_library(odd, rows):
