@@ -4,9 +4,10 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from towerline.llm import jaccard_join, line_dedup, substring_dedup, suffix_dedup
+from towerline.llm import jaccard_join, line_dedup, repeats, substring_dedup, suffix_dedup
 from towerline.llm.bytetext import Prefix, anchors
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -100,6 +101,40 @@ def test_equal_windows_share_an_anchor():
         assert {x for x in a if start <= x <= start + 30} & {x for x in b if start <= x <= start + 30}
 
 
+def test_a_gram_whose_key_is_zero_is_an_anchor():
+    grams = np.full(300, 1 << 40, np.uint64)
+    grams[150] = 5  # the upper half, by which grams are compared, is 0
+    at = anchors(grams, np.full(300, 300), 101, 1)
+    assert 150 in at and all(any(s <= a < s + 101 for a in at) for s in range(200))
+
+
+@pytest.mark.parametrize("mode", ["all", "first", "smaller"])
+def test_classes_that_stream_by_are_decided_alike(mode, monkeypatch):
+    rng = np.random.default_rng(3)
+    cols = {"h": rng.integers(0, 4, 900), "salt": np.full(900, -1), "c": rng.integers(0, 2, 900), "rid": rng.integers(0, 40, 900), "rth": np.zeros(900, int), "pos": np.arange(900)}
+    cols["c"][cols["h"] == 2] = 0
+    order = np.lexsort([cols[k] for k in ("pos", "rth", "rid", "c", "salt", "h")])
+    cols = {k: v[order] for k, v in cols.items()}
+    spec = repeats.Spec("byte", 10, 4, mode)
+
+    def decided(step):
+        batches = [pa.RecordBatch.from_pydict({k: v[i : i + step] for k, v in cols.items()}) for i in range(0, 900, step)]
+        return sorted(r for b in repeats._classify(spec)(iter(batches)) for r in zip(*(c.to_pylist() for c in b.columns)))
+
+    whole = decided(900)
+    monkeypatch.setattr(repeats, "ROWS_OUT", 5)
+    assert decided(7) == whole and {r[0] for r in whole} == {0, 1}
+
+
+def test_many_rows_without_an_id_are_told_apart(spark):
+    rnd = random.Random(8)
+    rows = [(None, f"{i:05d}" + "".join(rnd.choice("abcdef") for _ in range(25))) for i in range(70_000)]
+    rows[7], rows[60_000] = (None, "x" + rows[9][1]), (None, rows[9][1] + "y")
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffix_dedup.remove_repeated_bytes(df, window=25, keep="none").filter("n_removed > 0").select("n_bytes", "n_removed").collect()
+    assert sorted(map(tuple, got)) == [(30, 30), (31, 30), (31, 30)]
+
+
 def lines_brute(rows):
     docs = [(i, (t or "").split("\n")) for i, t, *_ in rows]
     low = lambda x: "".join(c.lower() if "A" <= c <= "Z" else c for c in x.strip(" \t\n\x0b\x0c\r"))

@@ -172,7 +172,7 @@ def anchors(grams: np.ndarray, ends: np.ndarray, w: int, k: int) -> np.ndarray:
     n, span = len(ends), w - k + 1
     if n < w:
         return np.zeros(0, np.int64)
-    key = (grams >> U(32)).astype(np.uint32)
+    key = (grams >> U(32)).astype(np.uint32) | np.uint32(1)  # 0 stands for no window
     least = sliding_extreme(key, span, True)[: n - w + 1]
     least[np.arange(n - w + 1) + w > ends[: n - w + 1]] = 0
     padded = np.zeros(len(least) + 2 * (span - 1), np.uint32)

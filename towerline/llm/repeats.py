@@ -12,10 +12,11 @@ symbols (bytes or words) of one document.
    index (suffix automaton or suffix array, given by the caller) decides which windows
    repeat.  Such texts are dealt by anchor too, so an index covers a bounded shard.
 4. An anchor with more classes than ``limit`` would make that shard unbounded.  Its
-   windows are counted by hash instead, all of them, spread over the cluster.
+   windows are grouped by 128 bits of hash instead, all of them, spread over the cluster.
 
-The anchors that stand out in a hashed sample of documents are salted; this steers the
-spread only: members that a salt separates are compared in step 3.
+Anchors that hold more than a small part of all places in a hashed sample of documents are
+salted, the more the larger they are; this steers the spread only: members that a salt
+separates are compared in step 3.
 """
 
 from __future__ import annotations
@@ -33,12 +34,19 @@ from .common import durable, hash_unit
 
 ROWS_OUT = 1 << 16
 FLUSH_BYTES = 1 << 20
-SALTS = 32
+#: An anchor is salted if it holds more than this part of the places of the sample (so at
+#: most so many anchors are broadcast), and ``SAMPLED`` times at least.
+SHARE = 1 / 50_000
+SAMPLED = 100
 
-ANCHOR = "h long, c long, rid long, rth int, pos int"
-FOUND = "kind int, h long, rid long, rth int, lo int, hi int, n int"
-CONTEXT = "h long, rid long, rth int, lo int, n int, ctx binary"
-SPAN = "rid long, rth int, lo int, hi int"
+ANCHOR = "h long, c long, rid long, rth long, pos int"
+FOUND = "kind int, h long, rid long, rth long, lo int, hi int, n int"
+CONTEXT = "h long, rid long, rth long, lo int, n int, ctx binary"
+SPAN = "rid long, rth long, lo int, hi int"
+
+
+#: Most classes of an anchor that one shard takes.
+LIMIT = 4000
 
 
 @dataclass(frozen=True)
@@ -50,7 +58,7 @@ class Spec:
     window: int
     gram: int
     mode: str
-    limit: int = 20_000
+    limit: int = LIMIT
 
     @property
     def reach(self) -> int:
@@ -62,10 +70,10 @@ def _batch(schema: list[tuple[str, pa.DataType]], cols: list) -> pa.RecordBatch:
 
 
 _L, _I = pa.int64(), pa.int32()
-_ANCHOR = [("h", _L), ("c", _L), ("rid", _L), ("rth", _I), ("pos", _I)]
-_FOUND = [("kind", _I), ("h", _L), ("rid", _L), ("rth", _I), ("lo", _I), ("hi", _I), ("n", _I)]
-_CONTEXT = [("h", _L), ("rid", _L), ("rth", _I), ("lo", _I), ("n", _I), ("ctx", pa.binary())]
-_SPAN = [("rid", _L), ("rth", _I), ("lo", _I), ("hi", _I)]
+_ANCHOR = [("h", _L), ("c", _L), ("rid", _L), ("rth", _L), ("pos", _I)]
+_FOUND = [("kind", _I), ("h", _L), ("rid", _L), ("rth", _L), ("lo", _I), ("hi", _I), ("n", _I)]
+_CONTEXT = [("h", _L), ("rid", _L), ("rth", _L), ("lo", _I), ("n", _I), ("ctx", pa.binary())]
+_SPAN = [("rid", _L), ("rth", _L), ("lo", _I), ("hi", _I)]
 
 
 def _symbols(c: Chunk, unit: str) -> tuple[np.ndarray, bool, np.ndarray]:
@@ -99,51 +107,68 @@ def _find_anchors(spec: Spec) -> Callable:
     return run
 
 
+_KEYS = ("h", "salt", "c", "rid", "rth", "pos")
+
+
 def _classify(spec: Spec) -> Callable:
-    """Rows come sorted by (h, salt, c, rid, pos).  Kind 0: a span that goes.  Kind 1: the
-    text around it is needed to decide; n: members of its class here."""
-
-    def decide(x: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        n = len(x["h"])
-        new_h = np.ones(n, bool)
-        new_h[1:] = (x["h"][1:] != x["h"][:-1]) | (x["salt"][1:] != x["salt"][:-1])
-        new_c = new_h.copy()
-        new_c[1:] |= x["c"][1:] != x["c"][:-1]
-        of_h, of_c = np.cumsum(new_h) - 1, np.cumsum(new_c) - 1
-        classes = np.bincount(of_h[new_c])
-        members = np.bincount(of_c)[of_c]
-        first = np.flatnonzero(new_c)[of_c]
-        open_h = (classes[of_h] > 1) | (x["salt"] >= 0)
-        if spec.mode == "smaller":
-            gone = x["rid"] > x["rid"][first]
-            ask = open_h & ~gone
-        elif spec.mode == "first":  # rows equal in id and text are one place
-            gone = (x["rid"] != x["rid"][first]) | (x["rth"] != x["rth"][first]) | (x["pos"] != x["pos"][first])
-            ask = open_h & ~gone
-        else:
-            gone = members > 1
-            ask = open_h & (np.arange(n) == first)
-        for kind, keep in ((0, gone), (1, ask)):
-            i = np.flatnonzero(keep)
-            if len(i):
-                pos = x["pos"][i]
-                yield _batch(_FOUND, [np.full(len(i), kind, np.int32), x["h"][i], x["rid"][i], x["rth"][i], np.maximum(pos - spec.reach, 0), pos + spec.window, members[i].astype(np.int32)])
+    """Rows come sorted by (h, salt, c, rid, rth, pos).  Kind 0: a span that goes.  Kind 1:
+    the text around it is needed to decide; n: members of its class here.
+
+    A class that does not fit into memory is decided as it streams by: only its first
+    members are held, with the number that they stand for (m)."""
+
+    def emit(x: dict[str, np.ndarray], kind: int, keep: np.ndarray, members: np.ndarray) -> Iterator[pa.RecordBatch]:
+        i = np.flatnonzero(keep)
+        if len(i):
+            pos = x["pos"][i]
+            yield _batch(_FOUND, [np.full(len(i), kind, np.int32), x["h"][i], x["rid"][i], x["rth"][i], np.maximum(pos - spec.reach, 0), pos + spec.window, np.minimum(members[i], 2).astype(np.int32)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict[str, np.ndarray]] = []
-        rows = 0
+        rows, before = 0, None  # before: the (h, salt) of which a class is decided already
+
+        def decide(final: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held, rows, before
+            x = {k: np.concatenate([y[k] for y in held]) for k in held[0]}
+            n = len(x["h"])
+            new_h = np.ones(n, bool)
+            new_h[1:] = (x["h"][1:] != x["h"][:-1]) | (x["salt"][1:] != x["salt"][:-1])
+            new_c = new_h.copy()
+            new_c[1:] |= x["c"][1:] != x["c"][:-1]
+            of_h, of_c = np.cumsum(new_h) - 1, np.cumsum(new_c) - 1
+            classes = np.bincount(of_h[new_c])
+            classes[0] += before == (x["h"][0], x["salt"][0])
+            members = np.bincount(of_c, weights=x["m"]).astype(np.int64)[of_c]
+            heads = np.flatnonzero(new_c)
+            first = heads[of_c]
+            at, is_first = np.arange(n), np.arange(n) == first
+            if spec.mode == "smaller":
+                gone = x["rid"] > x["rid"][first]
+                ask = ~gone
+            elif spec.mode == "first":  # rows equal in id and text are one place
+                gone = (x["rid"] != x["rid"][first]) | (x["rth"] != x["rth"][first]) | (x["pos"] != x["pos"][first])
+                ask = ~gone
+            else:
+                gone, ask = members > 1, is_first
+            wait = np.zeros(n, bool) if final else ask & (at >= heads[-1])
+            yield from emit(x, 0, gone & ~wait, members)
+            yield from emit(x, 1, ask & ~wait & ((classes[of_h] > 1) | (x["salt"] >= 0)), members)
+            before = (x["h"][-1], x["salt"][-1]) if classes[-1] > 1 else None
+            rest = {k: v[wait] for k, v in x.items()}
+            rows = len(rest["h"])
+            if rows:
+                rest["m"][0] = members[-1] - (rows - 1)
+            held = [rest] if rows else []
+
         for b in batches:
-            held.append({k: b.column(k).to_numpy(zero_copy_only=False) for k in ("h", "salt", "c", "rid", "rth", "pos")})
-            rows += b.num_rows
-            if rows < ROWS_OUT * 4:
+            if not b.num_rows:
                 continue
-            x = {k: np.concatenate([y[k] for y in held]) for k in held[0]}
-            cut = int(np.searchsorted(x["h"], x["h"][-1]))
-            if cut:
-                yield from decide({k: v[:cut] for k, v in x.items()})
-            held, rows = [{k: v[cut:] for k, v in x.items()}], len(x["h"]) - cut
-        if rows:
-            yield from decide({k: np.concatenate([y[k] for y in held]) for k in held[0]})
+            held.append({k: b.column(k).to_numpy(zero_copy_only=False) for k in _KEYS} | {"m": np.ones(b.num_rows, np.int64)})
+            rows += b.num_rows
+            if rows >= ROWS_OUT * 4:
+                yield from decide(False)
+        if held:
+            yield from decide(True)
 
     return run
 
@@ -299,33 +324,33 @@ def _decide(spec: Spec, exact: Callable) -> Callable:
 
 
 def _windows(spec: Spec) -> Callable:
-    """For anchors beyond the limit: every window of every context, by hash."""
+    """For anchors beyond the limit: every window of every context, by 128 bits of hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            rid, rth, lo, n = (b.column(k).to_numpy(zero_copy_only=False) for k in ("rid", "rth", "lo", "n"))
-            data, off, _ = string_parts(b.column("ctx"))
-            s = Shard.of(spec, rid, rth, lo, n, data, off)
+        for c in chunks(batches, "ctx"):
+            rid, rth, lo, n = (c.batch.column(k).to_numpy(zero_copy_only=False) for k in ("rid", "rth", "lo", "n"))
+            s = Shard.of(spec, rid, rth, lo, n, c.data, c.offsets)
+            other = Prefix(s.sym, 0, spec.unit == "byte").sliding(spec.window)
             at = np.flatnonzero(s.start_ok)
             row = row_of(s.off)[at]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in (s.windows[at].view(np.int64), rid[row], rth[row], (at - s.off[row] + lo[row]).astype(np.int32), n[row])],
-                names=["w", "rid", "rth", "at", "n"],
-            )
+            for i in range(0, len(at), ROWS_OUT):
+                a, r = at[i : i + ROWS_OUT], row[i : i + ROWS_OUT]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (s.windows[a].view(np.int64), other[a].view(np.int64), rid[r], rth[r], (a - s.off[r] + lo[r]).astype(np.int32), n[r])],
+                    names=["w", "v", "rid", "rth", "at", "n"],
+                )
 
     return run
 
 
 def _by_window(contexts: DataFrame, spec: Spec) -> DataFrame:
-    w = contexts.mapInArrow(_windows(spec), "w long, rid long, rth int, at int, n int")
+    w = contexts.mapInArrow(_windows(spec), "w long, v long, rid long, rth long, at int, n int")
     place = F.struct("rid", "rth", "at")
-    w = w.groupBy("w", "rid", "rth", "at").agg(F.max("n").alias("n"))
-    per = w.groupBy("w").agg(F.sum("n").alias("times"), F.min(place).alias("head"))
-    joined = w.join(per, "w")
+    w = w.groupBy("w", "v", "rid", "rth", "at").agg(F.max("n").alias("n"))
+    per = w.groupBy("w", "v").agg(F.count("*").alias("times"), F.min(place).alias("head"))
+    joined = w.join(per.filter("times > 1"), ["w", "v"])
     if spec.mode == "all":
-        gone = joined.filter("times > 1 and n = 1")
+        gone = joined.filter("n = 1")
     elif spec.mode == "first":
         gone = joined.filter(place > F.col("head"))
     else:
@@ -333,43 +358,50 @@ def _by_window(contexts: DataFrame, spec: Spec) -> DataFrame:
     return gone.select("rid", "rth", F.col("at").alias("lo"), (F.col("at") + spec.window).cast("int").alias("hi"))
 
 
+def _hot(base: DataFrame, find: Callable) -> DataFrame:
+    """hot_h, salts: the anchors that would outgrow a task, and how many ways to deal each."""
+    sampled = durable(
+        base.filter(hash_unit(F.col("rid"), F.col("rth"), seed=7) < 0.01).mapInArrow(find, ANCHOR).groupBy(F.col("h").alias("hot_h")).count()
+    )
+    total = sampled.agg(F.sum("count")).first()[0] or 0
+    one = max(total / parts(base.sparkSession) / 8, 1.0)
+    salts = F.least(F.ceil(F.col("count") / F.lit(one)) + 1, F.lit(4096)).cast("int")
+    return sampled.filter(F.col("count") >= max(SAMPLED, total * SHARE)).select("hot_h", salts.alias("salts"))
+
+
 def repeated_spans(docs: DataFrame, spec: Spec, exact: Callable) -> DataFrame:
-    """docs: (rid long, rth int, text string, ...) -> (rid, rth, spans array<struct<lo,hi>>),
+    """docs: (rid long, rth long, text string, ...) -> (rid, rth, spans array<struct<lo,hi>>),
     one row for each document with something to remove; spans may overlap."""
     spark = docs.sparkSession
     base = docs.select("rid", "rth", "text")
     find = _find_anchors(spec)
-    hot = (
-        base.filter(hash_unit(F.col("rid"), seed=7) < 0.01)
-        .mapInArrow(find, ANCHOR)
-        .groupBy("h").count()
-        .filter("count >= 200")
-        .select(F.col("h").alias("hot_h"))
-        .orderBy("hot_h").limit(10_000)
-    )
-    found = base.mapInArrow(find, ANCHOR)
     found = (
-        found.join(F.broadcast(hot), F.col("h") == F.col("hot_h"), "left")
-        .withColumn("salt", F.when(F.col("hot_h").isNull(), F.lit(-1)).otherwise(F.pmod(F.hash("rid"), F.lit(SALTS))))
-        .drop("hot_h")
+        base.mapInArrow(find, ANCHOR)
+        .join(F.broadcast(_hot(base, find)), F.col("h") == F.col("hot_h"), "left")
+        .withColumn("salt", F.when(F.col("hot_h").isNull(), F.lit(-1)).otherwise(F.pmod(F.hash("rid", "rth", "pos"), F.col("salts"))))
+        .drop("hot_h", "salts")
         .repartition(parts(spark), "h", "salt")
         .sortWithinPartitions("h", "salt", "c", "rid", "rth", "pos")
         .mapInArrow(_classify(spec), FOUND)
     )
     found = durable(found)
     asked = found.filter("kind = 1")
-    over = [r["h"] for r in asked.groupBy("h").count().filter(F.col("count") > spec.limit).limit(10_000).collect()]
-    requests = asked.groupBy("rid", "rth").agg(F.collect_list(F.struct("h", "lo", "hi", "n")).alias("asked"))
-    contexts = docs.join(requests, ["rid", "rth"]).mapInArrow(_fetch(spec), CONTEXT)
-    near = contexts.filter(~F.col("h").isin(over)) if over else contexts
+    over = durable(asked.groupBy("h").count().filter(F.col("count") > spec.limit).select("h", F.lit(True).alias("over")))
+    some_over = over.limit(1).count() > 0
+
+    def contexts(rows: DataFrame) -> DataFrame:
+        requests = rows.groupBy("rid", "rth").agg(F.collect_list(F.struct("h", "lo", "hi", "n")).alias("asked"))
+        return base.join(requests, ["rid", "rth"]).mapInArrow(_fetch(spec), CONTEXT)
+
     decided = (
-        near.repartition(parts(spark), "h")
+        contexts(asked.join(over, "h", "left_anti") if some_over else asked)
+        .repartition(parts(spark), "h")
         .sortWithinPartitions("h", "rid", "rth", "lo")
         .mapInArrow(_decide(spec, exact), SPAN)
     )
     spans = found.filter("kind = 0").select("rid", "rth", "lo", "hi").unionByName(decided)
-    if over:
-        spans = spans.unionByName(_by_window(contexts.filter(F.col("h").isin(over)), spec))
+    if some_over:
+        spans = spans.unionByName(_by_window(contexts(asked.join(over, "h", "left_semi")), spec))
     return spans.groupBy("rid", "rth").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .bytetext import chunks, words
 from .common import NULL_ID, row_keyed
-from .repeats import Shard, Spec, repeated_spans, spans_of
+from .repeats import LIMIT, Shard, Spec, repeated_spans, spans_of
 
 
 class SuffixAutomaton:
@@ -142,9 +142,9 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def remove_repeated_passages(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 50, limit: int = 20_000) -> DataFrame:
+def remove_repeated_passages(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 50, limit: int = LIMIT) -> DataFrame:
     """-> doc_id, n_words, n_removed, kept (the words that stay, joined by a space), kept_sha256."""
-    docs = row_keyed(documents, id_col, text_col).withColumn("rth", F.hash("text"))
+    docs = row_keyed(documents, id_col, text_col)
     spec = Spec("word", window, max(window // 2, 1), "smaller", limit)
     spans = repeated_spans(docs.filter(F.col("rid") != NULL_ID), spec, _by_automaton)
     return docs.join(spans, ["rid", "rth"], "left").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")

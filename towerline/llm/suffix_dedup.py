@@ -19,11 +19,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .bytetext import chunks
 from .common import row_keyed
-from .repeats import Shard, Spec, repeated_spans, spans_of
+from .repeats import LIMIT, Shard, Spec, repeated_spans, spans_of
 
 
 class Suffixes:
@@ -130,12 +129,12 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def remove_repeated_bytes(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 200, keep: str = "first", limit: int = 20_000) -> DataFrame:
+def remove_repeated_bytes(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", window: int = 200, keep: str = "first", limit: int = LIMIT) -> DataFrame:
     """-> doc_id, n_bytes, n_removed, n_spans, kept (binary), kept_sha256.
 
     keep: 'first' leaves the earliest copy (by id, then place), 'none' leaves no copy.
     """
-    docs = row_keyed(documents, id_col, text_col).withColumn("rth", F.hash("text"))
+    docs = row_keyed(documents, id_col, text_col)
     spec = Spec("byte", window, max(window * 8 // 25, 1), {"first": "first", "none": "all"}[keep], limit)
     spans = repeated_spans(docs, spec, _by_factors)
     return docs.join(spans, ["rid", "rth"], "left").mapInArrow(
