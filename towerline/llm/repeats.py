@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytetext import U, Chunk, Prefix, anchors, chunks, mix, row_of, string_parts, union_spans, words
+from .bytetext import CHUNK_BYTES, U, Chunk, Prefix, anchors, chunks, mix, row_of, string_parts, union_spans, words
 from .common import durable, hash_unit
 
 ROWS_OUT = 1 << 16
@@ -46,7 +46,7 @@ SPAN = "rid long, rth long, lo int, hi int"
 
 
 #: Most classes of an anchor that one shard takes.
-LIMIT = 4000
+LIMIT = 20_000
 
 
 @dataclass(frozen=True)
@@ -210,7 +210,8 @@ def _fetch(spec: Spec) -> Callable:
 
 @dataclass
 class Shard:
-    """Contexts of some anchors.  sym, off: their symbols; text: bytes of each."""
+    """Contexts of some anchors.  sym, off: their symbols; text: bytes of each; at, keys:
+    the places in sym where a window starts, and hashes of it, one for each seed."""
 
     rid: np.ndarray
     rth: np.ndarray
@@ -219,29 +220,43 @@ class Shard:
     text: list[bytes]
     sym: np.ndarray
     off: np.ndarray
-    windows: np.ndarray
-    start_ok: np.ndarray
+    at: np.ndarray
+    keys: list[np.ndarray]
 
     @staticmethod
-    def of(spec: Spec, rid, rth, lo, n, data: np.ndarray, off: np.ndarray) -> Shard:
-        c = Chunk(None, data, off, np.ones(len(off) - 1, bool))
-        sym, is_bytes, first = _symbols(c, spec.unit)
-        hashes = Prefix(sym, 1, is_bytes).sliding(spec.window)
-        ends = first[1:][row_of(first)][: len(hashes)]
-        ok = np.arange(len(hashes)) + spec.window <= ends
-        return Shard(rid, rth, lo, n, [data[off[i] : off[i + 1]].tobytes() for i in range(len(off) - 1)], sym, first, hashes, ok)
+    def of(spec: Spec, rid, rth, lo, n, data: np.ndarray, off: np.ndarray, seeds: tuple[int, ...] = (1,)) -> Shard:
+        """Built a few contexts at a time, so that what hashing takes stays small."""
+        syms, sizes, at, keys, base, i = [data[:0]], [np.zeros(1, np.int64)], [], [[] for _ in seeds], 0, 0
+        while i < len(off) - 1:
+            j = min(max(int(np.searchsorted(off, off[i] + CHUNK_BYTES, side="right")) - 1, i + 1), len(off) - 1)
+            part = Chunk(None, data[off[i] : off[j]], off[i : j + 1] - off[i], np.ones(j - i, bool))
+            sym, is_bytes, first = _symbols(part, spec.unit)
+            ends = first[1:][row_of(first)][: max(len(sym) - spec.window + 1, 0)]
+            ok = np.flatnonzero(np.arange(len(ends)) + spec.window <= ends)
+            for k, seed in zip(keys, seeds, strict=True):
+                k.append(Prefix(sym, seed, is_bytes).sliding(spec.window)[ok])
+            at.append(ok + base)
+            syms.append(sym)
+            sizes.append(first[1:] + base)
+            base, i = base + len(sym), j
+        none = [np.zeros(0, np.int64)]
+        return Shard(
+            rid, rth, lo, n, [data[off[i] : off[i + 1]].tobytes() for i in range(len(off) - 1)] if spec.unit == "word" else [],
+            np.concatenate(syms[1:] or syms), np.concatenate(sizes), np.concatenate(at or none), [np.concatenate(k or [np.zeros(0, U)]) for k in keys],
+        )
+
+    def row(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.off, at, side="right") - 1
 
 
 def _candidates(s: Shard, spec: Spec) -> tuple[np.ndarray, np.ndarray]:
     """Windows (positions in sym) whose hash says that they may go, and those whose hash
     they share.  No window that goes is missing; the exact index decides."""
-    at = np.flatnonzero(s.start_ok)
-    row = row_of(s.off)[at]
-    o = np.lexsort((at, s.rid[row], s.windows[at]))
-    at, row = at[o], row[o]
-    hv = s.windows[at]
-    new = np.ones(len(hv), bool)
-    new[1:] = hv[1:] != hv[:-1]
+    rid = s.rid[s.row(s.at)]
+    o = np.lexsort((s.at, rid, s.keys[0]))
+    at, rid, key = s.at[o], rid[o], s.keys[0][o]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
     g = np.cumsum(new) - 1
     size, head = np.bincount(g), np.flatnonzero(new)
     if spec.mode == "all":
@@ -250,7 +265,7 @@ def _candidates(s: Shard, spec: Spec) -> tuple[np.ndarray, np.ndarray]:
         may = np.arange(len(at)) > head[g]
         ref = new & (size[g] > 1)
     else:
-        may = s.rid[row] > s.rid[row[head[g]]]
+        may = rid > rid[head[g]]
         ref = new & (size[g] > 1)
     return np.sort(at[may]), np.sort(at[ref])
 
@@ -259,7 +274,7 @@ def _runs(at: np.ndarray, s: Shard, spec: Spec) -> tuple[np.ndarray, np.ndarray,
     """Stretches covered by windows at `at`, by context: (context, lo, hi) in symbols."""
     if not len(at):
         return at, at, at
-    row = row_of(s.off)[at]
+    row = s.row(at)
     new = np.ones(len(at), bool)
     new[1:] = (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1])
     head = np.flatnonzero(new)
@@ -329,14 +344,12 @@ def _windows(spec: Spec) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in chunks(batches, "ctx"):
             rid, rth, lo, n = (c.batch.column(k).to_numpy(zero_copy_only=False) for k in ("rid", "rth", "lo", "n"))
-            s = Shard.of(spec, rid, rth, lo, n, c.data, c.offsets)
-            other = Prefix(s.sym, 0, spec.unit == "byte").sliding(spec.window)
-            at = np.flatnonzero(s.start_ok)
-            row = row_of(s.off)[at]
-            for i in range(0, len(at), ROWS_OUT):
-                a, r = at[i : i + ROWS_OUT], row[i : i + ROWS_OUT]
+            s = Shard.of(spec, rid, rth, lo, n, c.data, c.offsets, seeds=(1, 0))
+            for i in range(0, len(s.at), ROWS_OUT):
+                a, (w, v) = s.at[i : i + ROWS_OUT], (k[i : i + ROWS_OUT].view(np.int64) for k in s.keys)
+                r = s.row(a)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (s.windows[a].view(np.int64), other[a].view(np.int64), rid[r], rth[r], (a - s.off[r] + lo[r]).astype(np.int32), n[r])],
+                    [pa.array(x) for x in (w, v, rid[r], rth[r], (a - s.off[r] + lo[r]).astype(np.int32), n[r])],
                     names=["w", "v", "rid", "rth", "at", "n"],
                 )
 

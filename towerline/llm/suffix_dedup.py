@@ -85,16 +85,19 @@ def _by_factors(s: Shard, spec: Spec, queries, references):
     n_query = len(queries[0])
     o = np.lexsort((lo, s.rth[rows], s.rid[rows]))
     seen: dict[tuple, int] = {}
+    copies: dict[bytes, list[int]] = {}
     pieces, where, size = [], {}, 0
     for k in o:
         place = (int(rows[k]), int(lo[k]), int(hi[k]))
-        if place in seen:
-            where[int(k)] = seen[place]
-            continue
-        piece = s.sym[lo[k] : hi[k]].astype(np.int64)
-        seen[place] = where[int(k)] = size
-        pieces += [piece, np.array([256 + len(pieces)])]
-        size += len(piece) + 1
+        if place not in seen:
+            piece = s.sym[lo[k] : hi[k]]
+            held = copies.setdefault(piece.tobytes(), [])
+            if len(held) < 2:  # the second copy stands for all later ones
+                held.append(size)
+                pieces += [piece.astype(np.int64), np.array([256 + len(pieces)])]
+                size += len(piece) + 1
+            seen[place] = held[-1]
+        where[int(k)] = seen[place]
     suffixes = Suffixes(np.concatenate(pieces), spec.window)
     goes = suffixes.factor(True) >= spec.window
     if spec.mode == "all":
