@@ -2,6 +2,7 @@ import math
 import os
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -126,10 +127,72 @@ def test_language_odd_cases(spark, odd, rows, empty):
 
 
 @tables
-def test_quality_rules_keep_clean_documents(spark):
-    lab = spark.read.parquet(f"{SF}/labels.parquet")
-    r = {x["quality"]: x["k"] for x in queries.op4_quality_rules(spark, SF).filter("not base_failed").join(lab, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("double")).alias("k")).collect()}
-    assert r[1] > 0.995
+def test_quality_rules_tell_labels_apart(spark):
+    sf = "/root/testdata/sf0.1"
+    got = queries.op4_quality_rules(spark, sf).filter("not base_failed").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    r = {x["quality"]: x["k"] for x in got.groupBy("quality").agg(F.avg(F.col("kept").cast("double")).alias("k")).collect()}
+    assert r[1] > 0.96 and r[0] < 0.5
+
+
+def kneser_ney_brute(texts, order):
+    """p(byte | bytes before) from the definition, over the distinct texts."""
+    levels = [Counter()]
+    for t in set(texts):
+        b = b"\0" * (order - 1) + t
+        levels[0].update(b[i : i + order] for i in range(len(t)))
+    for _ in range(order - 1):
+        levels.append(Counter(g[1:] for g in levels[-1]))
+    levels = levels[::-1]
+
+    def p(g):
+        if not g:
+            return 1 / 256
+        seen = levels[len(g) - 1]
+        n = [max(sum(v == k for v in seen.values()), 0.5) for k in range(1, 5)]
+        y = n[0] / (n[0] + 2 * n[1])
+        d = [0] + [min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.05), 0.95 * k) for k in (1, 2, 3)]
+        after = {h: v for h, v in seen.items() if h[:-1] == g[:-1]}
+        if not after:
+            return p(g[1:])
+        total = sum(after.values())
+        freed = sum(d[min(v, 3)] for v in after.values()) / total
+        own = after.get(g, 0)
+        return (own - d[min(own, 3)]) / total + freed * p(g[1:])
+
+    return p
+
+
+def verdicts_brute(rows):
+    """rows: (id, lang, text, half) -> id: (log perplexity, kept)."""
+    value = {}
+    for lang, text, half in {r[1:] for r in rows}:
+        other = [t.encode() for _, x, t, h in rows if x == lang and h != half] or [t.encode() for _, x, t, h in rows if x == lang]
+        p, b = kneser_ney_brute(other, perplexity.ORDER), b"\0" * 4 + text.encode()
+        value[lang, text] = -np.mean([math.log(p(b[i : i + 5])) for i in range(len(b) - 4)]) if text else None
+    failed = lambda t: (lambda c: c[0] < 20 or 100 * c[4] > 30 * c[0])(counts_brute(t))
+    sound = [(x, t, v, len(t.encode())) for (x, t), v in value.items() if not failed(t)]
+    mid = {x: np.median([v for y, _, v, _ in sound if y == x]) for x, *_ in sound}
+    z = {(x, t): (v - mid[x]) / math.sqrt(1 / n + 1 / perplexity.SETTLED) for x, t, v, n in sound}
+    every = np.median([abs(v) for v in z.values()])
+    spread = {y: max(1.4826 * max(np.median([abs(v) for (x, _), v in z.items() if x == y]), every), perplexity.LEAST_SPREAD) for y in mid}
+    kept = {k: -perplexity.LOWER <= v / spread[k[0]] <= perplexity.UPPER for k, v in z.items()}
+    return {i: (value[x, t], kept.get((x, t), False)) for i, x, t, _ in rows}
+
+
+@pytest.mark.parametrize("most_grams", [perplexity.MOST_GRAMS, 10])
+def test_quality_rules_are_the_definition(spark, most_grams, monkeypatch):
+    rnd = random.Random(3)
+    words = {x: ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 5))) for _ in range(40)] for x, letters in (("a", "abcde"), ("b", "éßxyz"))}
+    data = [(i, x, " ".join(rnd.choice(words[x]) for _ in range(rnd.randint(15, 45)))) for i, x in enumerate("ab" * 14)]
+    data += [(100, "a", " ".join("".join(rnd.choice("#$%&QWRT") for _ in range(6)) for _ in range(40))), (101, "a", data[0][2]), (102, "c", "only text of c " * 2), (103, "d", None), (104, "d", "")]
+    df = spark.createDataFrame(data, "doc_id long, lang string, text string")
+    halves = [(r["lang"], r["text"], r["half"]) for r in perplexity.keyed(df, "text", "lang").collect()]
+    want = verdicts_brute([(i, *h) for (i, *_), h in zip(data, halves, strict=True)])
+    monkeypatch.setattr(perplexity, "PER_BUCKET", 300)
+    got = {r["doc_id"]: r for r in perplexity.judge_documents(df, most_grams=most_grams).collect()}
+    assert {i: r["kept"] for i, r in got.items()} == {i: k for i, (_, k) in want.items()} and not got[100]["kept"]
+    for i, (v, _) in want.items():
+        assert got[i]["log_perplexity"] is v is None or got[i]["log_perplexity"] == pytest.approx(v, abs=1e-5)
 
 
 def test_quality_rules_odd_cases(odd, rows, empty):
@@ -154,14 +217,11 @@ def test_copies_of_one_text_move_no_verdict(spark):
     assert all(k for i, k in with_copies.items() if i >= 10**6)
 
 
-def test_two_texts_of_a_language_are_in_its_band(spark):
-    scored = spark.createDataFrame([("a", 1, 1.2), ("a", 2, 1.4), *[("b", i, 1.0 + i / 1000) for i in range(100)]], "__lang string, __key long, __log_perplexity double")
-    low, high = next((r["low"], r["high"]) for r in perplexity.bands(scored).collect() if r["__lang"] == "a")
-    assert low < 1.2 and high > 1.4
-
-
-def test_perplexity_order_goes_down(odd):
-    assert perplexity.fit(odd, most_grams=200)[1].order < perplexity.ORDER
+def test_languages_without_a_word(spark):
+    df = spark.createDataFrame([(1, "some text of en", "en"), (2, None, "de"), (3, "", "de"), (4, None, None)], "doc_id long, text string, lang string")
+    for most in (perplexity.MOST_GRAMS, 1):
+        got = {r["doc_id"]: (r["log_perplexity"] is None, r["kept"]) for r in perplexity.judge_documents(df, most_grams=most).collect()}
+        assert got == {1: (False, False), 2: (True, False), 3: (True, False), 4: (True, False)}
 
 
 def test_machine_identity_and_learning():

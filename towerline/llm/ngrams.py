@@ -184,16 +184,24 @@ def partial_matching(grams: np.ndarray, counts: np.ndarray, order: int) -> Model
     return Model(tables, -np.log(256.0))
 
 
-def kneser_ney(grams: np.ndarray, counts: np.ndarray, order: int) -> Model:
-    """Interpolated modified Kneser-Ney with three discounts for each order."""
+def kinds_of(n: np.ndarray) -> np.ndarray:
+    """How many n-grams were seen once, twice, three and four times."""
+    return np.bincount(np.minimum(n, 5), minlength=6)[1:5].astype(float)
+
+
+def kneser_ney(grams: np.ndarray, counts: np.ndarray, order: int, *, low: Model | None = None, kinds: list[np.ndarray] | None = None) -> Model:
+    """Interpolated modified Kneser-Ney with three discounts for each order.
+
+    With ``low`` (the orders below) and ``kinds`` (of all n-grams, for each order), the
+    n-grams may be a part of all, as long as those that end in the same context of
+    ``len(low.orders)`` bytes are together."""
+    tables = list(low.orders) if low else []
     levels = [(grams, counts)]
-    for o in range(order, 1, -1):
+    for o in range(order, len(tables) + 1, -1):
         levels.append(_below(*levels[-1], o, types=True))
-    tables: list[Order] = []
-    below = None
-    for o, (g, n) in enumerate(reversed(levels), 1):
-        of_count = np.bincount(np.minimum(n, 5), minlength=6)[1:5].astype(float)
-        n1, n2, n3, n4 = np.maximum(of_count, 0.5)
+    below = tables[-1] if tables else None
+    for o, (g, n) in enumerate(reversed(levels), len(tables) + 1):
+        n1, n2, n3, n4 = np.maximum(kinds_of(n) if kinds is None else kinds[o - 1], 0.5)
         y = n1 / (n1 + 2 * n2)
         d = np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], [0, 0.05, 0.05, 0.05], [0, 0.95, 1.9, 2.85])
         taken = d[np.minimum(n, 3)]
