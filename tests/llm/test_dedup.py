@@ -218,8 +218,50 @@ def test_unrelated_texts_of_one_id_stay(spark):
 
 
 def test_forest_depth_reaches_its_recall():
-    d = jaccard_join.forest_depth(0.8, 24, 8, 0.99999)
+    d = int(jaccard_join.forest_depth(0.8, 24, 8, 0.99999))
     assert 1 - (1 - 0.8**d) ** 24 >= 0.99999 > 1 - (1 - 0.8 ** (d + 1)) ** 24
+    a = np.arange(1, 40)
+    least = jaccard_join.least_similarity(a[:, None], a[None], 0.8)
+    for x in range(1, 40):
+        for y in range(1, 40):
+            s = [k / (x + y - k) for k in range(min(x, y) + 1) if k >= 0.8 * (x + y - k) - 1e-9]
+            assert least[x - 1, y - 1] == pytest.approx(min(s) if s else 2)
+    depth = jaccard_join.forest_depth(np.minimum(least, 1), 24, 8, 0.99999)
+    assert depth.min() == d and depth.max() == 8 and len(np.unique(depth)) > 2
+
+
+def chain(n, rnd, size=60):
+    """Texts of which only neighbours are near each other."""
+    word = lambda: f"w{rnd.randint(0, 10**9)}"
+    w = [word() for _ in range(size)]
+    out = []
+    for i in range(n):
+        out.append((i, " ".join(w)))
+        w = [word() for _ in range(4)] + w[:-4]
+    return out
+
+
+def test_a_long_chain_goes_by_trie_nodes(spark, monkeypatch):
+    """Small blocks: the chain is dealt by trie nodes, a dense group by blocks."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    rnd = random.Random(12)
+    base = [f"d{i}" for i in range(200)]
+    dense = []
+    for i in range(50):
+        w = list(base)
+        w[rnd.randrange(200)] = f"edit{i}"
+        dense.append((1000 + i, " ".join(w)))
+    rows = chain(80, rnd) + dense
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = jaccard_join.near_duplicates(df).select("doc_id", "class_id", "n_links")
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == jaccard_brute(rows)
+
+
+def test_a_chain_of_ten_thousand_texts(spark):
+    rows = chain(10_000, random.Random(13))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = jaccard_join.near_duplicates(df).groupBy("class_id", "n_links").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 1, 2), (0, 2, 9998)]
 
 
 def test_empty_tables(empty):
