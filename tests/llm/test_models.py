@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from towerline.llm import bpe, factor_machine, langid, mixing, ngrams, permutation_index, perplexity, queries
+from towerline.llm import bpe, factor_machine, jaccard_join, langid, line_dedup, mixing, ngrams, permutation_index, perplexity, queries
 from towerline.llm.bytetext import Chunk, words
 from towerline.llm.textstats import base_counts
 
@@ -336,6 +336,16 @@ def test_mixing_odd_cases(spark, odd, rows, empty):
     assert mixing.mix(empty, labels, F.col("kind")).count() == 0
 
 
+def test_names_inside_clash_with_none(spark, odd):
+    """Stages pass columns on, also those named like the ones used inside."""
+    names = "__id __gone __lines __kept __w __t __tokens __signs __at __posterior __a __b __rid __rth __row __l __lang __key a b row t id text2 lines kept gone solid".split()
+    df = odd.select("doc_id", "text", "lang", *[F.lit(k).alias(c) for k, c in enumerate(names)])
+    labels = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, kind string")
+    for out in (line_dedup.drop_common_lines(df), jaccard_join.keep_one_each(df), perplexity.filter_documents(df), mixing.resample(df, labels, F.col("kind"), keep={"b": 0.5})):
+        got = out.collect()
+        assert out.columns == df.columns and all(tuple(r)[3:] == tuple(range(len(names))) for r in got)
+
+
 @tables
 def test_classifier_of_domains(spark):
     d, lab = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")

@@ -38,13 +38,13 @@ def _long_enough(line: Column, min_chars: int) -> Column:
 def drop_common_lines(documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5, stats: bool = False) -> DataFrame:
     """The documents with their text rewritten; with ``stats`` also n_lines and n_dropped
     (such columns of the input are replaced)."""
-    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n", -1)
+    names = [c for c in documents.columns if not (stats and c in ("n_lines", "n_dropped"))]
+    rest = [F.col(f"`{c}`") for c in names if c != text_col] or [F.lit(0).alias("none")]
+    packed = documents.select(F.struct(*rest).alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    lines = F.split(F.col("text"), "\n", -1)
     keyed = (
-        documents.filter(F.col(id_col).isNotNull())
-        .select(
-            F.col(id_col).alias("id"),
-            F.explode(F.array_distinct(F.filter(lines, lambda x: _long_enough(x, min_chars)))).alias("line"),
-        )
+        packed.filter("id is not null")
+        .select("id", F.explode(F.array_distinct(F.filter(lines, lambda x: _long_enough(x, min_chars)))).alias("line"))
         .select("id", F.xxhash64(line_key(F.col("line"))).alias("a"), F.xxhash64(F.lit("line"), line_key(F.col("line"))).alias("b"))
         .distinct()
     )
@@ -52,17 +52,14 @@ def drop_common_lines(documents: DataFrame, *, id_col: str = "doc_id", text_col:
     gone = (
         keyed.join(common.select("a", "b", "stays"), ["a", "b"])
         .filter(F.col("id") != F.col("stays"))
-        .groupBy(F.col("id").alias("__id"))
-        .agg(F.collect_set(F.struct("a", "b")).alias("__gone"))
+        .groupBy("id")
+        .agg(F.collect_set(F.struct("a", "b")).alias("gone"))
     )
     pair = lambda x: F.struct(F.xxhash64(line_key(x)).alias("a"), F.xxhash64(F.lit("line"), line_key(x)).alias("b"))
-    kept = F.when(F.col("__gone").isNull(), lines).otherwise(
-        F.filter(lines, lambda x: ~(_long_enough(x, min_chars) & F.array_contains(F.col("__gone"), pair(x))))
-    )
-    names = [c for c in documents.columns if not (stats and c in ("n_lines", "n_dropped"))]
-    out = documents.join(gone, documents[id_col] == F.col("__id"), "left").select(
-        *[documents[c] for c in names if c != text_col], lines.alias("__lines"), kept.alias("__kept")
+    kept = F.when(F.col("gone").isNull(), lines).otherwise(
+        F.filter(lines, lambda x: ~(_long_enough(x, min_chars) & F.array_contains(F.col("gone"), pair(x))))
     )
-    counts = [F.size("__lines").cast("long").alias("n_lines"), (F.size("__lines") - F.size("__kept")).cast("long").alias("n_dropped")] if stats else []
-    text = F.array_join("__kept", "\n").alias(text_col)
-    return out.select(*[text if c == text_col else F.col(f"`{c}`") for c in names], *counts)
+    out = packed.join(gone, "id", "left").select("row", lines.alias("lines"), kept.alias("kept"))
+    counts = [F.size("lines").cast("long").alias("n_lines"), (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped")] if stats else []
+    text = F.array_join("kept", "\n").alias(text_col)
+    return out.select(*[text if c == text_col else F.col(f"row.`{c}`") for c in names], *counts)

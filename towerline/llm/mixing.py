@@ -16,8 +16,8 @@
 Cases: null text has no tokens and rate 1; documents with a null id are classified like
 others (labels never match them); a label row without a document, a null label, or more
 labels for one id (the smallest domain counts) do no harm; without any labels there is one
-domain and every rate is target / tokens (1 by default); other columns pass through
-``resample``, whatever their names.
+domain and every rate is target / tokens (1 by default); more than ``MOST_DOMAINS`` domains
+raise a ValueError; other columns pass through ``resample``, whatever their names.
 """
 
 from __future__ import annotations
@@ -216,6 +216,7 @@ def resample(documents: DataFrame, labels: DataFrame, domain: Column, *, keep: d
     now = even_targets(table, len(domains.names), 1.0)
     goal = [n * keep.get(k, 1.0) for k, n in zip(domains.names, now, strict=True)]
     step = fit_rates(table, goal, max_rate=1.0)
-    rows = memberships(documents, domains, text_col=text_col, columns={c: F.col(f"`{c}`") for c in documents.columns})
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])  # packed, so that no name clashes
+    rows = memberships(documents, domains, text_col=text_col, columns={"__row": row})
     r = F.when(F.col("__tokens") == 0, 1.0).otherwise(rate(F.col("__posterior"), step, 1.0))
-    return rows.filter(copies(r, F.col(id_col), F.col(text_col)) >= 1).select(*[F.col(f"`{c}`") for c in documents.columns])
+    return rows.filter(copies(r, F.col(f"__row.`{id_col}`"), F.col(f"__row.`{text_col}`")) >= 1).select("__row.*")
