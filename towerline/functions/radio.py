@@ -22,6 +22,7 @@ EARTH_KM = 8500.0
 def path_loss_db(f_mhz: float, km: Column, mast_m: Column, urban: Column, suburban: Column) -> Column:
     """Median loss of the Hata and COST-231 formulas, blended over environments by weight
     (the rest is open land), never below free space."""
+    # The coefficients of the published formulas.
     log = math.log10
     f, d, hb = min(f_mhz, 2000.0), F.greatest(km, F.lit(LEAST_KM)), F.log10(mast_m)
     handset = (1.1 * log(f) - 0.7) * UE_HEIGHT_M - (1.56 * log(f) - 0.8)

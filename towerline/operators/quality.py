@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -86,16 +88,25 @@ def detect_gaps(staged: DataFrame, lo, hi, granularity_min: int, *, expected: Da
         seen = there.select("ems", "managed_element", day.alias("day")).distinct()
     else:
         days = there.select(F.explode(F.sequence(F.date_trunc("day", F.lit(lo)), F.lit(hi) - step, F.expr("interval 1 day"))).alias("day")).distinct()
-        seen = expected.select("ems", "managed_element").crossJoin(F.broadcast(days))
+        seen = expected.select("ems", "managed_element").crossJoin(days)
     grid = seen.withColumn("period_start", F.explode(F.sequence("day", F.col("day") + F.expr("interval 1 day") - step, step))).drop("day")
     grid = grid.filter((F.col("period_start") >= F.lit(lo)) & (F.col("period_start") < F.lit(hi)))
     return grid.join(there, ["ems", "managed_element", "period_start"], "left_anti")
 
 
+def newest(rows: DataFrame, keys: list[str], version: Sequence[str] = ()) -> DataFrame:
+    """One row for each key: that of the greatest version (ties: the greatest other values)."""
+    rest = [c for c in rows.columns if c not in (*keys, *version)]
+    best = rows.groupBy(*keys).agg(F.max(F.struct(*version, *rest)).alias("__r")) if rest or version else rows.select(*keys).distinct()
+    return best.select(*[F.col(c) if c in keys else F.col(f"__r.`{c}`") for c in rows.columns])
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], window: Column | None = None) -> DataFrame:
     """The target after rows of the source replaced those with equal keys.  With a window
     (a condition on the target's columns) the source replaces that whole part of it, so a
-    row that a corrected version dropped does not survive."""
+    row that a corrected version dropped does not survive.  A key that the source repeats
+    comes in once, with its greatest values."""
+    source = newest(source, keys)
     kept = target.filter(~F.coalesce(window, F.lit(False))) if window is not None else target.join(source.select(*keys).distinct(), keys, "left_anti")
     return kept.unionByName(source)
 

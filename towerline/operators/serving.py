@@ -78,7 +78,7 @@ def cm_changes(log: DataFrame, lo, hi, under: str | None = None) -> DataFrame:
 def alarms(fm: DataFrame, cells: DataFrame, lo, hi) -> DataFrame:
     """Alarms raised in [lo, hi), with the cell if the object is one."""
     rows = fm.filter((F.col("raised") >= F.lit(lo)) & (F.col("raised") < F.lit(hi)))
-    return rows.join(F.broadcast(cells.select("dn", "cell_name")), "dn", "left").distinct()
+    return rows.join(cells.select("dn", "cell_name"), "dn", "left").distinct()
 
 
 def alarm_notifications(fm: DataFrame) -> DataFrame:

@@ -18,6 +18,9 @@ BUILD_BASE, ROAD_PER_KM = 1_800_000_000, 120_000_000
 PERSONS_PER_SCHOOL, SCHOOL_FROM = 1500, 500
 MAX_HOP_KM, GRID_POWER_KM = 30.0, 5.0
 MAST_M, HUB_M, MICROWAVE_GHZ = 30.0, 40.0, 8.0
+#: Fixed values of the options: (Mbit/s, capex (by km if it is laid), monthly cost).
+FIBER, MICROWAVE, SATELLITE = (10_000, 150_000_000, 3_000_000), (400, 350_000_000, 2_000_000), (8, 150_000_000, 25_000_000)
+GRID_POWER, SOLAR_POWER = (0, 250_000_000, 6_000_000), (0, 650_000_000, 1_500_000)
 SERVER_SPREAD_DB, LAYER_MARGIN_DB, LAYER_SPREAD_DB, LAYER_MIN_DBM = 3.0, 8.0, 3.0, -110.0
 
 
@@ -209,11 +212,11 @@ def options(sites: DataFrame) -> DataFrame:
 
     none, yes = F.lit(0), F.lit(True)
     rows = F.array(
-        option("fiber", yes, F.round("fiber_km", 3), F.lit(10_000), cost(150_000_000, "fiber_km"), F.lit(3_000_000)),
-        option("microwave", hop, F.when(hop, F.round("hop_km", 3)).otherwise(0.0), F.when(hop, 400).otherwise(0), F.when(hop, 350_000_000).otherwise(0), F.when(hop, 2_000_000).otherwise(0)),
-        option("satellite", yes, none, F.lit(8), F.lit(150_000_000), F.lit(25_000_000)),
-        option("grid_power", on_grid, F.round("grid_km", 3), none, cost(250_000_000, "grid_km"), F.lit(6_000_000)),
-        option("solar_power", ~on_grid, none, none, F.lit(650_000_000), F.lit(1_500_000)),
+        option("fiber", yes, F.round("fiber_km", 3), F.lit(FIBER[0]), cost(FIBER[1], "fiber_km"), F.lit(FIBER[2])),
+        option("microwave", hop, F.when(hop, F.round("hop_km", 3)).otherwise(0.0), *[F.when(hop, x).otherwise(0) for x in MICROWAVE]),
+        option("satellite", yes, none, *map(F.lit, SATELLITE)),
+        option("grid_power", on_grid, F.round("grid_km", 3), none, cost(GRID_POWER[1], "grid_km"), F.lit(GRID_POWER[2])),
+        option("solar_power", ~on_grid, none, *map(F.lit, SOLAR_POWER)),
     )
     return sites.select("site", F.explode(rows).alias("x")).select("site", "x.*")
 

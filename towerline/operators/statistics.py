@@ -54,8 +54,28 @@ def spearman(df: DataFrame, x: str, y: str, by: list[str] = ()) -> DataFrame:
 
 def spearman_ordinal(df: DataFrame, x: str, y: str, by: list[str], tie: str) -> DataFrame:
     """Rank correlation with ordinal ranks within groups; ties by `tie`."""
-    rank = lambda c: F.row_number().over(Window.partitionBy(*by).orderBy(c, tie))
-    return df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("rx", rank(x)).withColumn("ry", rank(y)).groupBy(*by).agg(F.corr("rx", "ry").alias("rho"))
+    rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).select(*by, x, y, tie)
+    for c in (x, y):
+        rows = _ordinal(rows, c, by, tie, f"rank_{c}")
+    return rows.groupBy(*by).agg(F.corr(f"rank_{x}", f"rank_{y}").alias("rho"))
+
+
+def _ordinal(rows: DataFrame, c: str, by: list[str], tie: str, name: str, pieces: int = 256) -> DataFrame:
+    """rows with their place in order of (c, tie) within a group.  Values are cut at
+    quantiles, and the ties of one value at the quantiles of the tie; places are counted
+    inside these pieces, and what lies before a piece is added."""
+    at = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
+    cuts = rows.groupBy(*by).agg(F.percentile_approx(c, at, F.lit(10_000)).alias("__c"), F.percentile_approx(tie, at, F.lit(10_000)).alias("__t"))
+    below = lambda edges, v: F.size(F.filter(edges, lambda e: e < v))
+    # 2k: values between two cuts; 2k + 1: those equal to a cut, dealt further by the tie
+    is_cut = F.array_contains("__c", F.col(c))
+    piece = (2 * below(F.col("__c"), F.col(c)) + is_cut.cast("int")).alias("__p")
+    placed = rows.join(cuts, by).select(*rows.columns, piece, F.when(is_cut, below(F.col("__t"), F.col(tie))).otherwise(0).alias("__q"))
+    sizes = placed.groupBy(*by, "__p", "__q").agg(F.count("*").alias("__n"))
+    before = Window.partitionBy(*by).orderBy("__p", "__q").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    number = F.row_number().over(Window.partitionBy(*by, "__p", "__q").orderBy(c, tie))
+    return placed.withColumn("__i", number).join(sizes, [*by, "__p", "__q"]).select(*rows.columns, (F.col("__before") + F.col("__i")).alias(name))
 
 
 def rate_proxy(df: DataFrame, volume: str, users: str, least: float) -> DataFrame:
@@ -136,7 +156,7 @@ def touched(before: DataFrame, after: DataFrame, key: str, shares: dict[str, flo
 
 def set_kpis(counters: DataFrame, sets: DataFrame, ratios: dict[str, tuple[str, str]]) -> DataFrame:
     """KPIs of any sets of cells in one pass; a cell may be in several sets; 'total' is all."""
-    joined = counters.join(F.broadcast(sets), "cell_name", "left").withColumn("set_name", F.coalesce("set_name", F.lit("-")))
+    joined = counters.join(sets, "cell_name", "left").withColumn("set_name", F.coalesce("set_name", F.lit("-")))
     agg = [(F.sum(a) / F.nullif(F.sum(b), F.lit(0.0))).alias(k) for k, (a, b) in ratios.items()]
     per = joined.filter("set_name <> '-'").groupBy("set_name").agg(*agg)
     return per.unionByName(counters.agg(*agg).select(F.lit("total").alias("set_name"), *ratios))
@@ -185,7 +205,8 @@ def tail_share(hist: DataFrame, by: str, bin_: str, n: str, edge: int) -> DataFr
 
 def arrival_wait(files: DataFrame, cutoffs: DataFrame, at: list[float]) -> DataFrame:
     """Minutes from a file's arrival to the cutoff of its day; percentiles by index, the
-    half-even rounding of q * (n - 1)."""
+    half-even rounding of q * (n - 1).  Waits are whole seconds within a day, so their
+    counts, which one task puts in order, are no more than a day has."""
     rows = files.join(F.broadcast(cutoffs), "day").select((F.timestamp_diff("SECOND", "arrival_time", "cutoff") / 60.0).alias("wait"))
     n = rows.agg(F.count("*").alias("n"))
     values = rows.groupBy("wait").agg(F.count("*").alias("m"))
@@ -212,6 +233,7 @@ def inventory(cells: DataFrame, by: list[str]) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """A number that depends on the rows, not on their order."""
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
-    return df.agg(F.count("*").alias("rows"), F.bit_xor(h).alias("xor"), F.sum(F.pmod(h, F.lit(1_000_000_007))).alias("total"))
+    """Numbers that depend on the rows, not on their order: the sum of 48 bits of a digest
+    of each row's values as text, in order of column names."""
+    text = F.concat_ws("\x1f", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x1e")) for c in sorted(df.columns)])
+    return df.agg(F.count("*").alias("rows"), F.sum(F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("decimal(38,0)")).alias("total"))

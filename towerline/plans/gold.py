@@ -35,15 +35,15 @@ register("b04_with_release", lambda v: dictionary.with_release(v.bronze().withCo
 
 def _helpers(v: Views):
     kind = F.col("counter")
-    name = F.when(kind == "click", "prb.available").when(kind == "view", "prb.used").when(kind == "error", "availability.up").otherwise("availability.all")
-    rows = v.bronze().filter("release = 'R1'").withColumn("measurement", name)
+    name = F.when(kind.isin("click", "click_v2"), "prb.available").when(kind == "view", "prb.used").when(kind == "error", "availability.up").otherwise("availability.all")
+    rows = v.bronze().withColumn("measurement", name)
     per = rows.groupBy("ems", "cell_name", F.date_trunc("day", "period_start").alias("period_start"), "measurement").agg(F.sum("value").alias("value"), F.bool_or("suspect").alias("suspect"), F.min("counter").alias("counter"))
     return per.withColumn("late", F.lit(False)).withColumn("versions", F.lit(1)).withColumn("granularity_min", F.lit(15))
 
 
 register("b05_derive", lambda v: rounded(dictionary.derive(_helpers(v), ["ems", "cell_name", "period_start", "granularity_min"]).select("ems", "cell_name", "period_start", "measurement", F.col("value").cast("double").alias("value"), "suspect", "counter"), 4),
          with_views("bronze", body="""
-, h AS (SELECT ems, cell_name, date_trunc('day', period_start)::TIMESTAMP AS period_start, CASE counter WHEN 'click' THEN 'a' WHEN 'view' THEN 'u' WHEN 'error' THEN 'p' ELSE 'o' END AS m, sum(value) AS value, bool_or(suspect) AS suspect, min(counter) AS counter FROM bronze WHERE release = 'R1' GROUP BY ALL),
+, h AS (SELECT ems, cell_name, date_trunc('day', period_start)::TIMESTAMP AS period_start, CASE WHEN counter IN ('click', 'click_v2') THEN 'a' WHEN counter = 'view' THEN 'u' WHEN counter = 'error' THEN 'p' ELSE 'o' END AS m, sum(value) AS value, bool_or(suspect) AS suspect, min(counter) AS counter FROM bronze GROUP BY ALL),
 w AS (SELECT ems, cell_name, period_start, max(value) FILTER (WHERE m = 'a') AS a, max(value) FILTER (WHERE m = 'u') AS u, max(value) FILTER (WHERE m = 'p') AS p, max(value) FILTER (WHERE m = 'o') AS o, bool_or(suspect) AS suspect, string_agg(DISTINCT counter, ' / ' ORDER BY counter) AS counter FROM h GROUP BY ALL)
 SELECT ems, cell_name, period_start, 'RRU.PrbTotDl' AS measurement, round(100 * u / nullif(a, 0)) AS value, suspect, counter FROM w WHERE a IS NOT NULL AND u IS NOT NULL
 UNION ALL SELECT ems, cell_name, period_start, 'RRU.CellUnavailableTime.sum', round(900 * (1 - p / nullif(o, 0)), 4), suspect, counter FROM w WHERE p IS NOT NULL AND o IS NOT NULL""".replace("\n, h AS", "\n, h AS", 1)))
@@ -192,7 +192,7 @@ WORST = (f"{sums_sql('day').replace('agg AS', 'aggd AS', 1)}, {sums_sql('week').
          "cnt AS (SELECT date_trunc('week', d.period)::DATE AS week_start, kpi_id, cell_name, up, lim, count(*) AS days_judged, count(*) FILTER (WHERE CASE WHEN up THEN value < lim ELSE value > lim END) AS breach_days FROM dk d JOIN cat USING (kpi_id) WHERE value IS NOT NULL GROUP BY ALL), "
          "worst AS (SELECT c.week_start, c.kpi_id, c.cell_name, c.days_judged, c.breach_days, w.value AS week_value, row_number() OVER (PARTITION BY c.week_start, c.kpi_id ORDER BY breach_days DESC, CASE WHEN up THEN lim - w.value ELSE w.value - lim END DESC NULLS LAST, c.cell_name) AS rank FROM cnt c LEFT JOIN wk w ON w.cell_name = c.cell_name AND w.kpi_id = c.kpi_id AND w.period = c.week_start WHERE breach_days >= 1)")
 register("d33_worst_cells_week", lambda v: worst(v).select("week_start", "kpi_id", "cell_name", "days_judged", "breach_days"), with_views("wide", body=f", {WORST} SELECT week_start, kpi_id, cell_name, days_judged, breach_days FROM worst"))
-register("d39_worst_summary", lambda v: network.worst_summary(worst(v).filter("kpi_id = 'GSM_TCH_BLOCK'")), with_views("wide", body=f", {WORST}, w AS (SELECT week_start, count(*) AS n FROM worst WHERE kpi_id = 'GSM_TCH_BLOCK' GROUP BY 1) SELECT count(*) AS weeks, sum(n)::BIGINT AS cell_weeks, max(n) AS most_in_a_week FROM w"))
+register("d39_worst_summary", lambda v: network.worst_summary(worst(v)), with_views("wide", body=f", {WORST}, w AS (SELECT week_start, count(*) AS n FROM worst GROUP BY 1) SELECT count(*) AS weeks, sum(n)::BIGINT AS cell_weeks, max(n) AS most_in_a_week FROM w"))
 register("d34_network_day", lambda v: rounded(network.network_day(v.wide().join(F.broadcast(v.cells().select("cell_name", "n_rb")), "cell_name"), {"rrc": ("rrc_succ", "rrc_att"), "ho": ("ho_succ", "ho_att")}, "n_rb", "prb_pct"), 6),
          with_views("wide", "cells", body="SELECT (period_start + INTERVAL 7 HOUR)::DATE AS day, round(sum(rrc_succ) / nullif(sum(rrc_att), 0), 6) AS rrc, round(sum(ho_succ) / nullif(sum(ho_att), 0), 6) AS ho, round(sum(prb_pct * n_rb) / nullif(sum(n_rb), 0), 6) AS prb_pct_weighted FROM wide JOIN cells USING (cell_name) GROUP BY 1"))
 MIX = "mix AS (SELECT CASE WHEN dayofweek((period_start + INTERVAL 7 HOUR)::DATE) IN (0, 6) THEN 'weekend' ELSE 'weekday' END AS day_kind, area, sum(ip_vol_kbit) AS volume, sum(ip_vol_kbit) / nullif(sum(ip_time_ms), 0) AS throughput, sum(prb_pct * n_rb) / nullif(sum(n_rb), 0) AS load FROM wide JOIN cells USING (cell_name) GROUP BY 1, 2), mixed AS (SELECT *, volume / sum(volume) OVER (PARTITION BY day_kind) AS share FROM mix)"

@@ -102,12 +102,12 @@ register("c18_missing_files", lambda v: q.missing_files(staged(v).filter((F.col(
          with_views("bronze", body=f", {STAGED}, {GAPS}, e AS (SELECT ems, period_start::DATE AS day, count(DISTINCT managed_element) AS n FROM there GROUP BY 1, 2), m AS (SELECT ems, period_start, count(DISTINCT managed_element) AS missing FROM gaps GROUP BY 1, 2) SELECT m.ems, m.period_start, m.missing FROM m JOIN e ON e.ems = m.ems AND e.day = m.period_start::DATE AND e.n = m.missing"))
 register("c19_continuous_across", lambda v: q.continuous_across(staged(v).withColumn("period_start", F.date_trunc("month", "period_start")), "view"),
          with_views("bronze", body=f", {STAGED} SELECT managed_element, count(DISTINCT release) AS releases, count(DISTINCT date_trunc('month', period_start)) AS periods, count(DISTINCT CASE WHEN measurement = 'view' THEN date_trunc('month', period_start) END) AS with_measurement FROM staged GROUP BY 1 HAVING count(DISTINCT release) >= 2 AND count(DISTINCT date_trunc('month', period_start)) = count(DISTINCT CASE WHEN measurement = 'view' THEN date_trunc('month', period_start) END)"))
-register("c20_quality_events", lambda v: q.quality_events(v.deliveries().limit(0).select("ems", F.lit("x").alias("managed_element"), "period_start"), states(v), datetime(1997, 1, 1), datetime(1997, 3, 1)),
-         with_views(*_D, body=f", {LATE}, x AS (SELECT * FROM marked WHERE period_start >= TIMESTAMP '1997-01-01' AND period_start < TIMESTAMP '1997-03-01') SELECT 'late_file' AS kind, ems, period_start, file_name || ' arrived ' || strftime(first_arrival, '%Y-%m-%d %H:%M') AS detail FROM x WHERE late UNION ALL SELECT CASE WHEN versions > 1 THEN 'changed_redelivery' ELSE 'duplicate_delivery' END, ems, period_start, file_name || ' delivered ' || deliveries || ' times' FROM x WHERE deliveries > 1"))
+register("c20_quality_events", lambda v: q.quality_events(gaps(v), states(v), datetime(1997, 1, 1), datetime(2024, 2, 1)),
+         with_views("bronze", *_D, body=f", {LATE}, {STAGED}, {GAPS}, x AS (SELECT * FROM marked WHERE period_start >= TIMESTAMP '1997-01-01' AND period_start < TIMESTAMP '2024-02-01') SELECT 'late_file' AS kind, ems, period_start, file_name || ' arrived ' || strftime(first_arrival, '%Y-%m-%d %H:%M') AS detail FROM x WHERE late UNION ALL SELECT CASE WHEN versions > 1 THEN 'changed_redelivery' ELSE 'duplicate_delivery' END, ems, period_start, file_name || ' delivered ' || deliveries || ' times' FROM x WHERE deliveries > 1 UNION ALL SELECT 'missing_period', ems, period_start, 'no values of ' || managed_element FROM gaps"))
 register("c21_case_counts", lambda v: q.case_counts(gaps(v), states(v), staged(v)), with_views("bronze", *_D, body=f", {LATE}, {STAGED}, {GAPS} SELECT 'late_files' AS \"case\", count(*) FILTER (WHERE late) AS rows FROM marked UNION ALL SELECT 'duplicate_deliveries', count(*) FILTER (WHERE deliveries > 1 AND versions <= 1) FROM marked UNION ALL SELECT 'changed_files', count(*) FILTER (WHERE versions > 1) FROM marked UNION ALL SELECT 'suspect_values', count(*) FILTER (WHERE suspect) FROM staged UNION ALL SELECT 'conflict_values', count(*) FILTER (WHERE conflict) FROM staged UNION ALL SELECT 'null_values', count(*) FILTER (WHERE value IS NULL) FROM staged UNION ALL SELECT 'gaps', count(*) FROM gaps"))
 register("c22_flag_counts", lambda v: q.flag_counts(staged(v), ["ems", "release", "measurement"]), with_views("bronze", body=f", {STAGED} SELECT ems, release, measurement, count(*) AS rows, count(*) FILTER (WHERE suspect) AS suspect, count(*) FILTER (WHERE late) AS late, count(*) FILTER (WHERE conflict) AS conflict, count(*) FILTER (WHERE value IS NULL) AS empty FROM staged GROUP BY ALL"))
 register("c23_complete_days", lambda v: q.complete_days(_loads(v), 2), f"WITH {LOADS}, b AS (SELECT day FROM loads GROUP BY day HAVING count(DISTINCT ems) = 2) SELECT day FROM b WHERE day + 1 IN (SELECT day FROM b)")
 register("c24_invariants", lambda v: q.invariants(v.wide(), [("rrc_succ", "rrc_att"), ("tch_succ", "tch_blocked")], ["prb_pct"]), with_views("wide", body="SELECT 'rrc_succ <= rrc_att' AS rule, count(*) FILTER (WHERE rrc_succ > rrc_att) AS rows FROM wide UNION ALL SELECT 'tch_succ <= tch_blocked', count(*) FILTER (WHERE tch_succ > tch_blocked) FROM wide UNION ALL SELECT 'prb_pct in 0 to 100', count(*) FILTER (WHERE NOT prb_pct BETWEEN 0 AND 100) FROM wide"))
 register("c25_consistency", lambda v: q.consistency(v.table("orders"), v.table("orders").join(v.table("lineitem"), F.col("o_orderkey") == F.col("l_orderkey")).groupBy("o_orderpriority").agg(F.count_distinct("o_orderkey").alias("expected")), ["o_orderpriority"]),
          "WITH h AS (SELECT o_orderpriority, count(*) AS exported FROM orders GROUP BY 1), e AS (SELECT o_orderpriority, count(DISTINCT o_orderkey) AS expected FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1) SELECT o_orderpriority, coalesce(exported, 0) AS exported, coalesce(expected, 0) AS expected, coalesce(exported, 0) = coalesce(expected, 0) AS agrees FROM h FULL JOIN e USING (o_orderpriority)")
-register("c26_leaks", lambda v: q.leaks(v.table("conversations").select("conv_id", "turn", F.col("text")), v.table("benchmark").select("text"), ["text"]).groupBy("conv_id").agg(F.count("*").alias("rows")), "SELECT conv_id, count(*) AS rows FROM conversations WHERE text IN (SELECT text FROM benchmark) GROUP BY 1")
+register("c26_leaks", lambda v: q.leaks(v.table("lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_shipdate").cast("date").alias("day")), v.table("orders").select((F.col("o_custkey") % 100).alias("k"), F.col("o_orderdate").cast("date").alias("day")), ["k", "day"]).groupBy("k").agg(F.count("*").alias("rows")), "SELECT l_suppkey AS k, count(*) AS rows FROM lineitem WHERE (l_suppkey, l_shipdate::DATE) IN (SELECT o_custkey % 100, o_orderdate::DATE FROM orders) GROUP BY 1")

@@ -10,7 +10,7 @@ from ..functions import names
 from ..functions.clock import to_utc
 from ..operators import kpis, quality, serving, space
 from .gold import SILVER, mapped, silver, sums_sql, worst, WORST
-from .quality import states
+from .quality import GAPS, STAGED, gaps, states
 from .registry import register, rounded
 from .views import Views, place_sql, with_views
 
@@ -39,8 +39,8 @@ register("e04_topology", lambda v: serving.topology(v.cells()).select("site", F.
 register("e05_kpi_series", lambda v: rounded(serving.kpi_series(kpis.kpi_table(v.wide(), "LTE", "hour", only="LTE_RRC_SSR"), "s1", "LTE_RRC_SSR", 1, datetime(1996, 3, 1), datetime(1996, 4, 1)).select("period", "value"), 4), with_views("wide", body=f", {sums_sql('hour')} SELECT period, round(100 * rrc_succ / nullif(rrc_att, 0), 4) AS value FROM agg WHERE cell_name = 's1' AND period >= TIMESTAMP '1996-03-01' AND period < TIMESTAMP '1996-04-01'"))
 register("e06_worst_list", lambda v: serving.worst_list(worst(v), date(1996, 3, 4), "GSM_TCH_BLOCK").select("cell_name", "days_judged", "breach_days"), with_views("wide", body=f", {WORST} SELECT cell_name, days_judged, breach_days FROM worst WHERE week_start = DATE '1996-03-04' AND kpi_id = 'GSM_TCH_BLOCK'"))
 register("e07_snapshot_as_of", lambda v: serving.snapshot_as_of(v.cm(), ["dn"], "time", AT).select("dn", "time", "id", "status"), with_views("cm", body=f"SELECT dn, time, id, status FROM cm WHERE time <= {AT_SQL} QUALIFY row_number() OVER (PARTITION BY dn ORDER BY time DESC, ems DESC, id DESC) = 1"))
-register("e07_as_of_join", lambda v: serving.as_of_join(v.table("lineitem").select((F.col("l_suppkey") % 50).alias("k"), "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("at")), v.table("orders").filter("o_orderkey % 5 = 0").groupBy((F.col("o_custkey") % 50).alias("k"), F.col("o_orderdate").alias("t")).agg(F.max("o_totalprice").alias("price")), ["k"], "at", "t").select("l_orderkey", "l_linenumber", "t", "price"),
-         "WITH l AS (SELECT l_suppkey % 50 AS k, l_orderkey, l_linenumber, l_shipdate AS at FROM lineitem), r AS (SELECT o_custkey % 50 AS k, o_orderdate AS t, max(o_totalprice) AS price FROM orders WHERE o_orderkey % 5 = 0 GROUP BY 1, 2) SELECT l_orderkey, l_linenumber, t, price FROM l ASOF LEFT JOIN r ON l.k = r.k AND l.at >= r.t")
+register("e07_as_of_join", lambda v: serving.as_of_join(v.table("lineitem").select((F.col("l_suppkey") % 50).alias("k"), "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("at")), v.table("orders").groupBy((F.col("o_custkey") % 50).alias("k"), F.col("o_orderdate").alias("t")).agg(F.max("o_totalprice").alias("price")), ["k"], "at", "t").select("l_orderkey", "l_linenumber", "t", "price"),
+         "WITH l AS (SELECT l_suppkey % 50 AS k, l_orderkey, l_linenumber, l_shipdate AS at FROM lineitem), r AS (SELECT o_custkey % 50 AS k, o_orderdate AS t, max(o_totalprice) AS price FROM orders GROUP BY 1, 2) SELECT l_orderkey, l_linenumber, t, price FROM l ASOF LEFT JOIN r ON l.k = r.k AND l.at >= r.t")
 register("e08_cm_changes", lambda v: serving.cm_changes(v.cm(), datetime(1996, 1, 1), datetime(1996, 2, 1)), with_views("cm", body="SELECT DISTINCT * FROM cm WHERE time >= TIMESTAMP '1996-01-01' AND time < TIMESTAMP '1996-02-01'"))
 
 
@@ -88,8 +88,8 @@ register("e15_before_after", lambda v: serving.before_after(history(v), ["k"], "
 register("e16_lake_clock", lambda v: serving.lake_clock(v.deliveries(), v.bronze(), v.table("orders").select(F.col("o_orderdate").cast("date").alias("day"))), with_views("deliveries", "bronze", body="SELECT (SELECT max(arrival_time) FROM deliveries) AS newest_arrival, (SELECT max(period_start) FROM bronze) AS silver_end, (SELECT max(o_orderdate)::DATE FROM orders) AS gold_day"))
 register("e17_file_status", lambda v: serving.file_status(v.deliveries().withColumn("kind", F.lit("PM"))), with_views("deliveries", body=", n AS (SELECT max(arrival_time) AS n FROM deliveries) SELECT ems, 'PM' AS kind, count(*) AS files, count(*) FILTER (WHERE arrival_time > n - INTERVAL 1 DAY) AS last_day, count(*) FILTER (WHERE NOT loaded) AS not_loaded, max(arrival_time) AS latest FROM deliveries, n GROUP BY ems"))
 register("e18_layer_counts", lambda v: serving.layer_counts({"bronze": v.bronze(), "deliveries": v.deliveries(), "files": states(v)}), with_views("bronze", "deliveries", "states", body="SELECT 'bronze' AS layer, count(*) AS rows FROM bronze UNION ALL SELECT 'deliveries', count(*) FROM deliveries UNION ALL SELECT 'files', count(*) FROM states"))
-register("e18_latest_events", lambda v: quality.quality_events(v.deliveries().limit(0).select("ems", F.lit("x").alias("managed_element"), "period_start"), states(v), datetime(1990, 1, 1), datetime(2010, 1, 1)).orderBy(F.desc("period_start"), "kind", "ems", "detail").limit(20).select("kind", "ems", "period_start"),
-         with_views("deliveries", "states", body=", later AS (SELECT ems, period_start, min(min(first_arrival)) OVER (PARTITION BY ems ORDER BY period_start ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM states GROUP BY ems, period_start), m AS (SELECT s.*, coalesce(first_arrival > nxt, false) AS late FROM states s JOIN later USING (ems, period_start)), e AS (SELECT 'late_file' AS kind, ems, period_start, file_name || ' a' AS detail FROM m WHERE late UNION ALL SELECT CASE WHEN versions > 1 THEN 'changed_redelivery' ELSE 'duplicate_delivery' END, ems, period_start, file_name || ' d' FROM m WHERE deliveries > 1) SELECT kind, ems, period_start FROM e ORDER BY period_start DESC, kind, ems, detail LIMIT 20"))
+register("e18_latest_events", lambda v: quality.quality_events(gaps(v), states(v), datetime(1990, 1, 1), datetime(2030, 1, 1)).orderBy(F.desc("period_start"), "kind", "ems", "detail").limit(20).select("kind", "ems", "period_start"),
+         with_views("bronze", "deliveries", "states", body=f", {STAGED}, {GAPS}, later AS (SELECT ems, period_start, min(min(first_arrival)) OVER (PARTITION BY ems ORDER BY period_start ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM states GROUP BY ems, period_start), m AS (SELECT s.*, coalesce(first_arrival > nxt, false) AS late FROM states s JOIN later USING (ems, period_start)), e AS (SELECT 'late_file' AS kind, ems, period_start, file_name || ' a' AS detail FROM m WHERE late UNION ALL SELECT CASE WHEN versions > 1 THEN 'changed_redelivery' ELSE 'duplicate_delivery' END, ems, period_start, file_name || ' d' FROM m WHERE deliveries > 1 UNION ALL SELECT 'missing_period', ems, period_start, 'no values of ' || managed_element FROM gaps) SELECT kind, ems, period_start FROM e ORDER BY period_start DESC, kind, ems, detail LIMIT 20"))
 register("e19_planning_table", lambda v: v.place("part", "p_partkey", "village").select("village", "x", "y").orderBy("village"), f"SELECT village, x::DOUBLE AS x, y::DOUBLE AS y FROM {place_sql('part', 'p_partkey', 'village')}")
 register("e20_range_read", lambda v: rounded(serving.kpi_series(kpis.kpi_table(v.wide(), "GSM", "hour", only="GSM_HOSR"), "s2", "GSM_HOSR", 1, datetime(1996, 3, 1), datetime(1996, 4, 1), cap=5000).select("period", "value"), 4), with_views("wide", body=f", {sums_sql('hour')} SELECT period, round(100 * ho_succ / nullif(ho_att, 0), 4) AS value FROM agg WHERE cell_name = 's2' AND ho_att IS NOT NULL AND period >= TIMESTAMP '1996-03-01' AND period < TIMESTAMP '1996-04-01'"))
 register("e21_first_rich_window", lambda v: serving.first_rich_window(v.table("events"), "ts", "event_type").select("window_start", "event_type", "first"), "WITH r AS (SELECT *, unnest([date_trunc('week', ts)::DATE, date_trunc('week', ts)::DATE - 7]) AS window_start FROM events), f AS (SELECT window_start FROM r GROUP BY 1 HAVING count(DISTINCT event_type) >= 3 ORDER BY 1 LIMIT 1) SELECT window_start, event_type, min(ts) AS first FROM r JOIN f USING (window_start) GROUP BY 1, 2")

@@ -38,17 +38,23 @@ def _pm_text(positional: bool):
     )
 
 
-def _written(v: Views, text) -> str:
-    """Sixteen files with a root around their collections."""
-    path = scratch_path(v.spark, "pm")
-    key = F.concat("ems", (F.crc32("cell_name") % 8).cast("string")).alias("key")
+#: Collections of a composed file on average, so that files grow in number and not in size.
+PER_FILE = 500
+
+
+def _written(v: Views, text, name: str = "pm", packed: bool = True) -> str:
+    """Files of about ``PER_FILE`` collections with a root around them, with gzip or plain."""
+    path = scratch_path(v.spark, name)
+    hours = _hours(v)
+    n = max(hours.count() // PER_FILE, 1)
     whole = F.concat(F.lit("<files>"), F.array_join(F.collect_list("t"), ""), F.lit("</files>")).alias("value")
-    _hours(v).select(key, text.alias("t")).groupBy("key").agg(whole).repartition("key").write.partitionBy("key").text(path)
+    files_ = hours.select(F.pmod(F.xxhash64(*_PER), F.lit(n)).alias("k"), text.alias("t")).groupBy("k").agg(whole).drop("k")
+    files_.write.option("maxRecordsPerFile", 1).option("compression", "gzip" if packed else "none").text(path)
     return path
 
 
 def pm_files(v: Views, positional: bool = False) -> str:
-    return _written(v, _pm_text(positional))
+    return _written(v, _pm_text(positional), packed=not positional)
 
 
 _PM = """hourly AS (SELECT ems, cell_name, date_trunc('hour', period_start)::TIMESTAMP AS hour, counter, sum(value) AS v, bool_or(suspect) AS s FROM bronze GROUP BY ALL),
@@ -65,11 +71,9 @@ for _n, _p in (("a01_read_pm_xml", False), ("a01_read_pm_xml_positional", True))
 
 
 def omes_files(v: Views) -> str:
-    path = scratch_path(v.spark, "omes")
-    body = F.array_join(F.transform("x", lambda t: F.concat(F.lit("<"), t["counter"], F.lit(">"), t["text"], F.lit("</"), t["counter"], F.lit(">"))), "")
+    body = F.array_join(F.transform("x", lambda t: F.concat(F.lit("<"), t["counter"], F.lit(' unit="a&amp;b">'), t["text"], F.lit("</"), t["counter"], F.lit(">"))), "")
     text = F.concat(F.lit('<OMeS><PMSetup startTime="'), F.date_format("hour", "yyyy-MM-dd'T'HH:mm:ss"), F.lit('+00:00:00" interval="60"><PMMOResult><MO><DN>PLMN-1/'), F.col("cell_name"), F.lit("/LNCEL-1</DN></MO><PMTarget measurementType=\"G\">"), body, F.lit("</PMTarget></PMMOResult></PMSetup></OMeS>"))
-    _hours(v).select(text).repartition(2).write.text(path)
-    return path
+    return _written(v, text, "omes")
 
 
 register("a02_read_omes_xml", lambda v: _ntz(rounded(files.read_omes_xml(v.spark, omes_files(v)).select("managed_element", "object_dn", "meas_group", "counter", "value", "period_start", "period_end"), 3)),
@@ -77,6 +81,9 @@ register("a02_read_omes_xml", lambda v: _ntz(rounded(files.read_omes_xml(v.spark
 register("a03_file_period", lambda v: _ntz(v.table("orders").select("o_orderkey", files.file_period(F.concat(F.lit("A"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit(".2345+0700-0000+0700_unit-"), F.col("o_custkey").cast("string"), F.lit(".xml.gz"))).alias("p")).select("o_orderkey", "p.start", "p.end")),
          "SELECT o_orderkey, o_orderdate::DATE + INTERVAL 1005 MINUTE AS start, o_orderdate::DATE + INTERVAL 1020 MINUTE AS \"end\" FROM orders")
 
+register("a03_omes_names", lambda v: _ntz(v.table("orders").select("o_orderkey", F.concat(F.lit("OMeS_EMS-"), F.col("o_custkey").cast("string"), F.lit("_"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("T0815Z.xml.gz")).alias("n")).select("o_orderkey", files.omes_name(F.col("n"))["ems"].alias("ems"), files.file_period(F.col("n"))["start"].alias("start"))),
+         "SELECT o_orderkey, 'EMS-' || o_custkey AS ems, o_orderdate::DATE + INTERVAL 495 MINUTE AS start FROM orders")
+
 
 def record_files(v: Views) -> str:
     path = scratch_path(v.spark, "records")
@@ -90,7 +97,7 @@ register("a04_read_records", lambda v: rounded(files.read_records(v.spark, recor
 
 def _ledger(v: Views):
     path = pm_files(v)
-    return files.file_ledger(v.spark, path, files.read_pm_xml(v.spark, path)).filter(F.col("file_name").endswith(".txt")).dropDuplicates(["file_name"])
+    return files.file_ledger(v.spark, path, files.read_pm_xml(v.spark, path)).filter(F.col("file_name").contains(".txt"))
 
 
 register("a05_file_ledger", lambda v: _ledger(v).agg(F.sum("rows").alias("rows"), F.bool_and("loaded").alias("loaded"), F.bool_and(F.length("file_hash") == 64).alias("hashed")), with_views("bronze", body=f", {_PM} SELECT count(*) AS rows, true AS loaded, true AS hashed FROM pm"))
@@ -103,12 +110,27 @@ def csv_file(v: Views) -> str:
 
 
 register("a06_read_counters_csv", lambda v: rounded(files.read_counters_csv(v.spark, csv_file(v)).groupBy("base_station", "sector").agg(F.count("*").alias("n"), F.sum("volume").alias("volume"), F.max("ts").cast("timestamp_ntz").alias("last")), 4), "SELECT 'b,' || user_id AS base_station, event_type AS sector, count(*) AS n, round(sum(value * 2), 4) AS volume, date_trunc('second', max(ts))::TIMESTAMP AS last FROM events GROUP BY 1, 2")
-_RAW = ["ems", "cell_name", "period_start", "counter", "value", "file_name"]
+_RAW = ["ems", "cell_name", "period_start", "counter", "value", "file_name", "arrival_time", "file_hash"]
+
+
+_KEYS = ["ems", "cell_name", "counter", "period_start"]
+
 
+def _arrivals(v: Views, by_day: bool = True):
+    """Values with an arrival; by day, each event of a day delivers the day's value anew:
+    versions of one key, which arrive in another order than they are written."""
+    late = F.col("ts") + F.make_dt_interval(hours=(F.col("row_id") * 7 % 50).cast("int"))
+    rows = v.bronze().withColumn("period_start", F.date_trunc("day", "period_start").cast("timestamp_ntz")) if by_day else v.bronze()
+    return rows.withColumn("arrival_time", late).withColumn("file_hash", F.md5(F.col("row_id").cast("string")))
 
-def bronze_table(v: Views) -> str:
+
+_NEWEST = """arrived AS (SELECT ems, cell_name, counter, date_trunc('day', period_start)::TIMESTAMP AS period_start, value, row_id, ts + to_hours(row_id * 7 % 50) AS arrival_time, md5(row_id::VARCHAR) AS file_hash FROM bronze),
+newest AS (SELECT ems, cell_name, counter, period_start, arg_max(value, {'a': arrival_time, 'h': file_hash}) AS value, max(arrival_time) AS arrival_time FROM arrived GROUP BY ALL)"""
+
+
+def bronze_table(v: Views, by_day: bool = False) -> str:
     path = scratch_path(v.spark, "bronze")
-    half = v.bronze().select(*_RAW, "row_id")
+    half = _arrivals(v, by_day).select(*_RAW, "row_id")
     sinks.append_bronze(half.filter("row_id % 2 = 0").drop("row_id"), path, _RAW)
     sinks.append_bronze(half.filter("row_id % 2 = 1").drop("row_id"), path, _RAW)
     return path
@@ -137,12 +159,21 @@ def _broken(v: Views):
     return files.raw_pm_xml(v.spark, _written(v, text))
 
 
+def _broken_positional(v: Views):
+    good = _pm_text(True)
+    shifted = F.replace(good, F.lit('<r p="1">'), F.lit('<r p="99">'))
+    twice = F.replace(good, F.lit('<measType p="1">'), F.lit('<measType p="1">x</measType><measType p="1">'))
+    text = F.when(F.length("cell_name") == 2, shifted).when(F.length("cell_name") == 3, twice).otherwise(good)
+    return files.raw_pm_xml(v.spark, _written(v, text))
+
+
+register("a11_validate_positional", lambda v: files.validate_pm_files(_broken_positional(v)).groupBy("violation").agg(F.count("*").alias("files")), with_views("bronze", body=", h AS (SELECT DISTINCT ems, cell_name, date_trunc('hour', period_start) AS h FROM bronze) SELECT 'results do not match types' AS violation, count(*) AS files FROM h WHERE length(cell_name) IN (2, 3) HAVING count(*) > 0"))
 register("a11_validate_pm_files", lambda v: files.validate_pm_files(_broken(v)).groupBy("violation").agg(F.count("*").alias("files")), with_views("bronze", body=", h AS (SELECT DISTINCT ems, cell_name, date_trunc('hour', period_start) AS h FROM bronze) SELECT CASE length(cell_name) WHEN 2 THEN 'bad granPeriod duration' ELSE 'results do not match types' END AS violation, count(*) AS files FROM h WHERE length(cell_name) IN (2, 3) GROUP BY 1"))
 
 
 def _profile(v: Views):
     path = pm_files(v)
-    return files.corpus_profile(files.file_ledger(v.spark, path).filter(F.col("file_name").endswith(".txt")), files.read_pm_xml(v.spark, path)).select("kind", "values", "counters")
+    return files.corpus_profile(files.file_ledger(v.spark, path).filter(F.col("file_name").contains(".txt")), files.read_pm_xml(v.spark, path)).select("kind", "values", "counters")
 
 
 register("a12_corpus_profile", _profile, with_views("bronze", body=f", {_PM} SELECT 'p' AS kind, count(*) AS values, count(DISTINCT counter) AS counters FROM pm"))
@@ -151,18 +182,32 @@ register("a13_layer_sizes", lambda v: files.layer_sizes(v.spark, {"orders": f"{v
 
 def _stream(v: Views):
     """The bronze table of this run as a stream of its files."""
-    path = bronze_table(v)
-    return ingest.pick_up(v.spark, path, v.spark.read.parquet(path).schema, files_per_batch=8)
+    path = bronze_table(v, by_day=True)
+    return ingest.pick_up(v.spark, path, v.spark.read.parquet(path).schema, files_per_batch=24)
+
+
+_VALUES = [*_KEYS, "value", "arrival_time"]
 
 
 def _merged(v: Views):
     out = scratch_path(v.spark, "silver")
-    keys = ["ems", "cell_name", "counter", "period_start"]
-    ingest.run_once(_stream(v).select(*keys), ingest.merge_batches(out, keys), scratch_path(v.spark, "ckpt"))
+    ingest.run_once(_stream(v).drop("day"), ingest.merge_batches(out, _KEYS), scratch_path(v.spark, "ckpt"))
     return v.spark.read.parquet(out)
 
 
-register("j01_pick_up_and_merge", lambda v: _merged(v).groupBy("ems", "counter").agg(F.count("*").alias("n")), with_views("bronze", body="SELECT ems, counter, count(*) AS n FROM (SELECT DISTINCT ems, cell_name, counter, period_start FROM bronze) GROUP BY 1, 2"))
+register("j01_pick_up_and_merge", lambda v: rounded(_merged(v).select(*_VALUES), 6), with_views("bronze", body=f", {_NEWEST} SELECT ems, cell_name, counter, period_start, round(value, 6) AS value, arrival_time FROM newest"))
+
+
+def _late(v: Views):
+    """The newest half first, then the older rows, then the newest again."""
+    out = scratch_path(v.spark, "silver")
+    each, rows = ingest.merge_batches(out, _KEYS), _arrivals(v).select(*_RAW, "row_id")
+    for i, half in enumerate(("row_id % 3 <> 0", "row_id % 3 = 0", "row_id % 3 <> 0")):
+        each(rows.filter(half).drop("row_id"), i)
+    return v.spark.read.parquet(out)
+
+
+register("j05_late_rows_merge", lambda v: rounded(_late(v).select(*_VALUES), 6), with_views("bronze", body=f", {_NEWEST} SELECT ems, cell_name, counter, period_start, round(value, 6) AS value, arrival_time FROM newest"))
 
 
 def _collected(v: Views, stream):
@@ -188,20 +233,25 @@ register("j04_tumbling_hour", lambda v: _windows(v, "1 hour"), with_views("bronz
 
 def _rebuilt(v: Views):
     silver, gold = scratch_path(v.spark, "silver"), scratch_path(v.spark, "gold")
-    keys = ["ems", "cell_name", "counter", "period_start"]
-    build = lambda rows: rows.groupBy("cell_name", (F.col("period_start") + F.expr("interval 7 hours")).cast("date").alias("period")).agg(F.count("*").alias("n"))
-    each = ingest.rebuild_touched(silver, gold, build, keys)
-    s, ckpt = _stream(v).select(*keys), scratch_path(v.spark, "ckpt")
-    ingest.run_once(s, each, ckpt)
-    return v.spark.read.parquet(gold).select("cell_name", "period", "n")
+    build = lambda rows: rows.groupBy("cell_name", (F.col("period_start") + F.expr("interval 7 hours")).cast("date").alias("period")).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    ingest.run_once(_stream(v).drop("day"), ingest.rebuild_touched(silver, gold, build, _KEYS), scratch_path(v.spark, "ckpt"))
+    return v.spark.read.parquet(gold).select("cell_name", "period", "n", "total")
+
+
+register("j06_rebuild_touched", lambda v: rounded(_rebuilt(v), 4), with_views("bronze", body=f", {_NEWEST} SELECT cell_name, (period_start + INTERVAL 7 HOUR)::DATE AS period, count(*) AS n, round(sum(value), 4) AS total FROM newest GROUP BY 1, 2"))
+
+
+def _progress(v: Views):
+    q = ingest.run_once(_stream(v).drop("day"), lambda batch, i: batch.write.format("noop").mode("overwrite").save(), scratch_path(v.spark, "ckpt"))
+    return v.spark.createDataFrame(ingest.progress(q), "batch long, rows long")
 
 
-register("j06_rebuild_touched", _rebuilt, with_views("bronze", body="SELECT cell_name, (period_start + INTERVAL 7 HOUR)::DATE AS period, count(*) AS n FROM (SELECT DISTINCT ems, cell_name, counter, period_start FROM bronze) GROUP BY 1, 2"))
+register("j08_progress", lambda v: _progress(v).agg(F.sum("rows").alias("rows"), (F.count_distinct("batch") == F.count("*")).alias("each_once")), "SELECT count(*) AS rows, true AS each_once FROM events")
 
 
 def _twice(v: Views):
     out = scratch_path(v.spark, "silver")
-    each = ingest.merge_batches(out, ["cell_name", "period_start"])
+    each = ingest.merge_batches(out, ["cell_name", "period_start"], version=["value"])
     rows = v.bronze().groupBy("cell_name", "period_start").agg(F.sum("value").alias("value"))
     each(rows, 0)
     each(rows, 0)

@@ -11,3 +11,4 @@ PM_XML = (
     "fileHeader struct<_dnPrefix:string,_vendorName:string,fileSender:struct<_localDn:string,_elementType:string>,measCollec:struct<_beginTime:string>>, "
     f"measData array<struct<managedElement:struct<_localDn:string,_swVersion:string>,measInfo:array<struct<_measInfoId:string,granPeriod:struct<_duration:string,_endTime:string>,repPeriod:struct<_duration:string>,measTypes:string,measType:array<{_TYPE}>,measValue:array<{_VALUE}>>>>>, _corrupt_record string"
 )
+OMES_XML = "_startTime string, _interval int, PMMOResult array<struct<MO:array<struct<DN:array<string>>>,PMTarget:map<string,string>>>"

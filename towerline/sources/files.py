@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.clock import to_utc
 from ..functions.names import managed_element
-from ..schemas import COUNTERS_CSV, PM_XML
+from ..schemas import COUNTERS_CSV, OMES_XML, PM_XML
 
 
 def _seconds(iso_duration: Column) -> Column:
@@ -49,39 +49,46 @@ def read_pm_xml(spark: SparkSession, path: str) -> DataFrame:
     return pm_values(raw_pm_xml(spark, path))
 
 
-def omes_values(texts: DataFrame) -> DataFrame:
-    """(file_name, value: the whole file) of the dialect whose counters are element names.
-
-    Setups, results and counters are cut out by pattern, level by level."""
-    setup = F.regexp_extract_all("value", F.lit(r"(?s)<PMSetup\b(.*?)</PMSetup>"), 1)
-    rows = texts.select("file_name", F.explode(setup).alias("s"))
-    rows = rows.select("file_name", F.regexp_extract("s", r'startTime="([^"]*)"', 1).alias("start"), F.regexp_extract("s", r'interval="(\d+)"', 1).cast("int").alias("minutes"), F.explode(F.regexp_extract_all("s", F.lit(r"(?s)<PMMOResult\b(.*?)</PMMOResult>"), 1)).alias("m"))
-    dn = F.array_join(F.regexp_extract_all("m", F.lit(r"<DN>\s*([^<]*?)\s*</DN>"), 1), "/")
-    targets = F.regexp_extract("m", r'measurementType="([^"]*)"', 1)
-    body = F.regexp_extract("m", r'(?s)measurementType="[^"]*"\s*>(.*)', 1)
-    counters = F.arrays_zip(F.regexp_extract_all(body, F.lit(r"<(\w+)>\s*([^<]*?)\s*</\w+>"), 1).alias("counter"), F.regexp_extract_all(body, F.lit(r"<(\w+)>\s*([^<]*?)\s*</\w+>"), 2).alias("text"))
-    rows = rows.select("file_name", "start", "minutes", dn.alias("object_dn"), targets.alias("meas_group"), F.explode(counters).alias("x"))
+def omes_values(raw: DataFrame) -> DataFrame:
+    """Setups of the dialect whose counters are element names to long rows."""
+    rows = raw.select("file_name", F.col("_startTime").alias("start"), F.col("_interval").alias("minutes"), F.explode("PMMOResult").alias("m"))
+    dn = F.array_join(F.transform(F.flatten("m.MO.DN"), F.trim), "/")
+    rows = rows.select("file_name", "start", "minutes", dn.alias("object_dn"), F.col("m.PMTarget").alias("t"))
+    rows = rows.select("file_name", "start", "minutes", "object_dn", F.col("t")["_measurementType"].alias("meas_group"), F.explode("t").alias("counter", "text")).filter(~F.startswith("counter", F.lit("_")))
     begin = to_utc(F.col("start"))
-    return rows.select(managed_element(F.col("object_dn")).alias("managed_element"), "object_dn", "meas_group", "x.counter", _number(F.col("x.text")).alias("value"), F.lit(False).alias("suspect"), begin.alias("period_start"), (begin + F.make_dt_interval(mins=F.col("minutes"))).alias("period_end"), F.lit(None).cast("string").alias("dictionary_release"), "file_name")
+    return rows.select(managed_element(F.col("object_dn")).alias("managed_element"), "object_dn", "meas_group", "counter", _number(F.col("text")).alias("value"), F.lit(False).alias("suspect"), begin.alias("period_start"), (begin + F.make_dt_interval(mins=F.col("minutes"))).alias("period_end"), F.lit(None).cast("string").alias("dictionary_release"), "file_name")
 
 
 def read_omes_xml(spark: SparkSession, path: str) -> DataFrame:
-    return omes_values(spark.read.text(path, wholetext=True).withColumn("file_name", _file_name()))
+    raw = spark.read.format("xml").option("rowTag", "PMSetup").option("ignoreNamespace", True).schema(OMES_XML).load(path)
+    return omes_values(raw.withColumn("file_name", _file_name()))
 
 
 #: File names of both dialects.
 TYPE_A = r"^[AB](\d{8})\.(\d{4})([+-]\d{4})?-(?:(\d{8})\.)?(\d{4})([+-]\d{4})?_(?:(\w+)_)?(.+?)(?:_-_(\d+))?(?:\.xml)?(?:\.gz)?$"
 
 
+OMES = r"^OMeS_([A-Za-z0-9-]+)_(\d{8}T\d{4})Z\.xml(?:\.gz)?$"
+
+
+def omes_name(name: Column) -> Column:
+    """struct<ems, start> of a name 'OMeS_EMS-01_20260105T0800Z.xml.gz'; null if it is none."""
+    start = F.try_to_timestamp(F.concat(F.regexp_extract(name, OMES, 2), F.lit("+0000")), F.lit("yyyyMMdd'T'HHmmxx"))
+    return F.when(start.isNotNull(), F.struct(F.regexp_extract(name, OMES, 1).alias("ems"), start.alias("start")))
+
+
 def file_period(name: Column) -> Column:
     """struct<start, end> of a counter file name 'A20260105.0000+0700-0015+0700_unit.xml.gz'
-    (end <= begin: the next day); null if it is none."""
+    (end <= begin: the next day), or of the other dialect's, which tells no end; null if it
+    is neither."""
     part = lambda i: F.regexp_extract(name, TYPE_A, i)
     zone = F.when(part(3) == "", "+0000").otherwise(part(3))
     at = lambda day, clock, z: F.try_to_timestamp(F.concat(day, clock, z), F.lit("yyyyMMddHHmmxx"))
     start = at(part(1), part(2), zone)
     end = at(F.when(part(4) == "", part(1)).otherwise(part(4)), part(5), F.when(part(6) == "", zone).otherwise(part(6)))
-    return F.when(start.isNotNull(), F.struct(start.alias("start"), F.when(end <= start, end + F.expr("interval 1 day")).otherwise(end).alias("end")))
+    known = F.when(start.isNotNull(), F.struct(start.alias("start"), F.when(end <= start, end + F.expr("interval 1 day")).otherwise(end).alias("end")))
+    other = omes_name(name)
+    return F.coalesce(known, F.when(other.isNotNull(), F.struct(other["start"].alias("start"), F.lit(None).cast("timestamp").alias("end"))))
 
 
 def read_records(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
@@ -111,9 +118,19 @@ def read_counters_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def validate_pm_files(raw: DataFrame) -> DataFrame:
-    """(file_name, violation) of nested measurement files, all of them, not the first."""
+    """(file_name, violation) of nested measurement files, all of them, not the first.
+
+    Results must match their types: as many in the list form, the same distinct positions in
+    the positional form, and no result of one form under the other."""
     info = F.col("measData")
-    bad_list = F.exists(info, lambda d: F.exists(d["measInfo"], lambda i: F.exists(i["measValue"], lambda v: F.size(F.split(F.trim(i["measTypes"]), r"\s+")) != F.size(F.split(F.trim(v["measResults"]), r"\s+")))))
+    places = lambda x: F.array_sort(F.transform(x, lambda r: r["_p"]))
+
+    def unmatched(i: Column, v: Column) -> Column:
+        listed = F.size(F.split(F.trim(i["measTypes"]), r"\s+")) != F.size(F.split(F.trim(v["measResults"]), r"\s+"))
+        numbered = (places(i["measType"]) != places(v["r"])) | (F.size(F.array_distinct(places(i["measType"]))) != F.size(i["measType"]))
+        return F.coalesce(F.when(i["measTypes"].isNotNull(), listed | v["r"].isNotNull()).otherwise(numbered | v["measResults"].isNotNull()), F.lit(True))
+
+    bad_list = F.exists(info, lambda d: F.exists(d["measInfo"], lambda i: F.exists(i["measValue"], lambda v: unmatched(i, v))))
     bad_time = F.exists(info, lambda d: F.exists(d["measInfo"], lambda i: ~F.coalesce(i["granPeriod"]["_duration"].rlike(r"^PT(\d+[HMS])+$"), F.lit(False))))
     checks = F.array(
         F.when(F.col("_corrupt_record").isNotNull(), "malformed"), F.when(F.col("fileHeader._dnPrefix").isNull(), "no dnPrefix"), F.when(F.col("measData").isNull(), "no measData"),

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.scratch import scratch_path
+
 DAY = "day"
 
 
@@ -31,12 +35,14 @@ def replace_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def upsert_days(spark: SparkSession, path: str, source: DataFrame, keys: list[str], time: str = "period_start") -> None:
+def upsert_days(spark: SparkSession, path: str, source: DataFrame, keys: list[str], time: str = "period_start", version: Sequence[str] = ()) -> None:
     """Keyed upsert that reads and rewrites only the day partitions that the source touches.
+    With version columns, the row with the greatest of them stays, of the source's and the
+    table's alike.
 
-    The new days are written to a staging folder first, since a table cannot be read and
-    overwritten in one query."""
-    from ..operators.quality import upsert
+    The new days are written to a staging folder of their own first, since a table cannot
+    be read and overwritten in one query."""
+    from ..operators.quality import newest, upsert
 
     staged = with_day(source, time)
     days = staged.select(DAY).distinct()
@@ -46,25 +52,32 @@ def upsert_days(spark: SparkSession, path: str, source: DataFrame, keys: list[st
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
         old = staged.limit(0)
-    stage = f"{path.rstrip('/')}__stage"
-    upsert(old, staged, keys).write.mode("overwrite").parquet(stage)
+    stage = scratch_path(spark, "stage")
+    rows = newest(old.unionByName(staged), keys, version) if version else upsert(old, staged, keys)
+    rows.write.parquet(stage)
     spark.read.parquet(stage).repartition(DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
 
 
 def export_sample(tables: dict[str, DataFrame], out: str, cap_bytes: int = 50_000_000) -> DataFrame:
     """Small tables as one Parquet file each, and a manifest (table, rows, bytes, sha256).
-    An empty table, or more than the cap, is an error."""
+    An empty table, or more than the cap, is an error; both are found on a first copy, which
+    Spark writes in as many parts as it likes, before any table goes into one file."""
     spark = next(iter(tables.values())).sparkSession
-    rows = []
+    rows, total = [], 0
     for name, df in tables.items():
-        df.coalesce(1).write.mode("overwrite").parquet(f"{out}/{name}")
-        n = spark.read.parquet(f"{out}/{name}").count()
-        if not n:
+        first = scratch_path(spark, "sample")
+        df.write.parquet(first)
+        part = spark.read.schema(df.schema).parquet(first).groupBy("_metadata.file_path").agg(F.count("*").alias("n"), F.max("_metadata.file_size").alias("size"))
+        got = part.agg(F.sum("n").alias("n"), F.sum("size").alias("size")).first()
+        if not got["n"]:
             raise ValueError(f"{name} is empty")
-        rows.append((name, n))
+        total += got["size"]
+        if total > cap_bytes:
+            raise ValueError(f"more than {cap_bytes} bytes")
+        rows.append((name, got["n"], first))
+    for name, _, first in rows:
+        spark.read.schema(tables[name].schema).parquet(first).coalesce(1).write.mode("overwrite").parquet(f"{out}/{name}")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(out)
     per = files.select(F.element_at(F.split("path", "/"), -2).alias("table"), F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
-    manifest = spark.createDataFrame(rows, "table string, rows long").join(per, "table")
-    if manifest.agg(F.sum("bytes").alias("b")).first()["b"] > cap_bytes:
-        raise ValueError(f"more than {cap_bytes} bytes")
+    manifest = spark.createDataFrame([r[:2] for r in rows], "table string, rows long").join(per, "table")
     return manifest

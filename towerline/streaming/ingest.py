@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clock import report_day
-from ..sources.sinks import replace_days, upsert_days
+from ..sources.sinks import DAY, replace_days, upsert_days
 
 GRACE = "30 minutes"
 
@@ -39,27 +39,32 @@ def closed_days(stream: DataFrame, time: str, by: list[str], value: str) -> Data
     return tumbling(stream, time, "1 day", by, value)
 
 
-def merge_batches(path: str, keys: list[str], time: str = "period_start") -> Callable[[DataFrame, int], None]:
-    """foreachBatch: rows replace those of equal keys, however late they are; rerunning a
-    batch changes nothing, since the upsert is keyed."""
+VERSION = ("arrival_time", "file_hash")
+
+
+def merge_batches(path: str, keys: list[str], time: str = "period_start", version: Sequence[str] = VERSION) -> Callable[[DataFrame, int], None]:
+    """foreachBatch: of the rows of a key, in the batch and in the table, the one of the
+    newest version stays, however late it or an older one comes; rerunning a batch changes
+    nothing, since the merge is keyed."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        newest = batch.dropDuplicates(keys)
-        upsert_days(batch.sparkSession, path, newest, keys, time)
+        upsert_days(batch.sparkSession, path, batch, keys, time, version)
 
     return run
 
 
-def rebuild_touched(silver: str, gold: str, build: Callable[[DataFrame], DataFrame], keys: list[str], time: str = "period_start") -> Callable[[DataFrame, int], None]:
+def rebuild_touched(silver: str, gold: str, build: Callable[[DataFrame], DataFrame], keys: list[str], time: str = "period_start", version: Sequence[str] = VERSION) -> Callable[[DataFrame, int], None]:
     """foreachBatch: merge into silver, then rebuild the reporting days that the batch
-    touches out of all of silver's rows of those days."""
-    merge = merge_batches(silver, keys, time)
+    touches out of all of silver's rows of those days.  Only the UTC day partitions in
+    which those reporting days lie are read."""
+    merge = merge_batches(silver, keys, time, version)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         merge(batch, batch_id)
         days = batch.select(report_day(F.col(time)).alias("d")).distinct()
-        rows = batch.sparkSession.read.parquet(silver)
+        parts = days.select(F.explode(F.array(F.col("d"), F.date_sub("d", 1))).alias(DAY)).distinct()
+        rows = batch.sparkSession.read.parquet(silver).join(F.broadcast(parts), DAY, "left_semi")
         touched = rows.withColumn("d", report_day(F.col(time))).join(F.broadcast(days), "d", "left_semi").drop("d")
         replace_days(build(touched), gold, "period")
         batch.unpersist()
