@@ -19,6 +19,7 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 import regex
@@ -142,6 +143,12 @@ class WordBpe:
         return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
 
+@lru_cache(2)
+def loaded(path: str) -> WordBpe:
+    """Read once in each worker, with the words that it has met."""
+    return WordBpe(path)
+
+
 def tokenize(documents: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """-> doc_id, n_tokens, ids (decimal, joined by spaces), decoded.
 
@@ -149,7 +156,7 @@ def tokenize(documents: DataFrame, vocabulary: str, *, id_col: str = "doc_id", t
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = WordBpe(vocabulary)
+        bpe = loaded(vocabulary)
         for f in frames:
             for at in range(0, len(f), 256):
                 part = f.iloc[at : at + 256]

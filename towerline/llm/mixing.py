@@ -5,12 +5,12 @@
    ``sample_rows`` labelled rows; the ``vocabulary`` tokens that tell most enter it.
 2. Every document gets its posterior of each domain (soft membership) and its tokens.
 3. Rates r of documents shall be at least 0 (at most ``max_rate``, if given) and shall make
-   sum(r * tokens * posterior) equal to the target of each domain.  Starting from rate 1,
-   projected gradient steps for the squared gap move each rate by ``posterior . step`` and
-   project it on its bounds.  The gradient lies in the span of the posteriors, so the
-   accumulated step is one number for each domain, and each iteration is one aggregation
-   over the table.  A step is scaled by the inverse of the domains' Gram matrix over the
-   rates that are free to move.
+   sum(r * tokens * posterior) equal to the target of each domain, or come nearest to it.
+   From rate 1, projected gradient steps for the squared gap move each rate by
+   ``posterior . step`` and project it on its bounds; rates at a bound that the gradient
+   pushes against stay.  A step is scaled by the inverse of the domains' Gram matrix over
+   the rates that are free to move.  Rates lie in a table; an iteration is two aggregations
+   over it and a write.
 4. A document gets floor(rate + u) copies, with u uniform from a hash of id and text.
 
 Cases: null text has no tokens and rate 1; documents with a null id are classified like
@@ -34,6 +34,8 @@ from .common import durable, hash_unit
 SAMPLE_ROWS = 20_000
 VOCABULARY = 192
 ITERATIONS = 40
+#: Lengths of a scaled step that are tried.
+PARTS = (1.0, 0.5, 0.25, 0.1, 0.03, 0.01)
 TOLERANCE = 1e-7
 MOST_DOMAINS = 64
 LEAST_DOCS = 5
@@ -133,40 +135,76 @@ def fit_domains(documents: DataFrame, labels: DataFrame, domain: Column, *, id_c
     return Domains(names, [r["sign"] for r in best], prior, weights)
 
 
-def rate(posterior: Column, step: list[float], max_rate: float | None) -> Column:
-    r = sum((F.element_at(posterior, k + 1) * F.lit(float(s)) for k, s in enumerate(step)), F.lit(1.0))
-    r = F.greatest(r, F.lit(0.0))
-    return r if max_rate is None else F.least(r, F.lit(float(max_rate)))
+@dataclass
+class Step:
+    """A projected step: every rate moves by ``posterior . move``, but for those that are at
+    a bound and that the gap pushes against it."""
+
+    gap: list[float]
+    move: list[float]
+
+
+def _dot(posterior: list[Column], v) -> Column:
+    return sum((p * F.lit(float(x)) for p, x in zip(posterior, v, strict=True)), F.lit(0.0))
+
+
+def _held(r: Column, along: Column, most: float) -> Column:
+    return ((r >= most) & (along >= 0)) | ((r <= 0) & (along <= 0))
+
+
+def _moved(r: Column, along: Column, by: Column, most: float) -> Column:
+    return F.when(_held(r, along, most), r).otherwise(F.least(F.greatest(r + by, F.lit(0.0)), F.lit(most)))
 
 
-def fit_rates(table: DataFrame, targets: list[float], *, max_rate: float | None = None, iterations: int = ITERATIONS) -> list[float]:
-    """table: (__tokens, __posterior) -> the accumulated step of each domain."""
-    k = len(targets)
-    goal, step = np.array(targets, float), np.zeros(k)
+def rate(posterior: Column, steps: list[Step], max_rate: float | None) -> Column:
+    """The rate of a document after all steps."""
+    most = math.inf if max_rate is None else float(max_rate)
+    start = F.lit(min(1.0, most))
+    if not steps:
+        return start
+    p = [F.element_at(posterior, i + 1) for i in range(len(steps[0].gap))]
+    taken = F.array(*[F.struct(_dot(p, s.gap).alias("along"), _dot(p, s.move).alias("by")) for s in steps])
+    return F.aggregate(taken, start, lambda r, s: _moved(r, s["along"], s["by"], most))
+
+
+def fit_rates(table: DataFrame, targets: list[float], *, max_rate: float | None = None, iterations: int = ITERATIONS) -> list[Step]:
+    """table: (__tokens, __posterior) -> the steps that take all rates from 1 to the least
+    squared gap.
+
+    Each iteration scales the gradient by the inverse of the domains' Gram matrix over the
+    rates that are free to move, tries several lengths of that step and of the plain
+    gradient step in one aggregation, and takes the best."""
+    k, most = len(targets), math.inf if max_rate is None else float(max_rate)
+    goal, steps = np.array(targets, float), []
     scale = max(goal.sum(), 1.0)
-    t, p = F.col("__tokens").cast("double"), [F.element_at("__posterior", i + 1) for i in range(k)]
-    best, best_gap, move_by, part = step, math.inf, step, 1.0
+    t, p, r = F.col("__tokens").cast("double"), [F.element_at("__posterior", i + 1) for i in range(k)], F.col("__r")
+
+    def gaps(rows: DataFrame, rates: list[Column]) -> list[np.ndarray]:
+        got = rows.agg(*[F.sum(x * t * q).alias(f"s{n}_{i}") for n, x in enumerate(rates) for i, q in enumerate(p)]).first()
+        return [goal - np.array([got[f"s{n}_{i}"] or 0.0 for i in range(k)]) for n in range(len(rates))]
+
+    now = table.select("__tokens", "__posterior", F.lit(min(1.0, most)).alias("__r"))
+    gap = gaps(now, [r])[0]
     for _ in range(iterations):
-        r = rate(F.col("__posterior"), list(step), max_rate)
-        free = (r > 0) if max_rate is None else (r > 0) & (r < max_rate)
-        move = F.when(free, t).otherwise(t * 1e-3)
-        got = (
-            table.withColumn("__r", r).withColumn("__m", move)
-            .agg(*[F.sum(F.col("__r") * t * x).alias(f"s{i}") for i, x in enumerate(p)], *[F.sum(F.col("__m") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)])
-            .first()
-        )
-        gap = goal - np.array([got[f"s{i}"] or 0.0 for i in range(k)])
-        size = float(np.sqrt((gap**2).sum())) / scale
-        if size < best_gap:  # a step that helps: the next one may be longer again
-            best, best_gap, part = step, size, min(1.0, 2 * part)
-            gram = np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
-            move_by = np.linalg.solve(gram + np.eye(k) * (1e-9 * np.trace(gram) + 1e-9), gap)
-        else:
-            part /= 4
-        if best_gap < TOLERANCE or part < 1e-3:
+        if np.linalg.norm(gap) / scale < TOLERANCE:
+            break
+        along = _dot(p, gap)
+        free = F.when(_held(r, along, most), 0.0).otherwise(t)
+        got = now.select(free.alias("__f"), "__posterior").agg(*[F.sum(F.col("__f") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+        gram = np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
+        longest = float(np.linalg.eigvalsh(gram)[-1])
+        if longest <= 0:
+            break
+        scaled = np.linalg.pinv(gram, rcond=1e-10) @ gap
+        tries = [part * scaled for part in PARTS] + [part * gap / longest for part in (1.0, 4.0, 16.0)]
+        left = gaps(now, [_moved(r, along, _dot(p, m), most) for m in tries])
+        best = int(np.argmin([np.linalg.norm(x) for x in left]))
+        if np.linalg.norm(left[best]) > np.linalg.norm(gap) * (1 - 1e-6):
             break
-        step = best + part * move_by
-    return [float(x) for x in best]
+        steps.append(Step(gap.tolist(), tries[best].tolist()))
+        now = durable(now.select("__tokens", "__posterior", _moved(r, along, _dot(p, tries[best]), most).alias("__r")))
+        gap = left[best]
+    return steps
 
 
 def memberships(documents: DataFrame, domains: Domains, *, text_col: str = "text", columns: dict[str, Column]) -> DataFrame:
@@ -199,10 +237,10 @@ def mix(documents: DataFrame, labels: DataFrame, domain: Column, *, targets: dic
     u = hash_unit(F.col(id_col), F.col(text_col), seed=66)
     table = durable(memberships(documents, domains, text_col=text_col, columns={"doc_id": F.col(id_col), "u": u}))
     goal = even_targets(table, len(domains.names)) if targets is None else [targets.get(k, 0.0) for k in domains.names]
-    step = fit_rates(table, goal, max_rate=max_rate)
+    steps = fit_rates(table, goal, max_rate=max_rate)
     names = F.array(*map(F.lit, domains.names))
     top = F.element_at(names, F.array_position("__posterior", F.array_max("__posterior")).cast("int"))
-    fitted = F.when(F.col("__tokens") == 0, 1.0).otherwise(rate(F.col("__posterior"), step, max_rate))
+    fitted = F.when(F.col("__tokens") == 0, 1.0).otherwise(rate(F.col("__posterior"), steps, max_rate))
     return table.withColumn("rate", fitted).select(
         "doc_id", F.col("__tokens").alias("n_tokens"), top.alias("domain"), F.col("__posterior").alias("posterior"), "rate", F.floor(F.col("rate") + F.col("u")).cast("int").alias("copies")
     )
@@ -215,8 +253,8 @@ def resample(documents: DataFrame, labels: DataFrame, domain: Column, *, keep: d
     table = durable(memberships(documents, domains, text_col=text_col, columns={}))
     now = even_targets(table, len(domains.names), 1.0)
     goal = [n * keep.get(k, 1.0) for k, n in zip(domains.names, now, strict=True)]
-    step = fit_rates(table, goal, max_rate=1.0)
+    steps = fit_rates(table, goal, max_rate=1.0)
     row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])  # packed, so that no name clashes
     rows = memberships(documents, domains, text_col=text_col, columns={"__row": row})
-    r = F.when(F.col("__tokens") == 0, 1.0).otherwise(rate(F.col("__posterior"), step, 1.0))
+    r = F.when(F.col("__tokens") == 0, 1.0).otherwise(rate(F.col("__posterior"), steps, 1.0))
     return rows.filter(copies(r, F.col(f"__row.`{id_col}`"), F.col(f"__row.`{text_col}`")) >= 1).select("__row.*")
