@@ -233,7 +233,8 @@ def inventory(cells: DataFrame, by: list[str]) -> DataFrame:
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """Numbers that depend on the rows, not on their order: the sum of 48 bits of a digest
-    of each row's values as text, in order of column names."""
+    """Numbers that depend on the rows, not on their order: 48 bits of a digest of each
+    row's values as text, in order of column names, summed and by exclusive or."""
     text = F.concat_ws("\x1f", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\x1e")) for c in sorted(df.columns)])
-    return df.agg(F.count("*").alias("rows"), F.sum(F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("decimal(38,0)")).alias("total"))
+    bits = F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
+    return df.agg(F.count("*").alias("rows"), F.bit_xor(bits).alias("xor"), F.sum(bits.cast("decimal(38,0)")).alias("total"))

@@ -66,7 +66,7 @@ register("g23_arrival_wait", lambda v: rounded(st.arrival_wait(*_wait(v), [0.1,
 register("g24_rates", lambda v: rounded(st.rates(v.table("lineitem"), "l_shipdate", "l_linenumber", "l_quantity", "l_extendedprice").select(F.col("l_shipdate").cast("date").alias("day"), "rows_per_s", "bytes_per_row", "loads"), 6), "SELECT l_shipdate::DATE AS day, round(sum(l_linenumber) / sum(l_quantity), 6) AS rows_per_s, round(sum(l_extendedprice) / sum(l_linenumber), 6) AS bytes_per_row, count(*) AS loads FROM lineitem GROUP BY 1")
 register("g25_power_law", lambda v: rounded(st.power_law(v.table("orders").groupBy(F.year("o_orderdate").cast("double").alias("x")).agg(F.sum("o_totalprice").alias("y")), "x", "y", 2005.0), 2), "WITH p AS (SELECT year(o_orderdate)::DOUBLE AS x, sum(o_totalprice) AS y FROM orders GROUP BY 1), e AS (SELECT arg_min(y, x) AS y0, arg_max(y, x) AS y1, min(x) AS x0, max(x) AS x1 FROM p) SELECT round(ln(y1 / y0) / ln(x1 / x0), 2) AS exponent, round(y1 * pow(2005 / x1, ln(y1 / y0) / ln(x1 / x0)), 2) AS value FROM e")
 register("g27_inventory", lambda v: rounded(st.inventory(v.cells(), ["technology", "area"]), 6), with_views("cells", body="SELECT technology, area, count(*) AS cells, count(DISTINCT site) AS sites, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM cells GROUP BY 1, 2"))
-register("g28_fingerprint", lambda v: st.fingerprint(v.table("conversations")).withColumn("total", F.col("total").cast("string")), "SELECT count(*) AS rows, sum(('0x' || substr(md5(concat_ws(chr(31), coalesce(conv_id::VARCHAR, chr(30)), coalesce(role, chr(30)), coalesce(text, chr(30)), coalesce(turn::VARCHAR, chr(30)))), 1, 12))::HUGEINT)::VARCHAR AS total FROM conversations")
+register("g28_fingerprint", lambda v: st.fingerprint(v.table("conversations")).withColumn("total", F.col("total").cast("string")), "WITH b AS (SELECT ('0x' || substr(md5(concat_ws(chr(31), coalesce(conv_id::VARCHAR, chr(30)), coalesce(role, chr(30)), coalesce(text, chr(30)), coalesce(turn::VARCHAR, chr(30)))), 1, 12))::BIGINT AS b FROM conversations) SELECT count(*) AS rows, bit_xor(b) AS xor, sum(b)::HUGEINT::VARCHAR AS total FROM b")
 # Scalar functions
 register("f01_json", lambda v: v.table(E).select("event_id", F.get_json_object("props", "$.k").alias("text"), F.from_json("props", "k int")["k"].alias("k"), F.expr("try_cast(get_json_object(props, '$.k') as int)").alias("tried")), "SELECT event_id, regexp_extract(props, '(\\d+)', 1) AS text, regexp_extract(props, '(\\d+)', 1)::INT AS k, regexp_extract(props, '(\\d+)', 1)::INT AS tried FROM events")
 register("f02_strings", lambda v: v.table("customer").groupBy("c_mktsegment").agg(F.array_join(F.array_sort(F.collect_set(F.split_part("c_name", F.lit("#"), F.lit(1)))), ",").alias("heads"), F.count_if(F.startswith("c_name", F.lit("Customer#0"))).alias("starts"), F.max(F.regexp_replace("c_name", "[0-9]", "")).alias("letters")), "SELECT c_mktsegment, string_agg(DISTINCT split_part(c_name, '#', 1), ',' ORDER BY split_part(c_name, '#', 1)) AS heads, count(*) FILTER (WHERE starts_with(c_name, 'Customer#0')) AS starts, max(regexp_replace(c_name, '[0-9]', '', 'g')) AS letters FROM customer GROUP BY 1")
