@@ -280,6 +280,15 @@ def brute_nearest(ids, x, q, k):
     return [(int(ids[i]), d[i]) for i in o]
 
 
+def test_footrule_is_the_definition():
+    rng = np.random.default_rng(4)
+    perms = np.stack([rng.permutation(12)[:5] for _ in range(40)]).astype(np.int32)
+    place = lambda perm, p: list(perm).index(p) if p in perm else 5
+    files = permutation_index.Files(perms, 12)
+    for q in perms[:10]:
+        assert files.footrule(q).tolist() == [sum(abs(place(v, p) - place(q, p)) for p in range(12)) for v in perms]
+
+
 @tables
 def test_search_recall(spark):
     e = spark.read.parquet(f"{SF}/embeddings.parquet").toPandas()

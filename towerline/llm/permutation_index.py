@@ -58,25 +58,22 @@ def far_apart(x: np.ndarray, n: int) -> np.ndarray:
 
 
 class Files:
-    """Inverted files of some vectors: for each pivot, the vectors near it and the position
-    that it has among their pivots."""
+    """Inverted files of a block of vectors.  A pivot is near a good part of them (prefix /
+    pivots on average), so its file is dense: the position that it has among each vector's
+    pivots, ``prefix`` where it is none."""
 
     def __init__(self, perms: np.ndarray, pivots: int):
         self.n, self.prefix = perms.shape
-        flat = perms.ravel()
-        o = np.argsort(flat, kind="stable")
-        self.begin = np.searchsorted(flat[o], np.arange(pivots + 1))
-        self.vector, self.position = (o // self.prefix).astype(np.int32), (o % self.prefix).astype(np.int32)
+        self.position = np.full((pivots, self.n), self.prefix, np.int16)
+        self.position[perms.T, np.arange(self.n)] = np.arange(self.prefix, dtype=np.int16)[:, None]
 
     def footrule(self, query: np.ndarray) -> np.ndarray:
-        """Footrule distance of every posted vector from a query's permutation."""
+        """Footrule distance of every posted vector from a query's permutation.  Only the
+        files of the query's pivots are read: the others add up to what these leave."""
         m = self.prefix
-        out = np.full(self.n, m * (m + 1), np.int32)
-        for i, p in enumerate(query):
-            at = slice(self.begin[p], self.begin[p + 1])
-            pos = self.position[at]
-            out[self.vector[at]] += np.abs(pos - i) - (m - i) - (m - pos)
-        return out
+        pos = self.position[query]
+        near = (np.abs(pos - np.arange(m, dtype=np.int16)[:, None]) + pos).sum(0, dtype=np.int32)
+        return near + np.int32(m * (m + 1) // 2 - m * m)
 
 
 @dataclass
