@@ -77,13 +77,21 @@ class SortedHash:
 
     def __init__(self, k: np.ndarray):
         self.bits = max(int(np.ceil(np.log2(max(len(k), 1)))) + 1, 1)
-        h = mix(k.astype(U))
-        self.order = np.argsort(h, kind="stable")
-        self.hashes = np.append(h[self.order], ~U(0))
-        edges = np.arange((1 << self.bits) + 1, dtype=U)
-        bucket = self.hashes[:-1] >> U(64 - self.bits)
-        self.begin = np.searchsorted(bucket, edges).astype(np.int32)
-        self.most = int(np.diff(self.begin).max()) if len(k) else 0
+        h = mix(k.astype(U, copy=False))
+        order = np.argsort(h, kind="stable")
+        self.order: np.ndarray | None = order.astype(np.int32)
+        self.hashes = np.append(h[order], ~U(0))
+        del h, order
+        sizes = np.bincount((self.hashes[:-1] >> U(64 - self.bits)).view(np.int64), minlength=1 << self.bits)
+        self.most = int(sizes.max()) if len(k) else 0
+        self.begin = np.zeros(len(sizes) + 1, np.int32)
+        np.cumsum(sizes, out=self.begin[1:])
+
+    def arranged(self, values: np.ndarray) -> np.ndarray:
+        """Values of the keys in ascending order of hashes.  To be called once: the order is
+        then let go, so that it is not broadcast."""
+        out, self.order = values[self.order], None
+        return out
 
     def find(self, k: np.ndarray) -> np.ndarray:
         """Place of each key in ascending order of hashes, -1 if it is not there."""
@@ -234,7 +242,7 @@ class Scorer:
         self.models, self.order = models, order
         known = np.unique(np.concatenate([m.orders[order - 1].grams for m in models])) if models else np.zeros(0, U)
         self.table = SortedHash(known)
-        self.values = np.stack([m.logp(known) for m in models], 1).astype(np.float32)[self.table.order] if models else np.zeros((0, 0), np.float32)
+        self.values = self.table.arranged(np.stack([m.logp(known) for m in models], 1).astype(np.float32)) if models else np.zeros((0, 0), np.float32)
 
     def __call__(self, k: np.ndarray) -> np.ndarray:
         """(len(k), models)."""
@@ -248,14 +256,17 @@ class Scorer:
 
 class OwnScorer:
     """Log probabilities of each n-gram under one chosen model: the n-grams of all models
-    sit in one sorted hash array, each marked with its model."""
+    sit in one sorted hash array, each marked with its model; of the models themselves only
+    what an n-gram needs that is not there is kept."""
 
     def __init__(self, models: list[Model], order: int):
-        self.models, self.order = models, order
+        self.order = order
         tops = [m.orders[order - 1] for m in models]
         known = np.concatenate([self._marked(t.grams, np.full(len(t.grams), j)) for j, t in enumerate(tops)]) if models else np.zeros(0, U)
         self.table = SortedHash(known)
-        self.values = (np.concatenate([t.logp for t in tops]).astype(np.float32) if models else np.zeros(1, np.float32))[self.table.order]
+        del known
+        self.values = self.table.arranged(np.concatenate([t.logp.astype(np.float32) for t in tops]) if models else np.zeros(1, np.float32))
+        self.models = [Model([*m.orders[: order - 1], Order(t.grams[:0].copy(), t.logp[:0].copy(), t.contexts, t.hand_over)], m.floor) for m, t in zip(models, tops, strict=True)]
 
     def _marked(self, k: np.ndarray, model: np.ndarray) -> np.ndarray:
         return k + (model.astype(U) << U(8 * self.order))
