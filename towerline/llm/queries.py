@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, factor_machine, hard_negatives, jaccard_join, langid, line_dedup, mixing, permutation_index, perplexity, substring_dedup, suffix_dedup
+from . import bpe, factor_machine, hard_negatives, jaccard_join, langid, line_dedup, mixing, permutation_index, perplexity, prefix_trie, substring_dedup, suffix_dedup
 from .common import crc_mod, read
 
 
@@ -84,6 +84,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = prefix_trie.paths(read(spark, sf_dir, "conversations"))
+    head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    return prefix_trie.build(prefix_trie.spliced(own, F.col("conv_id") - F.col("conv_id") % 5, head))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_permutation_index": op1_permutation_index,
     "op2_language_id": op2_language_id,
@@ -96,10 +102,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_hard_negatives": op11_hard_negatives,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+def _crc32(text: str) -> str:
+    """CRC-32 of a short decimal text in SQL: bit by bit over its bits."""
+    poly = 0xEDB88320
+    bits = f"list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, length({text}) + 1), lambda i: [256 + ascii(substr({text}, i, 1)), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x - 256) WHEN c & 1 = 1 THEN xor(c >> 1, {poly}) ELSE c >> 1 END)"
+    return f"xor({bits}, 4294967295)"
+
+
+_TRIE = f"""
+WITH t AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, ''))) AS i,
+    sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS k, strlen(coalesce(text, '')) AS n FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 5 AS base, {_crc32("conv_id::VARCHAR")} % 9 AS h FROM t),
+r AS (SELECT c.conv_id, i, k, n FROM c JOIN t ON t.conv_id = base AND i <= h UNION ALL SELECT c.conv_id, i, k, n FROM c JOIN t ON t.conv_id = c.conv_id AND i > h),
+p AS (SELECT conv_id, list(k ORDER BY i) AS ks, list(n ORDER BY i) AS ns FROM r GROUP BY conv_id),
+q AS (SELECT c.conv_id, coalesce(ks, []) AS ks, coalesce(ns, []) AS ns FROM c LEFT JOIN p USING (conv_id)),
+m AS (SELECT conv_id, unnest(range(len(ks) + 1)) AS depth, ks, ns FROM q),
+a AS (SELECT conv_id, depth, array_to_string(ks[1:depth], ',') AS node, CASE WHEN depth > 0 THEN array_to_string(ks[1:depth - 1], ',') END AS up, CASE WHEN depth > 0 THEN ns[depth] ELSE 0 END AS n, len(ks) = depth AS ends FROM m),
+g AS (SELECT node, depth, up, n, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256 FROM a GROUP BY ALL),
+k AS (SELECT up AS node, count(*) AS n_children FROM g WHERE up IS NOT NULL GROUP BY up),
+v AS (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN k USING (node)),
+s AS (SELECT above.node, count(*) FILTER (WHERE v.n_children = 0) AS n_leaves, sum((v.n_convs - 1) * v.n) AS saved
+  FROM v JOIN a ON a.node = v.node AND a.conv_id = v.conv_id JOIN a above ON above.conv_id = v.conv_id AND above.depth <= v.depth GROUP BY above.node)
+SELECT v.conv_id, v.depth::BIGINT AS depth, w.conv_id AS parent_conv_id, v.n_convs::BIGINT AS n_convs, v.n_children::BIGINT AS n_children, s.n_leaves::BIGINT AS n_leaves, s.saved::BIGINT AS saved_tokens, v.ends_sha256
+FROM v JOIN s USING (node) LEFT JOIN v w ON v.up = w.node"""
+
 ORACLE: dict[str, str] = {
     "op3_substring_dedup": f"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -151,4 +182,5 @@ SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, vec_id AS
 FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 10""",
+    "op13_prefix_trie": _TRIE,
 }
