@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, factor_machine, hard_negatives, jaccard_join, langid, line_dedup, mixing, permutation_index, perplexity, prefix_trie, substring_dedup, suffix_dedup
+from . import bpe, factor_machine, hard_negatives, jaccard_join, langid, line_dedup, mixing, permutation_index, perplexity, prefix_trie, substring_dedup, suffix_dedup, toxicity
 from .common import crc_mod, read
 
 
@@ -84,6 +84,15 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    labels = read(spark, sf_dir, "labels").filter(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+    out = toxicity.predict(docs, model, extra={"held_out": held_out})
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_matches", "n_misspelled", "quoted")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = prefix_trie.paths(read(spark, sf_dir, "conversations"))
     head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
@@ -102,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_toxicity": op12_toxicity,
     "op13_prefix_trie": op13_prefix_trie,
 }
 
