@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ..functions.scratch import scratch_path
-from ..sources import files, sinks
+from ..sources import files, sinks, structure
 from ..streaming import ingest
 from .registry import register, rounded
 from .views import Views, with_views
@@ -32,9 +32,9 @@ def _pm_text(positional: bool):
         types = F.concat(F.lit("<measTypes>"), F.array_join("x.counter", " "), F.lit("</measTypes>"))
         results = F.concat(F.lit("<measResults>"), F.array_join("x.text", " "), F.lit("</measResults>"))
     return F.concat(
-        F.lit('<measCollecFile><fileHeader dnPrefix="N=1" vendorName="A"><fileSender localDn="'), F.col("ems"), F.lit('"/></fileHeader><measData><managedElement localDn="ME='), F.col("cell_name"),
+        F.lit('<measCollecFile><fileHeader fileFormatVersion="1" dnPrefix="N=1" vendorName="A"><fileSender localDn="'), F.col("ems"), F.lit('"/><measCollec beginTime="'), zone, F.lit('"/></fileHeader><measData><managedElement localDn="ME='), F.col("cell_name"),
         F.lit('" swVersion="R1"/><measInfo measInfoId="G"><granPeriod duration="PT3600S" endTime="'), zone, F.lit('"/>'), types, F.lit('<measValue measObjLdn="Cell=1">'), results,
-        F.when(F.col("suspect"), "<suspect>true</suspect>").otherwise(""), F.lit("</measValue></measInfo></measData></measCollecFile>"),
+        F.when(F.col("suspect"), "<suspect>true</suspect>").otherwise(""), F.lit('</measValue></measInfo></measData><fileFooter><measCollec endTime="'), zone, F.lit('"/></fileFooter></measCollecFile>'),
     )
 
 
@@ -171,6 +171,34 @@ register("a11_validate_positional", lambda v: files.validate_pm_files(_broken_po
 register("a11_validate_pm_files", lambda v: files.validate_pm_files(_broken(v)).groupBy("violation").agg(F.count("*").alias("files")), with_views("bronze", body=", h AS (SELECT DISTINCT ems, cell_name, date_trunc('hour', period_start) AS h FROM bronze) SELECT CASE length(cell_name) WHEN 2 THEN 'bad granPeriod duration' ELSE 'results do not match types' END AS violation, count(*) AS files FROM h WHERE length(cell_name) IN (2, 3) GROUP BY 1"))
 
 
+#: What each kind of cell's files break (by the cell's number modulo 12), and how.
+BROKEN = {
+    0: ("no fileFooter", r"<fileFooter>.*</fileFooter>", ""),
+    1: ("fileFooter is not last", r"(<measData>.*</measData>)(<fileFooter>.*</fileFooter>)", "$2$1"),
+    2: ("measValue without measObjLdn", ' measObjLdn="[^"]*"', ""),
+    3: ("fileHeader without fileFormatVersion", ' fileFormatVersion="[^"]*"', ""),
+    4: ("granPeriod without duration or endTime", '(<granPeriod [^>]*) endTime="[^"]*"', "$1"),
+    5: ("measInfo is not granPeriod, types, values", r"(<measTypes>.*</measTypes>)(<measValue.*</measValue>)", "$2$1"),
+    6: ("foreign element", "<measInfo ", "<note><b>x</b></note><measInfo "),
+    7: ("duration is no number of seconds", "PT3600S", "PT60M"),
+    8: ("measData is not managedElement, measInfo", "<managedElement [^>]*>", ""),
+    9: ("element out of place or not closed", r"(<measInfo .*</measInfo>)(</measData>)", "$2$1"),
+}
+
+
+def _misbuilt(v: Views):
+    """Whole files, each kind of cell with its own fault; 10 and 11 are sound."""
+    good = _pm_text(False)
+    kind = F.substring("cell_name", 2, 9).cast("int") % 12
+    text = good
+    for k, (_, old, new) in BROKEN.items():
+        text = F.when(kind == k, F.regexp_replace(good, old, new)).otherwise(text)
+    return structure.validate_structure(v.spark, _written(v, text))
+
+
+register("a11_validate_structure", lambda v: _misbuilt(v).groupBy("violation").agg(F.count("*").alias("collections")), with_views("bronze", body=", h AS (SELECT DISTINCT ems, cell_name, date_trunc('hour', period_start) AS h FROM bronze), k AS (SELECT * FROM (VALUES " + ", ".join(f"({k}, '{x[0]}')" for k, x in BROKEN.items()) + ") t(k, violation)) SELECT violation, count(*) AS collections FROM h JOIN k ON substr(cell_name, 2)::INT % 12 = k GROUP BY 1"))
+
+
 def _profile(v: Views):
     path = pm_files(v)
     return files.corpus_profile(files.file_ledger(v.spark, path).filter(F.col("file_name").contains(".txt")), files.read_pm_xml(v.spark, path)).select("kind", "values", "counters")
