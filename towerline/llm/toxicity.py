@@ -43,11 +43,13 @@ from pyspark.sql import functions as F
 from .bytetext import Chunk, Prefix, chunks, row_of, words
 from .common import hash_unit
 
-SAMPLE_ROWS = 20_000
-TERMS = 2048
+SAMPLE_ROWS = 8_000
+TERMS = 1024
 LONGEST = 32  # letters of a term
 MIN_TEXTS = 4
 Z = 3.0
+MATCHED = 2048  # words that go down the trie together
+HELD = 1 << 20  # words whose match a task remembers
 WINDOW = 6
 #: Fixed cues (lower case, in the languages at hand).
 REPORTING = frozenset("said says say wrote writes called calls quoted quote word term reported reports dit disait écrit mot appelé sagte sagt schrieb wort nannte dijo dice escribió palabra llamó".split())
@@ -89,53 +91,69 @@ class Trie:
                 self.reach[at] = max(self.reach[at], edits)
             self.term[at] = i
 
+        sizes = [len(c) for c in self.children]
+        self.fan = np.array(sizes)
+        self.begin = np.cumsum([0, *sizes])[:-1]
+        self.below = np.array([c for cs in self.children for c in cs], np.int64)
+        self.letters, self.ends, self.reaches = np.array(self.letter, np.uint32), np.array(self.term), np.array(self.reach, np.uint8)
+        self.allowed = np.array([most_edits(len(t)) for t in self.terms], np.uint8)
+        # sizes of words that can match a term below a node; children come after their node
+        low, high = np.full(len(sizes), 1 << 30), np.full(len(sizes), -1)
+        for node in reversed(range(len(sizes))):
+            own = [(len(t) - most_edits(len(t)), len(t) + most_edits(len(t))) for t in [self.terms[self.term[node]]]] if self.term[node] >= 0 else []
+            spans = own + [(low[c], high[c]) for c in self.children[node]]
+            low[node], high[node] = min((a for a, _ in spans), default=1 << 30), max((b for _, b in spans), default=-1)
+        self.low, self.high = low, high
+
     @property
     def longest(self) -> int:
         return max((len(t) + most_edits(len(t)) for t in self.terms), default=0)
 
     def match(self, letters: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """letters: code points of words in rows, 0 beyond their end -> (word, term, distance)
-        of every pair within the term's most edits."""
-        d = max((most_edits(len(t)) for t in self.terms), default=0)
+        of every pair within the term's most edits.  Goes down the trie by levels: at each,
+        the pairs of a node and a word whose automaton is alive there."""
+        parts = [self._match(letters[i : i + MATCHED], sizes[i : i + MATCHED]) for i in range(0, len(letters), MATCHED)]
+        out = [np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3)]
+        out[0] = out[0] + np.repeat(np.arange(len(parts)) * MATCHED, [len(p[0]) for p in parts])
+        return out[0], out[1], out[2]
+
+    def _match(self, letters: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        d = int(self.allowed.max(initial=0))
         width, none = 2 * d + 1, np.uint8(d + 1)
         padded = np.zeros((len(letters), letters.shape[1] + 2 * width), np.uint32)
         padded[:, width : width + letters.shape[1]] = letters  # padded[:, width + p]: letter p
-        out: list[tuple[np.ndarray, int, np.ndarray]] = []
+        words_, terms_, dists = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        node, word = np.zeros(len(letters), np.int64), np.arange(len(letters))
         # band[:, j]: distance of the node's prefix (depth t) from the word's prefix of t - d + j
-        first = np.full((len(letters), width), none, np.uint8)
-        for j in range(d, width):
-            first[:, j] = np.where(j - d <= sizes, j - d, none)
-        todo = [(0, 0, np.arange(len(letters)), first)]
-        while todo:
-            node, depth, who, band = todo.pop()
-            if self.term[node] >= 0:
-                size = sizes[who]
-                at = size - depth + d
-                ok = (at >= 0) & (at < width)
-                dist = np.where(ok, band[np.arange(len(who)), np.clip(at, 0, width - 1)], none)
-                hit = dist <= most_edits(len(self.terms[self.term[node]]))
-                if hit.any():
-                    out.append((who[hit], self.term[node], dist[hit]))
-            for child in self.children[node]:
-                nxt, t = np.empty_like(band), depth + 1
-                ch = self.letter[child]
-                for j in range(width):
-                    p = t - d + j  # letters of the word
-                    if p < 0:
-                        nxt[:, j] = none
-                        continue
-                    # band[:, j] at depth t - 1 is the word's prefix of p - 1: both step on
-                    swap = band[:, j] + (padded[who, width + p - 1] != ch) if p >= 1 else np.full(len(who), none)
-                    miss = band[:, j + 1] + 1 if j + 1 < width else none
-                    add = nxt[:, j - 1] + 1 if j >= 1 else none
-                    best = np.minimum(np.minimum(swap, miss), np.minimum(add, none)).astype(np.uint8)
-                    nxt[:, j] = np.where(p <= sizes[who], best, none)
-                live = nxt.min(1) <= self.reach[child]
-                if live.any():
-                    todo.append((child, t, who[live], nxt[live]))
-        if not out:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate([o[0] for o in out]), np.concatenate([np.full(len(o[0]), o[1]) for o in out]), np.concatenate([o[2] for o in out]).astype(np.int64)
+        band = np.broadcast_to(np.where(np.arange(width) >= d, np.arange(width) - d, none).astype(np.uint8), (len(letters), width))
+        places, t = np.arange(width), 0
+        while len(word):
+            fan = self.fan[node]
+            of = np.repeat(np.arange(len(node)), fan)
+            child = self.below[np.repeat(self.begin[node] - np.cumsum(fan) + fan, fan) + np.arange(len(of))]
+            size = sizes[word[of]]
+            fits = (size >= self.low[child]) & (size <= self.high[child])
+            of, child, size, t = of[fits], child[fits], size[fits], t + 1
+            word, old = word[of], band[of]
+            # both step on; the node's letter is missing in the word; the word has one more
+            new = old + (padded[word, t - d - 1 + width : t + d + width] != self.letters[child][:, None])
+            np.minimum(new[:, :-1], old[:, 1:] + np.uint8(1), out=new[:, :-1])
+            new[(t - d + places < 0)[None] | (t - d + places > size[:, None])] = none
+            for j in range(1, width):
+                np.minimum(new[:, j], new[:, j - 1] + np.uint8(1), out=new[:, j])
+            new[t - d + places > size[:, None]] = none
+            np.minimum(new, none, out=new)
+            at = size - t + d
+            hit = np.flatnonzero((self.ends[child] >= 0) & (at >= 0) & (at < width))
+            term, dist = self.ends[child[hit]], new[hit, at[hit]]
+            ok = dist <= self.allowed[term]
+            words_.append(word[hit[ok]])
+            terms_.append(term[ok])
+            dists.append(dist[ok].astype(np.int64))
+            live = new.min(1, initial=none) <= self.reaches[child]
+            node, word, band = child[live], word[live], new[live]
+        return np.concatenate(words_), np.concatenate(terms_), np.concatenate(dists)
 
 
 PLAIN = np.ones(256, bool)  # bytes that a word is not trimmed of: letters, digits, beyond ASCII
@@ -175,13 +193,17 @@ def lowered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([low if j == i else b.column(j) for j in range(b.num_columns)], names=b.schema.names)
 
 
-def distinct(c: Chunk, t: Tokens, longest: int) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """(places of short words, index of each among the distinct ones, these)."""
+def hashed(c: Chunk, t: Tokens, longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(places of short words, index of each among the distinct ones, hash and place of these)."""
     size = t.end - t.start
     at = np.flatnonzero((size > 0) & (size <= 4 * longest))
-    _, firsts, back = np.unique(Prefix(c.data).of(t.start[at], t.end[at]), return_index=True, return_inverse=True)
+    hashes, firsts, back = np.unique(Prefix(c.data).of(t.start[at], t.end[at]), return_index=True, return_inverse=True)
+    return at, back, hashes, at[firsts]
+
+
+def texts_of(c: Chunk, t: Tokens, places: np.ndarray) -> list[str]:
     raw = c.data.tobytes()
-    return at, back, [raw[a:b].decode("utf-8", "replace") for a, b in zip(t.start[at[firsts]].tolist(), t.end[at[firsts]].tolist(), strict=True)]
+    return [raw[a:b].decode("utf-8", "replace") for a, b in zip(t.start[places].tolist(), t.end[places].tolist(), strict=True)]
 
 
 def letters_of(found: list[str], longest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -213,28 +235,51 @@ def quotedness(c: Chunk, t: Tokens, i: int) -> float:
     return float(1 / (1 + np.exp(-logit)))
 
 
-def matches(c: Chunk, trie: Trie) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, distance, quotedness) of each match, nearest term for a word (ties: first
-    term), and the number of words of each row."""
+class Matcher:
+    """Nearest term of words (ties: first term), remembered for up to ``HELD`` words of a task."""
+
+    def __init__(self, trie: Trie):
+        self.trie = trie
+        self.forget()
+
+    def forget(self) -> None:
+        self.hashes, self.found = np.zeros(0, np.uint64), np.zeros((0, 2), np.int32)
+
+    def nearest(self, found: list[str]) -> np.ndarray:
+        """(term, distance) of each word, -1 for none."""
+        keep, letters, sizes = letters_of(found, self.trie.longest)
+        word, term, dist = self.trie.match(letters, sizes)
+        o = np.lexsort((term, dist, word))
+        word, term, dist = word[o], term[o], dist[o]
+        first = np.append(np.ones(min(len(word), 1), bool), word[1:] != word[:-1])
+        out = np.full((len(found), 2), -1, np.int32)
+        out[keep[word[first]]] = np.stack([term[first], dist[first]], 1)
+        return out
+
+    def of(self, c: Chunk, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """(place, (term, distance)) of the words of a chunk that match a term."""
+        at, back, hashes, firsts = hashed(c, t, self.trie.longest)
+        where = np.minimum(np.searchsorted(self.hashes, hashes), max(len(self.hashes) - 1, 0))
+        known = self.hashes[where] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        out = np.full((len(hashes), 2), -1, np.int32)
+        out[known] = self.found[where[known]]
+        new = np.flatnonzero(~known)
+        out[new] = self.nearest(texts_of(c, t, firsts[new]))
+        if len(self.hashes) + len(new) > HELD:
+            self.forget()
+        merged = np.concatenate([self.hashes, hashes[new]])
+        o = np.argsort(merged, kind="stable")
+        self.hashes, self.found = merged[o], np.concatenate([self.found, out[new]])[o]
+        hit = np.flatnonzero(out[back, 0] >= 0)
+        return at[hit], out[back[hit]].astype(np.int64)
+
+
+def matches(c: Chunk, matcher: Matcher) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, term, distance, quotedness) of each match, and the number of words of each row."""
     t = tokens(c)
-    counts = np.diff(t.first)
-    nothing = np.zeros(0, np.int64)
-    if not trie.terms or not len(t.start):
-        return nothing, nothing, nothing, np.zeros(0), counts
-    at, back, found = distinct(c, t, trie.longest)
-    keep, letters, sizes = letters_of(found, trie.longest)
-    word, term, dist = trie.match(letters, sizes)
-    if not len(word):
-        return nothing, nothing, nothing, np.zeros(0), counts
-    o = np.lexsort((term, dist, word))
-    word, term, dist = word[o], term[o], dist[o]
-    first = np.append(True, word[1:] != word[:-1])
-    of = np.full((len(found), 2), -1, np.int64)
-    of[keep[word[first]]] = np.stack([term[first], dist[first]], 1)
-    hit = np.flatnonzero(of[back, 0] >= 0)
-    place = at[hit]
+    place, hit = matcher.of(c, t)
     q = np.array([quotedness(c, t, int(i)) for i in place])
-    return t.row[place], of[back[hit], 0], of[back[hit], 1], q, counts
+    return t.row[place], hit[:, 0], hit[:, 1], q, np.diff(t.first)
 
 
 SHARED = 8
@@ -289,7 +334,8 @@ def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct words of each text, at most LONGEST letters, with a letter in them."""
     for c in chunks(lowered(batches)):
         t = tokens(c)
-        at, back, found = distinct(c, t, LONGEST)
+        at, back, _, firsts = hashed(c, t, LONGEST)
+        found = texts_of(c, t, firsts)
         ok = np.array([2 < len(w) <= LONGEST and not w.isdigit() for w in found], bool)
         pairs = np.unique(np.stack([t.row[at], back], 1)[ok[back]] if len(at) else np.zeros((0, 2), np.int64), axis=0)
         label = c.batch.column("label").to_numpy()
@@ -301,8 +347,9 @@ def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _examples(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        matcher = Matcher(model.trie)
         for c in chunks(lowered(batches)):
-            x, r, f, v = model.features(c.rows, *matches(c, model.trie))
+            x, r, f, v = model.features(c.rows, *matches(c, matcher))
             cut = np.searchsorted(r, np.arange(c.rows + 1))
             own = [[a[cut[i] : cut[i + 1]].astype(k).tobytes() for i in range(c.rows)] for a, k in ((f, np.int32), (v, np.float32))]
             yield pa.RecordBatch.from_arrays([c.batch.column("label"), pa.array([p.tobytes() for p in x], pa.binary()), *(pa.array(o, pa.binary()) for o in own)], names=["label", "x", "f", "v"])
@@ -358,8 +405,9 @@ def predict(documents: DataFrame, model: Toxicity | None, *, id_col: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
+        matcher = Matcher(m.trie)
         for c in chunks(lowered(batches)):
-            row, term, dist, q, counts = matches(c, m.trie)
+            row, term, dist, q, counts = matches(c, matcher)
             score = m.score(*m.features(c.rows, row, term, dist, q, counts))
             n = np.bincount(row, minlength=c.rows)
             more = [n, np.bincount(row, dist > 0, c.rows).astype(np.int64), np.bincount(row, q, c.rows) / np.maximum(n, 1)]
