@@ -27,6 +27,15 @@ def dn_under(child: Column, parent: Column) -> Column:
     return (child == parent) | F.startswith(child, F.concat(parent, F.lit(","))) | F.startswith(child, F.concat(parent, F.lit("/")))
 
 
+def ancestors(dn: Column) -> Column:
+    """Array of the name itself and every name that it lies below: its prefixes up to each
+    ',' and '/'.  A name has few levels, so a containment join becomes one on equality."""
+    levels = F.split(dn, "(?=[,/])")
+    above = F.transform(F.sequence(F.lit(1), F.size(levels)), lambda i: F.array_join(F.slice(levels, 1, i), ""))
+    # a name that begins with a separator also lies below the empty one
+    return F.when(dn.rlike("^[,/]"), F.concat(F.array(F.lit("")), above)).otherwise(above)
+
+
 def site_of(cell: Column) -> Column:
     return F.split_part(cell, F.lit("_"), F.lit(1))
 

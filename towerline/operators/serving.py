@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import check_range
-from ..functions.names import dn_under, relation_source, relation_target
+from ..functions.names import ancestors, relation_source, relation_target
 
 SERIES_CAP = 20_000
 
@@ -57,22 +57,66 @@ def snapshot_as_of(history: DataFrame, keys: list[str], time: str, at) -> DataFr
     return last.select(*keys, "x.*")
 
 
-def as_of_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str) -> DataFrame:
+def _ticks(df: DataFrame, column: str) -> Column:
+    """A time or number as a double, for cutting into buckets."""
+    kind = dict(df.dtypes)[column]
+    c = F.col(column)
+    return F.unix_micros(c.cast("timestamp")).cast("double") if kind in ("timestamp", "timestamp_ntz", "date") else c.cast("double")
+
+
+def as_of_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str, buckets: int = 512) -> DataFrame:
     """Each left row with the latest right row of its key at or before its time.
 
-    Both sides are merged in time order within a key and the last right row is carried
-    forward, so no pair of rows is ever built."""
+    The time span is cut into buckets.  Inside a bucket of a key both sides are merged in
+    time order and the last right row is carried forward; what a bucket begins with is the
+    last right row of the buckets before it, carried over one row for each bucket.  So no
+    pair of rows is built, and a key with most of the rows is spread over its buckets."""
     cols = [c for c in right.columns if c not in keys]
-    a = left.select(*keys, F.col(left_time).alias("__t"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__l"), F.lit(None).cast(right.select(F.struct(*cols)).schema[0].dataType).alias("__r"))
-    b = right.select(*keys, F.col(right_time).alias("__t"), F.lit(0).alias("__side"), F.lit(None).cast(left.select(F.struct(*left.columns)).schema[0].dataType).alias("__l"), F.struct(*cols).alias("__r"))
-    order = Window.partitionBy(*keys).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    both = a.unionByName(b).withColumn("__r", F.last("__r", ignorenulls=True).over(order)).filter("__side = 1")
+    theirs, ours = (d.select(F.struct(*c)).schema[0].dataType for d, c in ((right, cols), (left, left.columns)))
+    a = left.select(*keys, F.col(left_time).alias("__t"), _ticks(left, left_time).alias("__x"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__l"), F.lit(None).cast(theirs).alias("__r"))
+    b = right.select(*keys, F.col(right_time).alias("__t"), _ticks(right, right_time).alias("__x"), F.lit(0).alias("__side"), F.lit(None).cast(ours).alias("__l"), F.struct(*cols).alias("__r"))
+    span = a.select("__x").unionByName(b.select("__x")).agg(F.min("__x").alias("__lo"), F.max("__x").alias("__hi"))
+    width = F.greatest((F.col("__hi") - F.col("__lo")) / buckets, F.lit(1e-9))
+    bucket = F.coalesce(F.least(F.floor((F.col("__x") - F.col("__lo")) / width), F.lit(buckets - 1)), F.lit(-1)).cast("int").alias("__b")
+    cut = lambda side: side.crossJoin(F.broadcast(span)).select(*keys, bucket, "__t", "__side", "__l", "__r")  # noqa: E731  one row
+    a, b = cut(a), cut(b)
+
+    order = Window.partitionBy(*keys, "__b").orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    inside = a.unionByName(b).withColumn("__r", F.last("__r", ignorenulls=True).over(order)).filter("__side = 1")
+
+    # at most two rows for each bucket of a key
+    ends = b.filter("__b >= 0").groupBy(*keys, "__b").agg(F.max_by("__r", "__t").alias("__r"))
+    asked = a.select(*keys, "__b").distinct().withColumn("__r", F.lit(None).cast(theirs)).withColumn("__asks", F.lit(0))
+    before = Window.partitionBy(*keys).orderBy("__b", "__asks").rowsBetween(Window.unboundedPreceding, 0)
+    carried = ends.withColumn("__asks", F.lit(1)).unionByName(asked).withColumn("__c", F.last("__r", ignorenulls=True).over(before)).filter("__asks = 0")
+    same = F.lit(True)
+    for k in [*keys, "__b"]:
+        same = same & F.col(f"i.{k}").eqNullSafe(F.col(f"c.{k}"))
+    both = inside.alias("i").join(carried.select(*keys, "__b", "__c").alias("c"), same, "left").select("i.__l", F.coalesce("i.__r", F.when(F.col("i.__t").isNotNull(), F.col("c.__c"))).alias("__r"))
     return both.select("__l.*", *[F.col(f"__r.{c}").alias(c if c not in left.columns else f"right_{c}") for c in cols])
 
 
-def cm_changes(log: DataFrame, lo, hi, under: str | None = None) -> DataFrame:
-    rows = log.filter((F.col("time") >= F.lit(lo)) & (F.col("time") < F.lit(hi)))
-    return (rows if under is None else rows.filter(dn_under(F.col("dn"), F.lit(under)))).distinct()
+def under(children: DataFrame, parents: DataFrame, child_dn: str = "dn", parent_dn: str = "dn", on: tuple[str, ...] = ("ems",)) -> DataFrame:
+    """Children with the parents that they are or lie below (of the same `on`); the
+    columns of the parents come last, without their name and `on`."""
+    keep = [c for c in parents.columns if c not in (*on, parent_dn)]
+    p = parents.select(*on, F.col(parent_dn).alias("__above"), *keep)
+    return children.withColumn("__above", F.explode(ancestors(F.col(child_dn)))).join(p, [*on, "__above"]).select(*[f"`{c}`" for c in children.columns], *[f"`{c}`" for c in keep])
+
+
+def cell_snapshot(cm: DataFrame, cells: DataFrame, at, cell: str | None = None) -> DataFrame:
+    """The records of each cell (or one) and of what lies below it, such as its relations,
+    in the latest snapshot at or before a time that has any of them."""
+    wanted = cells.select("ems", "dn", "cell_name") if cell is None else cells.filter(F.col("cell_name") == cell).select("ems", "dn", "cell_name")
+    rows = under(cm.filter(F.col("time") <= F.lit(at)), wanted)
+    last = rows.groupBy("cell_name").agg(F.max("time").alias("time"))
+    return rows.join(last, ["cell_name", "time"]).distinct()
+
+
+def cm_changes(log: DataFrame, cells: DataFrame, lo, hi, cell: str | None = None) -> DataFrame:
+    """Changes in [lo, hi) of cells and of what lies below them, with the cell's name."""
+    wanted = cells.select("ems", "dn", "cell_name") if cell is None else cells.filter(F.col("cell_name") == cell).select("ems", "dn", "cell_name")
+    return under(log.filter((F.col("time") >= F.lit(lo)) & (F.col("time") < F.lit(hi))), wanted).distinct()
 
 
 def alarms(fm: DataFrame, cells: DataFrame, lo, hi) -> DataFrame:

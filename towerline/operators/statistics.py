@@ -19,18 +19,105 @@ def best_shift(a: DataFrame, b: DataFrame, value: str = "shape") -> DataFrame:
     return per.orderBy(F.round("r", 9).desc(), "shift").limit(1)
 
 
+GRID = 256  # cuts of a range in one pass
+
+
+def percentile_columns(df: DataFrame, wanted: dict[str, tuple[Column, float]], by: list[str] = (), passes: int = 3) -> DataFrame:
+    """Exact percentiles (nulls left out; linear interpolation): one row for each group, a
+    column for each (value, q) of `wanted`.
+
+    Distributed selection: each pass brackets every wanted rank between two cuts of its
+    range, by an approximate summary of bounded size, and counts what lies below and inside,
+    so a bracket that should not hold its rank is not used.  A bracket keeps about a
+    hundredth of its range; after the passes only the distinct values inside the brackets,
+    with their counts, are put in order.  No task holds the values of a group."""
+    values = {n: v.cast("double") for n, (v, _) in wanted.items()}
+    q = {n: x for n, (_, x) in wanted.items()}
+    rows = df.select(*by, *[v.alias(f"__v_{n}") for n, v in values.items()])
+    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    v, at = (lambda n: F.col(f"__v_{n}")), (lambda n, what: F.col(f"__{what}_{n}"))
+
+    def joined(state: DataFrame) -> DataFrame:
+        if not by:
+            return rows.crossJoin(F.broadcast(state))  # one row
+        same = F.lit(True)
+        for c in by:
+            same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}"))
+        return rows.alias("r").join(state.alias("s"), same).select("r.*", *[f"s.{c}" for c in state.columns if c not in by])
+
+    def bracket(n: str, cuts: Column, low: Column, below: Column, inside: Column) -> tuple[Column, Column]:
+        """Cuts around the wanted ranks, from their place in the range."""
+        place = lambda k: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (k - below) / F.greatest(inside - 1, F.lit(1)))) * GRID
+        a = F.greatest(F.floor(place(low)).cast("int") - 1, F.lit(0)) + 1
+        b = F.least(F.ceil(place(low + 1)).cast("int") + 1, F.lit(GRID)) + 1
+        return F.get(cuts, a - 1), F.get(cuts, b - 1)
+
+    # first pass: the whole range
+    first = rows.groupBy(*by).agg(*[F.count(v(n)).alias(f"__n_{n}") for n in q], *[F.percentile_approx(v(n), grid, F.lit(10_000)).alias(f"__cuts_{n}") for n in q])
+    state = first.select(*by, *[x.alias(name) for n in q for name, x in (
+        (f"__n_{n}", F.col(f"__n_{n}")), (f"__low_{n}", F.floor((F.col(f"__n_{n}") - 1) * q[n])), (f"__below_{n}", F.lit(0).cast("long")), (f"__lo_{n}", F.lit(None).cast("double")), (f"__hi_{n}", F.lit(None).cast("double")),
+        (f"__a_{n}", bracket(n, F.col(f"__cuts_{n}"), F.floor((F.col(f"__n_{n}") - 1) * q[n]), F.lit(0), F.col(f"__n_{n}"))[0]), (f"__b_{n}", bracket(n, F.col(f"__cuts_{n}"), F.floor((F.col(f"__n_{n}") - 1) * q[n]), F.lit(0), F.col(f"__n_{n}"))[1]),
+    )])
+    kept = [f"__{w}_{n}" for n in q for w in ("n", "low", "below", "lo", "hi", "a", "b")]
+    for _ in range(passes - 1):
+        seen = joined(state).groupBy(*by).agg(
+            *[F.first(c).alias(c) for c in kept], *[F.count_if(v(n) < at(n, "a")).alias(f"__under_{n}") for n in q], *[F.count_if(v(n).between(at(n, "a"), at(n, "b"))).alias(f"__in_{n}") for n in q],
+            *[F.percentile_approx(F.when(v(n).between(at(n, "a"), at(n, "b")), v(n)), grid, F.lit(10_000)).alias(f"__cuts_{n}") for n in q],
+        )
+        out = []
+        for n in q:
+            holds = (at(n, "under") <= at(n, "low")) & (F.least(at(n, "low") + 1, at(n, "n") - 1) < at(n, "under") + at(n, "in"))
+            a, b = bracket(n, at(n, "cuts"), at(n, "low"), at(n, "under"), at(n, "in"))
+            for name, x in (("n", at(n, "n")), ("low", at(n, "low")), ("below", F.when(holds, at(n, "under")).otherwise(at(n, "below"))), ("lo", F.when(holds, at(n, "a")).otherwise(at(n, "lo"))), ("hi", F.when(holds, at(n, "b")).otherwise(at(n, "hi"))), ("a", F.when(holds, a).otherwise(at(n, "a"))), ("b", F.when(holds, b).otherwise(at(n, "b")))):
+                out.append(x.alias(f"__{name}_{n}"))
+        state = seen.select(*by, *out)
+    # the distinct values inside the brackets, with their counts
+    inside = lambda n: v(n).isNotNull() & F.coalesce(v(n).between(at(n, "lo"), at(n, "hi")), at(n, "lo").isNull())
+    picks = F.array_compact(F.array(*[F.when(inside(n), F.struct(F.lit(n).alias("name"), v(n).alias("v"), at(n, "below").alias("below"), at(n, "low").alias("low"), at(n, "n").alias("n"))) for n in q]))
+    left = joined(state).select(*by, F.explode(picks).alias("x")).groupBy(*by, "x.name", "x.v").agg(F.count("*").alias("m"), F.first("x.below").alias("below"), F.first("x.low").alias("low"), F.first("x.n").alias("n"))
+    upto = F.col("below") + F.sum("m").over(Window.partitionBy(*by, "name").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    has = lambda k: (k < F.col("upto")) & (k >= F.col("upto") - F.col("m"))
+    ranked = left.withColumn("upto", upto)
+    high = F.least(F.col("low") + 1, F.col("n") - 1)
+    found = ranked.groupBy(*by, "name").agg(F.max(F.when(has(F.col("low")), F.col("v"))).alias("x"), F.max(F.when(has(high), F.col("v"))).alias("y"), F.first("low").alias("low"), F.first("n").alias("n"))
+    share = lambda x: (F.col("n") - 1) * x - F.col("low")
+    value = lambda n: F.max(F.when(F.col("name") == n, F.when(F.col("x") == F.col("y"), F.col("x")).otherwise(F.col("x") + (F.col("y") - F.col("x")) * share(F.lit(q[n])))))
+    # groups without a value keep a row
+    per = found.groupBy(*by).agg(*[value(n).alias(n) for n in q])
+    if not by:
+        return per
+    groups = df.select(*by).distinct()
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"g.{c}").eqNullSafe(F.col(f"p.{c}"))
+    return groups.alias("g").join(per.alias("p"), same, "left").select(*[f"g.{c}" for c in by], *[f"p.{n}" for n in q])
+
+
+def _beside(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
+    """Two tables with one row for each group, side by side."""
+    if not by:
+        return a.crossJoin(F.broadcast(b))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
+    return a.alias("a").join(b.alias("b"), same).select("a.*", *[f"b.{c}" for c in b.columns if c not in by])
+
+
 def binned_medians(df: DataFrame, by: str, value: str, bins: int = 10, top: float = 100.0) -> DataFrame:
     """Median of a value in equal bins of another, over its overall median; the last bin
     is closed."""
     bin_ = F.least(F.floor(F.col(by) / (top / bins)), F.lit(bins - 1)).cast("int")
     rows = df.filter(F.col(by).between(0, top) & F.col(value).isNotNull()).select(bin_.alias("bin"), F.col(value).cast("double").alias("v"))
-    return rows.groupBy("bin").agg(F.count("*").alias("n"), F.percentile("v", F.lit(0.5)).alias("median")).crossJoin(F.broadcast(rows.agg(F.percentile("v", F.lit(0.5)).alias("overall")))).select("bin", "n", (F.col("median") / F.nullif(F.col("overall"), F.lit(0.0))).alias("relative"))
+    counts = rows.groupBy("bin").agg(F.count("*").alias("n"))
+    per = _beside(counts, percentile_columns(rows, {"median": (F.col("v"), 0.5)}, ["bin"]), ["bin"])
+    return per.crossJoin(F.broadcast(percentile_columns(rows, {"overall": (F.col("v"), 0.5)}))).select("bin", "n", (F.col("median") / F.nullif(F.col("overall"), F.lit(0.0))).alias("relative"))
 
 
 def percentiles(df: DataFrame, value: str, at: list[float], by: list[str] = ()) -> DataFrame:
     """Exact percentiles with linear interpolation, one row for each."""
-    p = df.groupBy(*by).agg(F.percentile(F.col(value).cast("double"), F.array(*map(F.lit, at))).alias("p"))
-    return p.select(*by, F.posexplode(F.arrays_zip(F.array(*map(F.lit, at)).alias("q"), F.col("p").alias("p"))).alias("i", "x")).select(*by, F.col("x.q").alias("q"), F.col("x.p").alias("value"))
+    p = percentile_columns(df, {f"p{i}": (F.col(value), q) for i, q in enumerate(at)}, list(by))
+    pairs = F.array(*[F.struct(F.lit(q).alias("q"), F.col(f"p{i}").alias("value")) for i, q in enumerate(at)])
+    return p.select(*by, F.explode(pairs).alias("x")).select(*by, "x.q", "x.value")
 
 
 def mean_rank(value: str, by: list[str] = ()) -> Column:
@@ -113,11 +200,11 @@ def run_totals(wide: DataFrame, ratios: dict[str, tuple[str, str]], sums: list[s
 
 def relationship_checks(df: DataFrame, load: str, bad: str, tries: str, group: str, order: list[str], value: str) -> DataFrame:
     """(check, figure, passed): failures rise with load, medians rise along the groups."""
-    half = df.filter(F.col(load).isNotNull()).crossJoin(F.broadcast(df.agg(F.percentile(F.col(load), F.lit(0.5)).alias("__m"))))
+    half = df.filter(F.col(load).isNotNull()).crossJoin(F.broadcast(percentile_columns(df, {"__m": (F.col(load), 0.5)})))
     rate = lambda c: F.sum(F.when(c, F.col(bad))) / F.nullif(F.sum(F.when(c, F.col(tries))), F.lit(0.0))
     high = F.col(load) > F.col("__m")
     one = half.agg((rate(high) - rate(~high)).alias("figure")).select(F.lit("failures rise with load").alias("check"), "figure", (F.col("figure") > 0).alias("passed"))
-    med = df.groupBy(group).agg(F.percentile(F.col(value).cast("double"), F.lit(0.5)).alias("m"))
+    med = percentile_columns(df, {"m": (F.col(value), 0.5)}, [group])
     place = F.array_position(F.array(*map(F.lit, order)), F.col(group))
     step = med.withColumn("i", place).withColumn("d", F.col("m") - F.lag("m").over(Window.orderBy("i")))
     two = step.agg(F.min("d").alias("figure")).select(F.lit("medians rise along the groups").alias("check"), "figure", F.coalesce(F.col("figure") >= 0, F.lit(True)).alias("passed"))
@@ -125,11 +212,11 @@ def relationship_checks(df: DataFrame, load: str, bad: str, tries: str, group: s
 
 
 def spread(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
-    v = F.col(value).cast("double")
-    return df.filter(v.isNotNull()).groupBy(*by).agg(
-        F.count("*").alias("n"), F.min(v).alias("least"), F.percentile(v, F.lit(0.5)).alias("median"), F.max(v).alias("most"),
-        F.percentile(F.abs(v), F.lit(0.9)).alias("abs_p90"), F.percentile(F.abs(v), F.lit(0.99)).alias("abs_p99"), F.max(F.abs(v)).alias("abs_most"),
-    )
+    v, by = F.col(value).cast("double"), list(by)
+    rows = df.filter(v.isNotNull())
+    sums = rows.groupBy(*by).agg(F.count("*").alias("n"), F.min(v).alias("least"), F.max(v).alias("most"), F.max(F.abs(v)).alias("abs_most"))
+    exact = percentile_columns(rows, {"median": (v, 0.5), "abs_p90": (F.abs(v), 0.9), "abs_p99": (F.abs(v), 0.99)}, by)
+    return _beside(sums, exact, by).select(*by, "n", "least", "median", "most", "abs_p90", "abs_p99", "abs_most")
 
 
 def change_rows(before: DataFrame, after: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -139,10 +226,9 @@ def change_rows(before: DataFrame, after: DataFrame, keys: list[str], value: str
 
 
 def change_summary(changes: DataFrame, by: list[str], moved: float = 10.0) -> DataFrame:
-    return changes.groupBy(*by).agg(
-        F.count("relative").alias("n"), F.percentile("relative", F.lit(0.5)).alias("median"), F.percentile(F.abs("relative"), F.lit(0.9)).alias("abs_p90"),
-        F.avg((F.abs("relative") > moved).cast("double")).alias("share_moved"),
-    )
+    counts = changes.groupBy(*by).agg(F.count("relative").alias("n"), F.avg((F.abs("relative") > moved).cast("double")).alias("share_moved"))
+    exact = percentile_columns(changes, {"median": (F.col("relative"), 0.5), "abs_p90": (F.abs("relative"), 0.9)}, list(by))
+    return _beside(counts, exact, list(by)).select(*by, "n", "median", "abs_p90", "share_moved")
 
 
 def touched(before: DataFrame, after: DataFrame, key: str, shares: dict[str, float], changed: DataFrame) -> DataFrame:
@@ -178,18 +264,43 @@ def recovery(clean: DataFrame, faulty: DataFrame, fixed: DataFrame, keys: list[s
     return rows.select(*keys, F.when(F.abs(damage) >= least, (F.col("x") - F.col("f")) / damage).alias("recovery"))
 
 
+LEVELS = 31
+
+
+def dyadic_nodes(lo: Column, hi: Column) -> Column:
+    """Array of (level, node): the fewest aligned stretches of 2**level ticks that make up
+    the ticks lo to hi, at most two for each level."""
+    end = hi + 1
+
+    def at(k: Column) -> Column:
+        a, b = F.call_function("shiftright", lo + F.call_function("shiftleft", F.lit(1).cast("long"), k) - 1, k), F.call_function("shiftright", end, k)
+        open_ = a < b
+        last = k == LEVELS  # the highest level takes all that is left
+        odd = lambda x: x % 2 != 0
+        left = F.when(open_ & ~last & odd(a), F.array(a)).otherwise(F.array().cast("array<bigint>"))
+        right = F.when(open_ & ~last & odd(b) & ((b - 1 != a) | ~odd(a)), F.array(b - 1)).otherwise(F.array().cast("array<bigint>"))
+        rest = F.when(last & open_, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
+        return F.transform(F.concat(left, right, rest), lambda n: F.struct(k.alias("level"), n.alias("node")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at))
+
+
 def overlaps(intervals: DataFrame, by: str, bucket_seconds: int) -> DataFrame:
     """Pairs of intervals of a group that overlap (id_a < id_b).
 
-    Each interval is posted in the time buckets that it touches; a pair is made only in
-    the first bucket that both touch."""
-    size = F.lit(bucket_seconds)
-    rows = intervals.withColumn("__lo", F.floor(F.unix_timestamp(F.col("start").cast("timestamp")) / size)).withColumn("__hi", F.floor((F.unix_timestamp(F.col("end").cast("timestamp"))) / size))
-    posted = rows.withColumn("__b", F.explode(F.sequence("__lo", "__hi")))
-    a = posted.select(by, "__b", *[F.col(c).alias(f"{c}_a") for c in ("id", "start", "end")], F.col("__lo").alias("__lo_a"))
-    b = posted.select(by, "__b", *[F.col(c).alias(f"{c}_b") for c in ("id", "start", "end")], F.col("__lo").alias("__lo_b"))
-    both = a.join(b, [by, "__b"]).filter((F.col("id_a") < F.col("id_b")) & (F.col("start_a") < F.col("end_b")) & (F.col("start_b") < F.col("end_a")))
-    return both.filter(F.col("__b") == F.greatest("__lo_a", "__lo_b")).select(by, "id_a", "id_b")
+    Two intervals overlap if one begins inside the other.  Time is cut into ticks; an
+    interval is posted at the aligned stretches that it is made of (two for each level at
+    most), and looks for hosts at the stretches that hold its first tick, one for each
+    level in use.  Each pair meets once, however long the intervals are."""
+    tick = lambda c: F.floor(F.unix_timestamp(F.col(c).cast("timestamp")) / F.lit(bucket_seconds)).cast("long")
+    rows = intervals.select(by, "id", "start", "end", tick("start").alias("__lo"), tick("end").alias("__hi"))
+    hosts = rows.select(by, *[F.col(c).alias(f"{c}_a") for c in ("id", "start", "end")], F.explode(dyadic_nodes(F.col("__lo"), F.col("__hi"))).alias("__n")).select("*", "__n.level", "__n.node").drop("__n")
+    used = hosts.select("level").distinct()  # at most one row for each level
+    guests = rows.crossJoin(F.broadcast(used)).select(by, *[F.col(c).alias(f"{c}_b") for c in ("id", "start", "end")], "level", F.call_function("shiftright", F.col("__lo"), F.col("level")).alias("node"))
+    both = hosts.join(guests, [by, "level", "node"])
+    first = (F.col("start_a") < F.col("start_b")) | ((F.col("start_a") == F.col("start_b")) & (F.col("id_a") < F.col("id_b")))
+    both = both.filter(first & (F.col("start_a") < F.col("end_b")) & (F.col("start_b") < F.col("end_a")))
+    return both.select(by, F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
 
 
 def schedule(events: DataFrame, time: str, lo, hi) -> DataFrame:

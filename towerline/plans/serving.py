@@ -41,7 +41,29 @@ register("e06_worst_list", lambda v: serving.worst_list(worst(v), date(1996, 3,
 register("e07_snapshot_as_of", lambda v: serving.snapshot_as_of(v.cm(), ["dn"], "time", AT).select("dn", "time", "id", "status"), with_views("cm", body=f"SELECT dn, time, id, status FROM cm WHERE time <= {AT_SQL} QUALIFY row_number() OVER (PARTITION BY dn ORDER BY time DESC, ems DESC, id DESC) = 1"))
 register("e07_as_of_join", lambda v: serving.as_of_join(v.table("lineitem").select((F.col("l_suppkey") % 50).alias("k"), "l_orderkey", "l_linenumber", F.col("l_shipdate").alias("at")), v.table("orders").groupBy((F.col("o_custkey") % 50).alias("k"), F.col("o_orderdate").alias("t")).agg(F.max("o_totalprice").alias("price")), ["k"], "at", "t").select("l_orderkey", "l_linenumber", "t", "price"),
          "WITH l AS (SELECT l_suppkey % 50 AS k, l_orderkey, l_linenumber, l_shipdate AS at FROM lineitem), r AS (SELECT o_custkey % 50 AS k, o_orderdate AS t, max(o_totalprice) AS price FROM orders GROUP BY 1, 2) SELECT l_orderkey, l_linenumber, t, price FROM l ASOF LEFT JOIN r ON l.k = r.k AND l.at >= r.t")
-register("e08_cm_changes", lambda v: serving.cm_changes(v.cm(), datetime(1996, 1, 1), datetime(1996, 2, 1)), with_views("cm", body="SELECT DISTINCT * FROM cm WHERE time >= TIMESTAMP '1996-01-01' AND time < TIMESTAMP '1996-02-01'"))
+
+
+def _tree(v: Views):
+    """Configuration records of cells and of relations below them, under both separators:
+    a number may begin another one (net/c1, net/c12), so names are told apart by level."""
+    o, c = v.table("orders"), F.col("o_custkey") % 150
+    below = F.when(F.col("o_orderkey") % 3 == 1, F.concat(F.lit("/EutranRelation-"), (F.col("o_orderkey") % 4).cast("string"))).when(F.col("o_orderkey") % 3 == 2, F.concat(F.lit(",Sector="), (F.col("o_orderkey") % 5).cast("string"))).otherwise("")
+    return o.select(F.concat(F.lit("ems"), (F.col("o_custkey") % 2).cast("string")).alias("ems"), F.concat(F.lit("net/c"), c.cast("string"), below).alias("dn"), F.date_trunc("month", "o_orderdate").cast("timestamp_ntz").alias("time"), F.col("o_orderstatus").alias("attribute"), F.col("o_orderpriority").alias("value"))
+
+
+def _tree_cells(v: Views):
+    k = F.col("c_custkey")
+    return v.table("customer").select(F.concat(F.lit("ems"), (k % 2).cast("string")).alias("ems"), F.concat(F.lit("net/c"), (k % 150).cast("string")).alias("dn"), F.concat(F.lit("cell_"), (k % 150).cast("string")).alias("cell_name")).distinct()
+
+
+_TREE = """tree AS (SELECT 'ems' || (o_custkey % 2) AS ems, 'net/c' || (o_custkey % 150) || CASE o_orderkey % 3 WHEN 1 THEN '/EutranRelation-' || (o_orderkey % 4) WHEN 2 THEN ',Sector=' || (o_orderkey % 5) ELSE '' END AS dn,
+ date_trunc('month', o_orderdate)::TIMESTAMP AS time, o_orderstatus AS attribute, o_orderpriority AS value FROM orders),
+tc AS (SELECT DISTINCT 'ems' || (c_custkey % 2) AS ems, 'net/c' || (c_custkey % 150) AS cdn, 'cell_' || (c_custkey % 150) AS cell_name FROM customer),
+found AS (SELECT tree.*, cell_name FROM tree JOIN tc ON tree.ems = tc.ems AND (dn = cdn OR starts_with(dn, cdn || ',') OR starts_with(dn, cdn || '/')))"""
+register("b07_under_join", lambda v: serving.under(_tree(v), _tree_cells(v)).groupBy("cell_name").agg(F.count("*").alias("records"), F.count_distinct("dn").alias("names")), f"WITH {_TREE} SELECT cell_name, count(*) AS records, count(DISTINCT dn) AS names FROM found GROUP BY 1")
+register("e07_cell_snapshot", lambda v: serving.cell_snapshot(_tree(v), _tree_cells(v), AT), f"WITH {_TREE}, l AS (SELECT cell_name, max(time) AS time FROM found WHERE time <= {AT_SQL} GROUP BY 1) SELECT DISTINCT found.* FROM found JOIN l USING (cell_name, time)")
+register("e07_snapshot_of_cell", lambda v: serving.cell_snapshot(_tree(v), _tree_cells(v), AT, "cell_7"), f"WITH {_TREE}, l AS (SELECT max(time) AS time FROM found WHERE time <= {AT_SQL} AND cell_name = 'cell_7') SELECT DISTINCT found.* FROM found JOIN l USING (time) WHERE cell_name = 'cell_7'")
+register("e08_cm_changes", lambda v: serving.cm_changes(_tree(v), _tree_cells(v), datetime(1996, 1, 1), datetime(1996, 6, 1)), f"WITH {_TREE} SELECT DISTINCT * FROM found WHERE time >= TIMESTAMP '1996-01-01' AND time < TIMESTAMP '1996-06-01'")
 
 
 def _alarms(v: Views):
