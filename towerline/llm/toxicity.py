@@ -1,7 +1,7 @@
 """Toxicity: a lexicon trie met by Levenshtein automata, weighed by context windows.
 
 **Lexicon.**  Words that labelled toxic texts hold far more often than others (texts that are
-equal count once), by the log odds and their standard error; at most ``TERMS`` of them.
+equal count once): log odds less their standard error of ``ODDS``, at most ``TERMS`` words.
 
 **Matching.**  The distinct words of a chunk walk the trie of the lexicon together.  The state
 of a word at a trie node is the row of its Levenshtein automaton: the edit distances between
@@ -44,10 +44,10 @@ from .bytetext import Chunk, Prefix, chunks, row_of, words
 from .common import hash_unit
 
 SAMPLE_ROWS = 8_000
-TERMS = 1024
+TERMS = 300
 LONGEST = 32  # letters of a term
 MIN_TEXTS = 4
-Z = 3.0
+ODDS = 2.75  # log odds of a term, less their standard error
 MATCHED = 2048  # words that go down the trie together
 HELD = 1 << 20  # words whose match a task remembers
 WINDOW = 6
@@ -357,16 +357,16 @@ def _examples(shared):
     return run
 
 
-def lexicon(rows: DataFrame, terms: int = TERMS, z: float = Z) -> list[str]:
-    """rows: (label, text).  Words that toxic texts hold more often, by their z score."""
+def lexicon(rows: DataFrame, terms: int = TERMS, least: float = ODDS) -> list[str]:
+    """rows: (label, text).  Words that toxic texts hold far more often, surest first."""
     totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not (totals.get(0) and totals.get(1)):
         return []
     n0, n1 = float(totals[0]), float(totals[1])
     counts = rows.mapInArrow(_words_of, "word string, label int").groupBy("word").agg(F.sum("label").cast("double").alias("a"), F.sum(1 - F.col("label")).cast("double").alias("b"))
     odds = F.log((F.col("a") + 0.5) / (n1 - F.col("a") + 0.5)) - F.log((F.col("b") + 0.5) / (n0 - F.col("b") + 0.5))
-    score = odds / F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    top = counts.filter(F.col("a") >= MIN_TEXTS).withColumn("z", score).filter(F.col("z") >= z).orderBy(F.desc("z"), "word").limit(terms)
+    sure = odds - F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
+    top = counts.filter(F.col("a") >= MIN_TEXTS).withColumn("sure", sure).filter(F.col("sure") >= least).orderBy(F.desc("sure"), "word").limit(terms)
     return sorted(r["word"] for r in top.select("word").collect())
 
 
