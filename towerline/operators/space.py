@@ -1,11 +1,16 @@
 """Distances, rasters, terrain paths, coverage and planning as joins and aggregates.
 
 Range joins never build all pairs: both sides are posted in grid squares as wide as the
-radius, and one side also in the eight squares around it.
+radius, and one side also in the eight squares around it.  Nearest neighbours have no
+radius: squares are widened for what is still open until a wider ring cannot win.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from math import inf, sqrt
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,18 +46,87 @@ def within(left: DataFrame, right: DataFrame, radius: float, *, lx: str = "x", l
     return a.join(b, ["__gx", "__gy"]).withColumn("km", km).filter(F.col("km") <= radius).drop("__gx", "__gy")
 
 
-def nearest_other(sites: DataFrame, radius: float) -> DataFrame:
-    """Distance of each site's nearest other site (null: none within the radius)."""
-    other = sites.select(F.col("site").alias("other"), F.col("x").alias("rx"), F.col("y").alias("ry"))
-    near = within(sites.select("site", "x", "y"), other, radius).filter("site <> other").groupBy("site").agg(F.min("km").alias("km"))
-    return sites.select("site").join(near, "site", "left")
+STEP = 4.0  # how much wider the squares of the next round are
+FINEST = 12  # levels below the one square that holds everything
+CROWDED = 256  # places that a square may hold at the level where a search begins
+
+
+def _around(df: DataFrame, size: float, x: str = "x", y: str = "y") -> DataFrame:
+    """Rows in their own square and in the eight around it."""
+    near = lambda c: F.explode(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: F.floor(F.col(c) / size) + d))
+    return df.withColumn("__gx", near(x)).withColumn("__gy", near(y))
+
+
+def _rings(open_: DataFrame, key: str, candidates: Callable[[DataFrame, float], DataFrame], best: Callable[[DataFrame], DataFrame], size: float, whole: float) -> list[DataFrame]:
+    """open_: (key, x, y).  Rounds of candidates(open rows, square) -> best(..), rows with
+    the key and the distance ``reach`` that a further candidate would have to beat; a key is
+    settled when the square is wider than that, and all are when it is as wide as ``whole``."""
+    settled = []
+    while True:
+        found = _written(best(candidates(open_, size)))
+        last = size >= whole
+        done = found if last else found.filter(F.col("reach") < size - 1e-8)
+        settled.append(done)
+        if last:
+            return settled
+        open_ = _written(open_.join(done.select(key).distinct(), key, "left_anti"))
+        if not open_.limit(1).count():
+            return settled
+        size = min(size * STEP, whole)
+
+
+def _extent(*tables: DataFrame) -> float:
+    """A square this wide, with those around it, holds all rows for each of them."""
+    rows = tables[0].select("x", "y")
+    for t in tables[1:]:
+        rows = rows.unionByName(t.select("x", "y"))
+    e = rows.agg(F.max("x") - F.min("x"), F.max("y") - F.min("y")).first()
+    return max(e[0] or 0.0, e[1] or 0.0, 1e-6) * 1.001
+
+
+def nearest(queries: DataFrame, points: DataFrame, k: int, *, query: str = "query", point: str = "point", skip_same: bool = False) -> DataFrame:
+    """The k points nearest to each query (query, x, y), whatever their distance; ties by
+    point id: (query, point, rank, km).  skip_same: a point of the query's own id is none.
+
+    The search begins at squares that hold few places and widens them for the queries whose
+    k-th neighbour is farther than the next ring.  Of points in one place only the k + 1
+    smallest ids count.  Rows without a place take no part."""
+    q = _written(queries.select(F.col(query).alias("__q"), F.col("x").cast("double"), F.col("y").cast("double")).dropna().distinct())
+    same = Window.partitionBy("rx", "ry").orderBy("__p")
+    p = points.select(F.col(point).alias("__p"), F.col("x").cast("double").alias("rx"), F.col("y").cast("double").alias("ry")).dropna().distinct()
+    p = _written(p.withColumn("__same", F.row_number().over(same)).filter(F.col("__same") <= k + 1).drop("__same"))
+    whole = _extent(q, p.withColumnsRenamed({"rx": "x", "ry": "y"}))
+    levels = F.explode(F.array(*[F.struct(F.lit(i).alias("level"), F.lit(whole / STEP**i).alias("size")) for i in range(FINEST + 1)]))
+    squares = p.select("rx", "ry").distinct().withColumn("l", levels).groupBy("l.level", F.floor(F.col("rx") / F.col("l.size")), F.floor(F.col("ry") / F.col("l.size"))).count()
+    full = {r["level"]: r["most"] for r in squares.groupBy("level").agg(F.max("count").alias("most")).collect()}
+    start = next((i for i in range(FINEST + 1) if full.get(i, 0) <= CROWDED), FINEST)
+    order = Window.partitionBy("__q").orderBy(F.round("km", 9), "__p")
+
+    def candidates(open_: DataFrame, size: float) -> DataFrame:
+        posted = p.withColumn("__gx", F.floor(F.col("rx") / size)).withColumn("__gy", F.floor(F.col("ry") / size))
+        met = _around(open_, size).join(posted, ["__gx", "__gy"])
+        return (met.filter("__q <> __p") if skip_same else met).withColumn("km", hypot(F.col("x") - F.col("rx"), F.col("y") - F.col("ry"))).select("__q", "__p", "km")
+
+    def best(met: DataFrame) -> DataFrame:
+        first = met.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+        return first.withColumn("reach", F.when(F.count("*").over(Window.partitionBy("__q")) == k, F.max("km").over(Window.partitionBy("__q"))).otherwise(F.lit(inf)))
+
+    rounds = _rings(q, "__q", candidates, best, whole / STEP**start, whole)
+    out = rounds[0]
+    for r in rounds[1:]:
+        out = out.unionByName(r)
+    return out.select(F.col("__q").alias(query), F.col("__p").alias(point), "rank", "km")
+
+
+def nearest_other(sites: DataFrame) -> DataFrame:
+    """Distance of each site's nearest other site; null only where there is no other."""
+    near = nearest(sites.withColumnRenamed("site", "query"), sites.withColumnRenamed("site", "point"), 1, skip_same=True)
+    return sites.select("site").join(near.select(F.col("query").alias("site"), "km"), "site", "left")
 
 
 def k_nearest(points: DataFrame, seeds: DataFrame, k: int, id_col: str = "id") -> DataFrame:
-    """The k points nearest to each of a few seeds, ties by id."""
-    order = Window.partitionBy("seed").orderBy(F.round("km", 9), id_col)
-    near = points.crossJoin(F.broadcast(seeds.select("seed", F.col("x").alias("sx"), F.col("y").alias("sy")))).withColumn("km", hypot(F.col("x") - F.col("sx"), F.col("y") - F.col("sy")))
-    return near.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("seed", id_col, "rank", "km")
+    """The k points nearest to each seed, ties by id."""
+    return nearest(seeds, points, k, query="seed", point=id_col).select("seed", id_col, "rank", "km")
 
 
 def received(points: DataFrame, cells: DataFrame, radius: float, f_mhz: float) -> DataFrame:
@@ -123,12 +197,37 @@ def apportion(shares: DataFrame, source: str, relation: str, total: str, share:
 
 
 def distance_to_line(points: DataFrame, segments: DataFrame, id_col: str) -> DataFrame:
-    """Distance of each point to the nearest of a few segments (x1, y1, x2, y2)."""
-    rows = points.crossJoin(F.broadcast(segments))
+    """Distance of each point to the nearest segment (x1, y1, x2, y2), however far: null only
+    where there is none.
+
+    Segments are cut into pieces no longer than a square and posted where a piece lies; the
+    first squares are as wide as the mean segment, so pieces number about twice the segments."""
+    s = _written(segments.select(*[F.col(c).cast("double") for c in ("x1", "y1", "x2", "y2")]).dropna().distinct())
+    q = _written(points.select(F.col(id_col).alias("__q"), F.col("x").cast("double"), F.col("y").cast("double")).dropna().distinct())
+    n, mean = s.agg(F.count("*"), F.avg(hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")))).first()
+    if not n:
+        return points.select(id_col).distinct().withColumn("km", F.lit(None).cast("double"))
+    whole = _extent(q, s.select(F.col("x1").alias("x"), F.col("y1").alias("y")), s.select(F.col("x2").alias("x"), F.col("y2").alias("y")))
     dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    t = ((F.col("x") - F.col("x1")) * dx + (F.col("y") - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
-    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(t, F.lit(0.0))))
-    return rows.groupBy(id_col).agg(F.min(hypot(F.col("x") - F.col("x1") - t * dx, F.col("y") - F.col("y1") - t * dy)).alias("km"))
+
+    def candidates(open_: DataFrame, size: float) -> DataFrame:
+        pieces = F.greatest(F.ceil(hypot(dx, dy) / size), F.lit(1)).cast("int")
+        cut = s.withColumn("__m", pieces).withColumn("__i", F.explode(F.sequence(F.lit(0), F.col("__m") - 1)))
+        ends = lambda a, d: (F.floor((a + d * F.col("__i") / F.col("__m")) / size), F.floor((a + d * (F.col("__i") + 1) / F.col("__m")) / size))
+        across = lambda a, d: F.explode(F.sequence(F.least(*ends(a, d)), F.greatest(*ends(a, d))))
+        posted = cut.withColumn("__gx", across(F.col("x1"), dx)).withColumn("__gy", across(F.col("y1"), dy)).select("x1", "y1", "x2", "y2", "__gx", "__gy").distinct()
+        met = _around(open_, size).join(posted, ["__gx", "__gy"])
+        t = ((F.col("x") - F.col("x1")) * dx + (F.col("y") - F.col("y1")) * dy) / F.nullif(dx * dx + dy * dy, F.lit(0.0))
+        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(t, F.lit(0.0))))
+        return met.select("__q", hypot(F.col("x") - F.col("x1") - t * dx, F.col("y") - F.col("y1") - t * dy).alias("km"))
+
+    size = min(max(mean, whole / sqrt(n + 1), whole / STEP**FINEST), whole)
+    rounds = _rings(q, "__q", candidates, lambda met: met.groupBy("__q").agg(F.min("km").alias("km")).withColumn("reach", F.col("km")), size, whole)
+    out = rounds[0]
+    for r in rounds[1:]:
+        out = out.unionByName(r)
+    near = out.groupBy(F.col("__q").alias(id_col)).agg(F.min("km").alias("km"))
+    return points.select(id_col).distinct().join(near, id_col, "left")
 
 
 def stencil(raster: DataFrame) -> DataFrame:
@@ -254,22 +353,104 @@ def _written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def space_out(points: DataFrame, km: float) -> DataFrame:
-    """Points kept at least `km` apart, higher first (ties: lower id): each round keeps the
-    points that no undecided neighbour precedes and drops the neighbours of kept ones,
-    until all are decided (each round decides the first of the open ones at least).  The
-    result is that of taking them one by one in order."""
-    p = points.select("top", "x", "y", "height").persist()
-    other = p.select(F.col("top").alias("b"), F.col("x").alias("rx"), F.col("y").alias("ry"), F.col("height").alias("hb"))
-    edges = within(p, other, km).filter((F.col("top") != F.col("b")) & (F.col("km") < km))
-    # b comes before top
-    before = edges.filter((F.col("hb") > F.col("height")) | ((F.col("hb") == F.col("height")) & (F.col("b") < F.col("top")))).select("top", "b").persist()
-    state = p.select("top", F.lit(0).alias("s"))  # 0 open, 1 kept, 2 dropped
-    while state.filter("s = 0").limit(1).count():
-        prev = before.join(state.select(F.col("top").alias("b"), F.col("s").alias("sb")), "b").groupBy("top").agg(F.max((F.col("sb") == 1).cast("int")).alias("hit"), F.max((F.col("sb") == 0).cast("int")).alias("open"))
-        nxt = F.when(F.col("s") != 0, F.col("s")).when(F.coalesce("hit", F.lit(0)) == 1, 2).when(F.coalesce("open", F.lit(0)) == 0, 1).otherwise(0)
-        state = _written(state.join(prev, "top", "left").select("top", nxt.alias("s")))
-    return points.join(state.filter("s = 1").select("top"), "top", "left_semi")
+REGION = 20_000  # points of a region, about
+
+
+class _Region:
+    """Points of a region in order: which of them the region can decide alone."""
+
+    def __init__(self, km: float):
+        self.km = km
+        self.kept: dict[tuple[int, int], list[tuple[float, float]]] = {}
+        self.boxes: dict[tuple[int, int], list[list[float]]] = {}  # undecided points, joined into boxes where there are many
+
+    def _squares(self, x: float, y: float) -> Iterator[tuple[int, int]]:
+        gx, gy = int(x // self.km), int(y // self.km)
+        return ((gx + i, gy + j) for i in (-1, 0, 1) for j in (-1, 0, 1))
+
+    def beaten(self, x: float, y: float) -> bool:
+        return any(sqrt((x - a) * (x - a) + (y - b) * (y - b)) < self.km for s in self._squares(x, y) for a, b in self.kept.get(s, ()))
+
+    def unsure(self, x: float, y: float) -> bool:
+        for s in self._squares(x, y):
+            for x0, y0, x1, y1 in self.boxes.get(s, ()):
+                dx, dy = max(x0 - x, 0.0, x - x1), max(y0 - y, 0.0, y - y1)
+                if sqrt(dx * dx + dy * dy) < self.km:
+                    return True
+        return False
+
+    def keep(self, x: float, y: float) -> None:
+        self.kept.setdefault((int(x // self.km), int(y // self.km)), []).append((x, y))
+
+    def leave(self, x: float, y: float) -> None:
+        boxes = self.boxes.setdefault((int(x // self.km), int(y // self.km)), [])
+        if len(boxes) < 16:
+            boxes.append([x, y, x, y])
+        else:  # a wider box only leaves more for the next round
+            b = boxes[-1]
+            b[:] = [min(b[0], x), min(b[1], y), max(b[2], x), max(b[3], y)]
+
+
+def _decide(km: float):
+    """Rows come sorted by region and then in the order of the rule."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, region = None, _Region(km)
+        for b in batches:
+            tops, kept, states = b.column("top"), [], []
+            for i, (r, own, x, y) in enumerate(zip(*(b.column(c).to_pylist() for c in ("r", "own", "x", "y")), strict=True)):
+                if r != key:
+                    key, region = r, _Region(km)
+                if own and region.beaten(x, y):
+                    kept.append(i)
+                    states.append(2)
+                elif not own or region.unsure(x, y):
+                    region.leave(x, y)
+                else:
+                    region.keep(x, y)
+                    kept.append(i)
+                    states.append(1)
+            yield pa.RecordBatch.from_arrays([tops.take(pa.array(kept, pa.int64())), pa.array(states, pa.int32())], names=["top", "s"])
+
+    return run
+
+
+def space_out(points: DataFrame, km: float, region: int = REGION) -> DataFrame:
+    """Points kept at least `km` apart, higher first (ties: lower id; no height: last).  The
+    result is that of taking them one by one in order.
+
+    The plane is cut into regions of about `region` points.  A task takes the points of its
+    region in order, and decides those that no undecided point near them comes before:
+    points beyond its border count as undecided.  What is left goes into the next round,
+    less what lies near kept points, with regions shifted by half.  A chain of decisions
+    costs a round only where it leaves a region, and each round decides the first of the open
+    points at least.  A task remembers kept points, which lie `km` apart, and boxes around
+    undecided ones, a bounded number for each square.  Rows without a place are left out."""
+    p = points.select("top", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), F.coalesce(F.col("height").cast("double"), F.lit(-inf)).alias("height")).dropna(subset=["top", "x", "y"])
+    open_, kept, turn = _written(p), [], 0
+    n, wide = open_.count(), _extent(open_)
+    side = max(8 * km, wide / sqrt(max(n / region, 1.0)) * 1.001)
+    kind = dict(open_.dtypes)["top"]
+    while n:
+        alone = n <= region
+        shift = side / 2 * (turn % 2)
+        cell = (lambda x, y: F.lit("all")) if alone else lambda x, y: F.concat_ws(",", F.floor((x + shift) / side).cast("string"), F.floor((y + shift) / side).cast("string"))  # noqa: E731, B023
+        spots = [cell(F.col("x") + i * km, F.col("y") + j * km) for i in (0, -1, 1) for j in (0, -1, 1)]
+        dealt = open_.withColumn("__own", spots[0]).withColumn("r", F.explode(F.array_distinct(F.array(*spots)))).select("r", (F.col("r") == F.col("__own")).alias("own"), "top", "x", "y", "height")
+        ordered = dealt.repartition("r").sortWithinPartitions("r", F.desc("height"), "top")
+        got = _written(ordered.select("r", "own", "top", "x", "y").mapInArrow(_decide(km), f"top {kind}, s int"))
+        new = _written(open_.join(got.filter("s = 1").select("top"), "top", "left_semi").select("top", F.col("x").alias("rx"), F.col("y").alias("ry")))
+        kept.append(new.select("top"))
+        rest = open_.join(got.select("top"), "top", "left_anti")
+        near = within(rest, new.withColumnRenamed("top", "__k"), km).filter(F.col("km") < km).select("top").distinct()
+        open_ = _written(rest.join(near, "top", "left_anti"))
+        n, turn = open_.count(), turn + 1
+    if not kept:
+        return points.limit(0)
+    chosen = kept[0]
+    for k in kept[1:]:
+        chosen = chosen.unionByName(k)
+    return points.join(chosen, "top", "left_semi")
 
 
 def candidates(tops: DataFrame, villages: DataFrame, k: int = CANDIDATES) -> DataFrame:
@@ -280,6 +461,16 @@ def candidates(tops: DataFrame, villages: DataFrame, k: int = CANDIDATES) -> Dat
     return rows.orderBy(F.desc("persons"), "top").limit(k).select("top", "persons", F.round("nearest_km", 3).alias("nearest_km"), "cost")
 
 
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Rows with their number in an order, from 1.  Ranges of the order are numbered apart,
+    and the sizes of the ranges before are added: one row for each range is put in one task."""
+    ranges = _written(df.repartitionByRange(*order).withColumn("__r", F.spark_partition_id()))
+    sizes = ranges.groupBy("__r").agg(F.count("*").alias("__n"))
+    before = sizes.select("__r", F.coalesce(F.sum("__n").over(Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    number = F.row_number().over(Window.partitionBy("__r").orderBy(*order))
+    return ranges.withColumn("__i", number).join(before, "__r").withColumn(name, (F.col("__before") + F.col("__i")).cast("int")).drop("__r", "__i", "__before")
+
+
 def greedy_cover(coverage: DataFrame) -> DataFrame:
     """Sites chosen one by one, each covering most villages that are still open (ties:
     lower site), until none is left: (step, site, newly).
@@ -296,7 +487,7 @@ def greedy_cover(coverage: DataFrame) -> DataFrame:
         picked = _written(won.filter("all").select("site", "newly"))
         gone = rest.join(picked.select("site"), "site").select("village").distinct()
         rest, chosen = _written(rest.join(gone, "village", "left_anti").select("site", "village")), chosen.unionByName(picked)
-    return chosen.select(F.row_number().over(Window.orderBy(F.desc("newly"), "site")).alias("step"), "site", "newly")
+    return numbered(chosen, [F.desc("newly"), F.col("site")], "step").select("step", "site", "newly")
 
 
 def allowed_options(opts: DataFrame, *, fiber: bool = True, grid_only: bool = False, most_capex: int | None = None) -> DataFrame:

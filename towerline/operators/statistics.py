@@ -93,7 +93,7 @@ def percentile_columns(df: DataFrame, wanted: dict[str, tuple[Column, float]], b
     return groups.alias("g").join(per.alias("p"), same, "left").select(*[f"g.{c}" for c in by], *[f"p.{n}" for n in q])
 
 
-def _beside(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
+def beside(a: DataFrame, b: DataFrame, by: list[str]) -> DataFrame:
     """Two tables with one row for each group, side by side."""
     if not by:
         return a.crossJoin(F.broadcast(b))
@@ -109,7 +109,7 @@ def binned_medians(df: DataFrame, by: str, value: str, bins: int = 10, top: floa
     bin_ = F.least(F.floor(F.col(by) / (top / bins)), F.lit(bins - 1)).cast("int")
     rows = df.filter(F.col(by).between(0, top) & F.col(value).isNotNull()).select(bin_.alias("bin"), F.col(value).cast("double").alias("v"))
     counts = rows.groupBy("bin").agg(F.count("*").alias("n"))
-    per = _beside(counts, percentile_columns(rows, {"median": (F.col("v"), 0.5)}, ["bin"]), ["bin"])
+    per = beside(counts, percentile_columns(rows, {"median": (F.col("v"), 0.5)}, ["bin"]), ["bin"])
     return per.crossJoin(F.broadcast(percentile_columns(rows, {"overall": (F.col("v"), 0.5)}))).select("bin", "n", (F.col("median") / F.nullif(F.col("overall"), F.lit(0.0))).alias("relative"))
 
 
@@ -216,7 +216,7 @@ def spread(df: DataFrame, value: str, by: list[str] = ()) -> DataFrame:
     rows = df.filter(v.isNotNull())
     sums = rows.groupBy(*by).agg(F.count("*").alias("n"), F.min(v).alias("least"), F.max(v).alias("most"), F.max(F.abs(v)).alias("abs_most"))
     exact = percentile_columns(rows, {"median": (v, 0.5), "abs_p90": (F.abs(v), 0.9), "abs_p99": (F.abs(v), 0.99)}, by)
-    return _beside(sums, exact, by).select(*by, "n", "least", "median", "most", "abs_p90", "abs_p99", "abs_most")
+    return beside(sums, exact, by).select(*by, "n", "least", "median", "most", "abs_p90", "abs_p99", "abs_most")
 
 
 def change_rows(before: DataFrame, after: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -228,7 +228,7 @@ def change_rows(before: DataFrame, after: DataFrame, keys: list[str], value: str
 def change_summary(changes: DataFrame, by: list[str], moved: float = 10.0) -> DataFrame:
     counts = changes.groupBy(*by).agg(F.count("relative").alias("n"), F.avg((F.abs("relative") > moved).cast("double")).alias("share_moved"))
     exact = percentile_columns(changes, {"median": (F.col("relative"), 0.5), "abs_p90": (F.abs("relative"), 0.9)}, list(by))
-    return _beside(counts, exact, list(by)).select(*by, "n", "median", "abs_p90", "share_moved")
+    return beside(counts, exact, list(by)).select(*by, "n", "median", "abs_p90", "share_moved")
 
 
 def touched(before: DataFrame, after: DataFrame, key: str, shares: dict[str, float], changed: DataFrame) -> DataFrame:

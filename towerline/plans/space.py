@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import radio
 from ..operators import space as sp
+from ..operators import statistics as st
 from .registry import register, rounded
 from .views import Views, place_sql
 
@@ -91,14 +93,16 @@ def _shares(v: Views):
 
 register("h12_apportion", lambda v: sp.apportion(_shares(v), "l_orderkey", "l_suppkey", "total", "share").select("l_orderkey", "l_suppkey", "part"),
          "WITH q AS (SELECT l_orderkey, l_suppkey, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2), s AS (SELECT l_orderkey, l_suppkey, floor(o_totalprice) AS total, q / sum(q) OVER (PARTITION BY l_orderkey) AS share FROM q JOIN orders ON o_orderkey = l_orderkey), u AS (SELECT *, round_even(total * round(sum(share) OVER (PARTITION BY l_orderkey ORDER BY l_suppkey), 12), 0) AS u FROM s) SELECT l_orderkey, l_suppkey, (u - coalesce(lag(u) OVER (PARTITION BY l_orderkey ORDER BY l_suppkey), 0))::BIGINT AS part FROM u")
-_SEG = "(SELECT unnest([0.0, 30.0, 60.0]) AS x1, unnest([10.0, 40.0, 35.0]) AS y1, unnest([30.0, 60.0, 100.0]) AS x2, unnest([40.0, 35.0, 90.0]) AS y2)"
+_SEG = f"seg AS (SELECT x AS x1, y AS y1, lead(x) OVER w AS x2, lead(y) OVER w AS y2 FROM {place_sql('supplier', 's_suppkey', 'site')} WINDOW w AS (PARTITION BY s_nationkey ORDER BY site) QUALIFY x2 IS NOT NULL)"
 
 
 def segments(v: Views):
-    return v.spark.createDataFrame([(0.0, 10.0, 30.0, 40.0), (30.0, 40.0, 60.0, 35.0), (60.0, 35.0, 100.0, 90.0)], "x1 double, y1 double, x2 double, y2 double")
+    """A line through the sites of each nation."""
+    w = Window.partitionBy("s_nationkey").orderBy("site")
+    return v.place("supplier", "s_suppkey", "site").select(F.col("x").alias("x1"), F.col("y").alias("y1"), F.lead("x").over(w).alias("x2"), F.lead("y").over(w).alias("y2")).dropna()
 
 
-register("h13_distance_to_line", lambda v: rounded(sp.distance_to_line(villages(v), segments(v), "village"), 6), f"WITH {VIL}, t AS (SELECT village, x, y, x1, y1, x2 - x1 AS dx, y2 - y1 AS dy, greatest(0.0, least(1.0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)))) AS t FROM vil, {_SEG}) SELECT village, round(min(sqrt(pow(x - x1 - t * dx, 2) + pow(y - y1 - t * dy, 2))), 6) AS km FROM t GROUP BY 1")
+register("h13_distance_to_line", lambda v: rounded(sp.distance_to_line(villages(v), segments(v), "village"), 6), f"WITH {VIL}, {_SEG}, t AS (SELECT village, x, y, x1, y1, x2 - x1 AS dx, y2 - y1 AS dy, greatest(0.0, least(1.0, coalesce(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / nullif((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1), 0), 0))) AS t FROM vil, seg) SELECT village, round(min(sqrt(pow(x - x1 - t * dx, 2) + pow(y - y1 - t * dy, 2))), 6) AS km FROM t GROUP BY 1")
 
 
 def height_sql(source: str, cols: str) -> str:
@@ -194,9 +198,17 @@ def tops(v: Views):
 
 TOPS = f"tops AS (SELECT top, x, y, round(s_acctbal, 2) AS height FROM {place_sql('supplier', 's_suppkey', 'top')})"
 register("h25_proposals", lambda v: sp.proposals(tops(v), villages(v)).select("top"), f"WITH {TOPS}, {VIL}, n AS (SELECT village, top, height FROM tops t, vil v WHERE sqrt(pow(t.x - v.x, 2) + pow(t.y - v.y, 2)) <= 3) SELECT DISTINCT top FROM (SELECT top, row_number() OVER (PARTITION BY village ORDER BY height DESC, top) AS r FROM n) WHERE r = 1")
-register("h26_space_out", lambda v: sp.space_out(tops(v), 6.0).select("top"))
+register("h26_space_out", lambda v: sp.space_out(tops(v), 6.0).select("top"), f"""WITH RECURSIVE {TOPS}, o AS (SELECT top, x, y, row_number() OVER (ORDER BY height DESC, top) AS i FROM tops),
+r AS (SELECT 0::BIGINT AS i, []::STRUCT(top BIGINT, x DOUBLE, y DOUBLE)[] AS kept
+ UNION ALL SELECT o.i, CASE WHEN len(list_filter(kept, lambda k: sqrt(pow(k.x - o.x, 2) + pow(k.y - o.y, 2)) < 6)) = 0 THEN list_append(kept, {{'top': o.top::BIGINT, 'x': o.x::DOUBLE, 'y': o.y::DOUBLE}}) ELSE kept END FROM r JOIN o ON o.i = r.i + 1)
+SELECT unnest(kept).top AS top FROM (SELECT kept FROM r ORDER BY i DESC LIMIT 1)""")
 register("h27_candidates", lambda v: sp.candidates(tops(v), villages(v)).select("top", "persons", "nearest_km", "cost"), f"WITH {TOPS}, {VIL}, n AS (SELECT top, population, sqrt(pow(t.x - v.x, 2) + pow(t.y - v.y, 2)) AS km FROM tops t, vil v) SELECT top, sum(population)::BIGINT AS persons, round(min(km), 3) AS nearest_km, (1800000000 + round_even(120000000 * min(km), 0))::BIGINT AS cost FROM n WHERE km <= 5 GROUP BY top ORDER BY persons DESC, top LIMIT 60")
-register("h28_greedy_cover", lambda v: sp.greedy_cover(covered(v)))
+register("h28_greedy_cover", lambda v: sp.greedy_cover(covered(v)), f"""WITH RECURSIVE {COV}, c AS (SELECT site, list(DISTINCT village) AS vs FROM cov WHERE covered GROUP BY site),
+r AS (SELECT 0 AS step, NULL::BIGINT AS site, 0::BIGINT AS newly, []::BIGINT[] AS gone
+ UNION ALL SELECT step + 1, site, newly, list_concat(gone, fresh) FROM (
+  SELECT r.step, c.site, len(list_filter(vs, lambda x: NOT list_contains(gone, x))) AS newly, gone, list_filter(vs, lambda x: NOT list_contains(gone, x)) AS fresh,
+    row_number() OVER (ORDER BY len(list_filter(vs, lambda x: NOT list_contains(gone, x))) DESC, c.site) AS n FROM r, c) WHERE n = 1 AND newly > 0)
+SELECT step::INTEGER AS step, site, newly::BIGINT AS newly FROM r WHERE step > 0""")
 SERVED = "sv AS (SELECT village, population, coalesce(bool_or(level >= -110) FILTER (WHERE technology = 'LTE'), false) AS outdoor, coalesce(bool_or(covered), false) AS indoor FROM vil LEFT JOIN cov USING (village) GROUP BY 1, 2)"
 
 
@@ -210,5 +222,13 @@ register("h30_allowed_options", lambda v: sp.allowed_options(option_rows(v), fib
 register("h31_uncoverable", lambda v: sp.uncoverable(sp.must_cover(sp.village_attributes(villages(v)), 4000, True), covered(v)), f"WITH {COV} SELECT village FROM vil WHERE (population >= 4000 OR CASE WHEN population > 500 THEN 1 ELSE round_even(population / 1500.0, 0) END > 0) AND village NOT IN (SELECT village FROM cov WHERE covered)")
 register("h32_score_plans", lambda v: sp.score_plans(v.spark.range(10).select(F.col("id").alias("plan")).crossJoin(sites(v).select("site")).filter("site % 10 = plan"), covered(v), villages(v), sites(v).select("site", F.col("site").alias("cost")), 100), f"WITH {COV}, pl AS (SELECT site % 10 AS plan, site FROM sit), c AS (SELECT DISTINCT plan, village FROM pl JOIN cov USING (site) WHERE covered), g AS (SELECT plan, count(*) AS villages, sum(population)::BIGINT AS persons FROM c JOIN vil USING (village) GROUP BY 1), k AS (SELECT plan, count(*) AS sites, sum(site)::BIGINT AS cost FROM pl GROUP BY 1) SELECT plan, sites, cost, coalesce(villages, 0) AS villages, coalesce(persons, 0)::BIGINT AS persons, greatest(cost - 100, 0)::BIGINT AS over_budget FROM k LEFT JOIN g USING (plan)")
 register("h33_largest_villages", lambda v: sp.largest_villages(villages(v), covered(v), (10.0, 10.0, 80.0, 80.0), 10).select("village", "population"), f"WITH {COV} SELECT village, population FROM vil WHERE x BETWEEN 10 AND 80 AND y BETWEEN 10 AND 80 AND village IN (SELECT village FROM cov WHERE covered) ORDER BY population DESC, village LIMIT 10")
-register("g26_nearest_other", lambda v: rounded(sp.nearest_other(sites(v), 10.0), 6), f"WITH {SITES} SELECT a.site, round(min(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))) FILTER (WHERE sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2)) <= 10), 6) AS km FROM sit a LEFT JOIN sit b ON a.site <> b.site GROUP BY 1")
-register("g29_layer_summary", lambda v: rounded(best(v).join(points(v).select("point", "users"), "point").agg((F.sum(F.when(F.col("covered"), F.col("users")).otherwise(0.0)) / F.sum("users")).alias("share"), F.percentile("level", F.lit(0.1)).alias("p10"), F.percentile("level", F.lit(0.5)).alias("p50"), F.percentile("sinr_db", F.lit(0.5)).alias("sinr50")), 4), f"WITH {LEVELS}, {BEST} SELECT round(sum(CASE WHEN covered THEN users ELSE 0 END) / sum(users), 4) AS share, round(quantile_cont(level, 0.1), 4) AS p10, round(quantile_cont(level, 0.5), 4) AS p50, round(quantile_cont(sinr_db, 0.5), 4) AS sinr50 FROM best JOIN pts USING (point)")
+register("g26_nearest_other", lambda v: rounded(sp.nearest_other(sites(v)), 6), f"WITH {SITES} SELECT a.site, round(min(sqrt(pow(a.x - b.x, 2) + pow(a.y - b.y, 2))), 6) AS km FROM sit a LEFT JOIN sit b ON a.site <> b.site GROUP BY 1")
+
+
+def layer_summary(v: Views):
+    rows = best(v).join(points(v).select("point", "users"), "point")
+    share = rows.agg((F.sum(F.when(F.col("covered"), F.col("users")).otherwise(0.0)) / F.sum("users")).alias("share"))
+    return st.beside(share, st.percentile_columns(rows, {"p10": (F.col("level"), 0.1), "p50": (F.col("level"), 0.5), "sinr50": (F.col("sinr_db"), 0.5)}), [])
+
+
+register("g29_layer_summary", lambda v: rounded(layer_summary(v), 4), f"WITH {LEVELS}, {BEST} SELECT round(sum(CASE WHEN covered THEN users ELSE 0 END) / sum(users), 4) AS share, round(quantile_cont(level, 0.1), 4) AS p10, round(quantile_cont(level, 0.5), 4) AS p50, round(quantile_cont(sinr_db, 0.5), 4) AS sinr50 FROM best JOIN pts USING (point)")
