@@ -245,7 +245,26 @@ def _collected(v: Views, stream):
     return v.spark.read.schema(stream.schema).parquet(out)
 
 
-register("j02_deduplicated", lambda v: _collected(v, ingest.deduplicated(_stream(v).select("ems", "file_name"), ["ems", "file_name"])), with_views("bronze", body="SELECT DISTINCT ems, file_name FROM bronze"))
+def _loads(v: Views) -> ingest.Loads:
+    return ingest.Loads(scratch_path(v.spark, "loads"), ["ems", "file_name", "file_hash"])
+
+
+def _deduplicated(v: Views):
+    """Each delivery of a file once, through a stream whose last batches are run twice."""
+    path, out, loads = scratch_path(v.spark, "deliveries"), scratch_path(v.spark, "taken"), _loads(v)
+    v.deliveries().select("ems", "file_name", "file_hash", "arrival_time").repartition(12).write.parquet(path)
+    each = loads.only_new(lambda rows, i: rows.select("ems", "file_name", "file_hash").write.mode("overwrite").parquet(f"{out}/batch={i}"))
+
+    def twice(batch, i):
+        each(batch, i)
+        each(batch, i)
+
+    ingest.run_once(ingest.pick_up(v.spark, path, v.spark.read.parquet(path).schema, files_per_batch=3), twice, scratch_path(v.spark, "ckpt"))
+    return v.spark.read.parquet(out).drop("batch"), loads
+
+
+register("j02_deduplicated", lambda v: _deduplicated(v)[0], with_views("deliveries", body="SELECT DISTINCT ems, file_name, file_hash FROM deliveries"))
+register("j07_load_log", lambda v: _deduplicated(v)[1].log(v.spark).agg(F.sum("rows").alias("rows"), F.sum("keys").alias("keys"), (F.count("*") == F.count_distinct("batch")).alias("each_once")), with_views("deliveries", body="SELECT count(DISTINCT (ems, file_name, file_hash)) AS rows, count(DISTINCT (ems, file_name, file_hash)) AS keys, true AS each_once FROM deliveries"))
 
 
 def _windows(v: Views, width: str):
@@ -259,6 +278,19 @@ register("j03_closed_days", lambda v: _windows(v, "1 day"), with_views("bronze",
 register("j04_tumbling_hour", lambda v: _windows(v, "1 hour"), with_views("bronze", body=_WIN.format("date_trunc('hour', period_start)::TIMESTAMP", "INTERVAL 1 HOUR")))
 
 
+def _quarters(v: Views):
+    """Quarters of an hour of a stream whose rows come up to two days late, in many batches:
+    the rows are written by their arrival, so each batch brings rows of many windows."""
+    path, out = scratch_path(v.spark, "bronze"), scratch_path(v.spark, "windows")
+    _arrivals(v, by_day=False).select(*_RAW).repartitionByRange(16, "arrival_time").write.parquet(path)
+    s = ingest.pick_up(v.spark, path, v.spark.read.parquet(path).schema, files_per_batch=2).withColumn("t", F.col("period_start").cast("timestamp"))
+    ingest.run_once(s, ingest.merge_windows(out, "t", "15 minutes", ["ems"], "value"), scratch_path(v.spark, "ckpt"))
+    return rounded(_ntz(ingest.merged_windows(v.spark, out, ["ems"])), 4)
+
+
+register("j04_tumbling_quarter", _quarters, with_views("bronze", body="SELECT period_start AS start, period_start + INTERVAL 15 MINUTE AS \"end\", ems, count(*) AS n, round(sum(value), 4) AS total, period_start + INTERVAL 45 MINUTE <= (SELECT max(period_start) FROM bronze) AS closed FROM bronze GROUP BY period_start, ems"))
+
+
 def _rebuilt(v: Views):
     silver, gold = scratch_path(v.spark, "silver"), scratch_path(v.spark, "gold")
     build = lambda rows: rows.groupBy("cell_name", (F.col("period_start") + F.expr("interval 7 hours")).cast("date").alias("period")).agg(F.count("*").alias("n"), F.sum("value").alias("total"))
@@ -270,11 +302,32 @@ register("j06_rebuild_touched", lambda v: rounded(_rebuilt(v), 4), with_views("b
 
 
 def _progress(v: Views):
-    q = ingest.run_once(_stream(v).drop("day"), lambda batch, i: batch.write.format("noop").mode("overwrite").save(), scratch_path(v.spark, "ckpt"))
-    return v.spark.createDataFrame(ingest.progress(q), "batch long, rows long")
+    log = ingest.ProgressLog(v.spark, scratch_path(v.spark, "progress"))
+    stream = ingest.observed(_stream(v).drop("day"), "arrival_time")
+    ingest.run_once(stream, lambda batch, i: batch.write.format("noop").mode("overwrite").save(), scratch_path(v.spark, "ckpt"), log)
+    return log.table()
+
+
+register("j08_progress", lambda v: _progress(v).agg(F.sum("rows").alias("rows"), (F.count_distinct("batch") == F.count("*")).alias("each_once"), F.max(F.col("latest").cast("timestamp_ntz")).alias("latest")), with_views("bronze", body=f", {_NEWEST} SELECT count(*) AS rows, true AS each_once, max(arrival_time) AS latest FROM arrived"))
+
+
+def _retained(v: Views):
+    """A file for each day is picked up and archived; three days after the newest one began,
+    retention deletes what ended before, archived or not.  What is left, by day."""
+    path, archive = scratch_path(v.spark, "landing"), scratch_path(v.spark, "archive")
+    rows = v.bronze().select("ems", "value", F.col("ts").cast("date").alias("day"))
+    rows.repartition("day").write.partitionBy("day").parquet(path)
+    stream = ingest.pick_up(v.spark, path, v.spark.read.parquet(path).schema, files_per_batch=4, archive=archive)
+    ingest.run_once(stream, lambda batch, i: batch.write.format("noop").mode("overwrite").save(), scratch_path(v.spark, "ckpt"))
+    newest, out = rows.agg(F.max("day")).first()[0], v.spark.createDataFrame([], "day date, n long")
+    for place in (path, ingest.archived(v.spark, archive, path)):
+        ingest.expire(v.spark, place, datetime.combine(newest, datetime.min.time()))
+        if ingest.partitions(v.spark, place):
+            out = out.unionByName(v.spark.read.parquet(place).groupBy("day").agg(F.count("*").alias("n")))
+    return out.groupBy("day").agg(F.sum("n").alias("n"))
 
 
-register("j08_progress", lambda v: _progress(v).agg(F.sum("rows").alias("rows"), (F.count_distinct("batch") == F.count("*")).alias("each_once")), "SELECT count(*) AS rows, true AS each_once FROM events")
+register("j09_retention", _retained, with_views("bronze", body="SELECT ts::DATE AS day, count(*) AS n FROM bronze WHERE ts::DATE >= (SELECT max(ts)::DATE FROM bronze) - 3 GROUP BY 1"))
 
 
 def _twice(v: Views):
