@@ -80,10 +80,24 @@ def _symbols(seed: int) -> np.ndarray:
     return mix(np.arange(1, 257, dtype=U) * U(_BASES[seed % 2]) + U(seed + 1))
 
 
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: dict[int, tuple[np.ndarray, ...]] = {}
+#: A Mersenne prime; the second half of a hash is a polynomial modulo it.
+PRIME = (1 << 31) - 1
+_PRIME_BASES = (1_270_391_803, 1_891_655_929)
 
 
-def _powers(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def _fold(x: np.ndarray) -> np.ndarray:
+    """Modulo PRIME up to one PRIME: below 2**32 for any 62 bits."""
+    return (x & U(PRIME)) + (x >> U(31))
+
+
+def _modulo(x: np.ndarray) -> np.ndarray:
+    x = _fold(_fold(x))
+    return np.where(x >= U(PRIME), x - U(PRIME), x)
+
+
+def _powers(n: int, seed: int) -> tuple[np.ndarray, ...]:
+    """Powers of the base and of its inverse modulo 2**64, then both modulo PRIME."""
     have = _POWERS.get(seed)
     if have is None or len(have[0]) < n:
         base = _BASES[seed % 2]
@@ -93,28 +107,49 @@ def _powers(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
             p = np.full(size, b, U)
             p[0] = 1
             out.append(np.cumprod(p, dtype=U))
-        have = _POWERS[seed] = (out[0], out[1])
-    return have[0][:n], have[1][:n]
+        for b in (_PRIME_BASES[seed % 2], pow(_PRIME_BASES[seed % 2], -1, PRIME)):
+            p = np.ones(size, U)
+            done = 1
+            while done < size:  # each turn doubles what is known
+                more = min(done, size - done)
+                p[done : done + more] = _modulo(p[:more] * U(pow(b, done, PRIME)))
+                done += more
+            out.append(p)
+        have = _POWERS[seed] = tuple(out)
+    return tuple(p[:n] for p in have)
 
 
 class Prefix:
-    """Hashes of any stretches [a, b) of a sequence, from prefix sums modulo 2**64."""
+    """Hashes of any stretches [a, b) of a sequence, from prefix sums.
+
+    Two polynomials of unlike structure go into each hash: one modulo 2**64, which is fast
+    but takes some sequences (of Thue-Morse shape) for equal whatever its base, and one
+    modulo a prime, which does not."""
 
     def __init__(self, values: np.ndarray, seed: int = 0, byte_values: bool = True):
         v = _symbols(seed)[values] if byte_values else values
-        p, self.inverse = _powers(len(v) + 1, seed)
+        p, self.inverse, q, self.inverse_prime = _powers(len(v) + 1, seed)
         self.sums = np.zeros(len(v) + 1, U)
         np.cumsum(v * p[:-1], out=self.sums[1:])
+        small = (_symbols(seed) >> U(33))[values] if byte_values else mix(values) >> U(33)
+        # below 2**32 each, so that sums of 2**31 of them fit
+        self.prime_sums = np.zeros(len(v) + 1, U)
+        np.cumsum(_fold(small * q[:-1]), out=self.prime_sums[1:])
+
+    def _joined(self, wide: np.ndarray, prime: np.ndarray) -> np.ndarray:
+        return mix(wide ^ (prime * U(0x9E3779B97F4A7C15)))
 
     def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return mix((self.sums[b] - self.sums[a]) * self.inverse[a])
+        prime = _modulo(_modulo(self.prime_sums[b] - self.prime_sums[a]) * self.inverse_prime[a])
+        return self._joined((self.sums[b] - self.sums[a]) * self.inverse[a], prime)
 
     def sliding(self, k: int) -> np.ndarray:
         """Hash of each stretch of k."""
         n = len(self.sums) - k
         if n <= 0:
             return np.zeros(0, U)
-        return mix((self.sums[k:] - self.sums[:n]) * self.inverse[:n])
+        prime = _modulo(_modulo(self.prime_sums[k:] - self.prime_sums[:n]) * self.inverse_prime[:n])
+        return self._joined((self.sums[k:] - self.sums[:n]) * self.inverse[:n], prime)
 
 
 @dataclass

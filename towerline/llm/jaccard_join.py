@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -198,10 +199,17 @@ def verified(a: Side, b: Side, i: np.ndarray, j: np.ndarray, threshold: float) -
         x, y = a.sets[x], b.sets[y]
         both = len(x) + len(y) - len(np.union1d(x, y))
         either = len(x) + len(y) - both
-        keep[k] = both >= threshold * either - 1e-6 * either
+        keep[k] = reaches(both, either, threshold)
     return i[keep], j[keep]
 
 
+def reaches(both, either, threshold: float):
+    """both / either >= threshold, in whole numbers: the threshold is the decimal fraction
+    that it is written as."""
+    t = Fraction(str(threshold))
+    return both * t.denominator >= either * t.numerator
+
+
 def links(sets_a: list[np.ndarray], sets_b: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (i, j) whose Jaccard similarity reaches the threshold, from the sizes of
     their exact intersections."""
@@ -218,14 +226,14 @@ def links(sets_a: list[np.ndarray], sets_b: list[np.ndarray], threshold: float)
     row, col = row[keep], shared[col[keep]]
     o = np.argsort(col, kind="stable")
     row, col = row[o], col[o]
-    common = np.zeros((len(na), len(nb)), np.float32)
+    common = np.zeros((len(na), len(nb)), np.int64)
     for lo in range(0, int(shared[-1]) + 1 if len(u) else 0, COLUMNS):
         i, j = np.searchsorted(col, (lo, lo + COLUMNS))
         dense = np.zeros((len(na) + len(nb), min(COLUMNS, int(shared[-1]) + 1 - lo)), np.float32)
         dense[row[i:j], col[i:j] - lo] = 1
-        common += dense[: len(na)] @ dense[len(na) :].T
+        common += (dense[: len(na)] @ dense[len(na) :].T).astype(np.int64)
     either = na[:, None] + nb[None] - common
-    return np.nonzero(common >= threshold * either - 1e-6 * either)
+    return np.nonzero(reaches(common, either, threshold))
 
 
 class Forest:

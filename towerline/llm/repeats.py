@@ -76,11 +76,12 @@ _CONTEXT = [("h", _L), ("rid", _L), ("rth", _L), ("lo", _I), ("n", _I), ("ctx",
 _SPAN = [("rid", _L), ("rth", _L), ("lo", _I), ("hi", _I)]
 
 
-def _symbols(c: Chunk, unit: str) -> tuple[np.ndarray, bool, np.ndarray]:
+def _symbols(c: Chunk, unit: str, seed: int = 0) -> tuple[np.ndarray, bool, np.ndarray]:
+    """Bytes, or a hash of each word: one of its own for each seed."""
     if unit == "byte":
         return c.data, True, c.offsets
     w = words(c)
-    return Prefix(c.data).of(w.start, w.end), False, w.first
+    return Prefix(c.data, seed).of(w.start, w.end), False, w.first
 
 
 def _find_anchors(spec: Spec) -> Callable:
@@ -97,7 +98,7 @@ def _find_anchors(spec: Spec) -> Callable:
                 continue
             r = row[at]
             lo, hi = np.maximum(at - spec.reach, first[r]), np.minimum(at + spec.window, last[r])
-            around = Prefix(sym if is_bytes else mix(sym), 1, is_bytes).of(lo, hi)
+            around = Prefix(sym if is_bytes else _symbols(c, spec.unit, 1)[0], 1, is_bytes).of(lo, hi)
             around = mix(around + (at - lo).astype(U))
             rid, rth = (c.batch.column(k).to_numpy(zero_copy_only=False)[r] for k in ("rid", "rth"))
             cols = [grams[at].view(np.int64), around.view(np.int64), rid, rth, (at - first[r]).astype(np.int32)]
