@@ -101,7 +101,7 @@ def _powers(n: int, seed: int) -> tuple[np.ndarray, ...]:
     have = _POWERS.get(seed)
     if have is None or len(have[0]) < n:
         base = _BASES[seed % 2]
-        size = max(n, CHUNK_BYTES + 1024)
+        size = max(n + n // 8, 1 << 17)
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, b, U)

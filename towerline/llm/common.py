@@ -33,6 +33,18 @@ def durable(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let rows with whole texts go to Python workers in batches of ``BATCH_BYTES`` at most
+    (a setting of the session), so that what a worker holds does not grow with the texts."""
+    now = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    if now is None or not now.isdigit() or int(now) > BATCH_BYTES or int(now) <= 0:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def id_key(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(NULL_ID))
 

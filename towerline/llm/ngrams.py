@@ -15,9 +15,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-from .bytetext import U, Chunk, chunks, mix
+from .bytetext import CHUNK_BYTES, U, Chunk, chunks, mix
 
-HELD = 1 << 21
+HELD = 1 << 20
 
 
 def keys(c: Chunk, order: int) -> np.ndarray:
@@ -51,9 +51,10 @@ def counter(order: int, group: str = "lang"):
                 yield pa.RecordBatch.from_arrays([pa.array([g] * m, pa.string()), pa.array(k[i : i + m].view(np.int64)), pa.array(n[i : i + m])], names=[group, "gram", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())  # gives freed batches back
         held: dict[str, list] = {}
         size = 0
-        for c in chunks(batches):
+        for c in chunks(batches, most=CHUNK_BYTES // 2):
             k = keys(c, order)
             names = c.batch.column(group).to_numpy(zero_copy_only=False)
             of = np.repeat(np.unique(names, return_inverse=True)[1], np.diff(c.offsets))
