@@ -211,7 +211,7 @@ register("a13_layer_sizes", lambda v: files.layer_sizes(v.spark, {"orders": f"{v
 def _stream(v: Views):
     """The bronze table of this run as a stream of its files."""
     path = bronze_table(v, by_day=True)
-    return ingest.pick_up(v.spark, path, v.spark.read.parquet(path).schema, files_per_batch=24)
+    return ingest.pick_up(v.spark, path, v.spark.read.parquet(path).schema, files_per_batch=64)
 
 
 _VALUES = [*_KEYS, "value", "arrival_time"]

@@ -40,8 +40,9 @@ def upsert_days(spark: SparkSession, path: str, source: DataFrame, keys: list[st
     With version columns, the row with the greatest of them stays, of the source's and the
     table's alike.
 
-    The new days are written to a staging folder of their own first, since a table cannot
-    be read and overwritten in one query."""
+    Days are overwritten dynamically: Spark writes all new files aside and puts them in the
+    place of the old days when the job commits, so what is read is there until then and
+    each row is written once."""
     from ..operators.quality import newest, upsert
 
     staged = with_day(source, time)
@@ -52,10 +53,8 @@ def upsert_days(spark: SparkSession, path: str, source: DataFrame, keys: list[st
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
         old = staged.limit(0)
-    stage = scratch_path(spark, "stage")
     rows = newest(old.unionByName(staged), keys, version) if version else upsert(old, staged, keys)
-    rows.write.parquet(stage)
-    spark.read.parquet(stage).repartition(DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+    rows.repartition(DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
 
 
 def export_sample(tables: dict[str, DataFrame], out: str, cap_bytes: int = 50_000_000) -> DataFrame:
