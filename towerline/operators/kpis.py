@@ -85,7 +85,7 @@ def silver_rows(measurements: DataFrame, granularity_min: int, names: list[str],
 def cell_counters(rows: DataFrame, cells: DataFrame, technology: str) -> DataFrame:
     """Long to wide: sums of each counter for a cell and period; reported: any value is
     there; suspect: any value is flagged."""
-    wanted = F.broadcast(cells.filter(F.col("technology") == technology).select("ems", "dn", "cell_name"))
+    wanted = cells.filter(F.col("technology") == technology).select("ems", "dn", "cell_name")
     sums = [F.sum(F.when(F.col("measurement") == m, F.col("value"))).alias(c) for c, m in COUNTERS[technology].items()]
     return (
         rows.join(wanted, (rows["ems"] == wanted["ems"]) & (rows["cell_dn"] == wanted["dn"]))
@@ -118,6 +118,12 @@ def window_sums(counters: DataFrame, technology: str, granularity: str) -> DataF
     )
 
 
+def week_sums(days: DataFrame) -> DataFrame:
+    """Sums by week out of those by day, so that raw counters are read once for both."""
+    sums = [F.sum(c).alias(c) for c in days.columns if c not in ("cell_name", "period", "vendor")]
+    return days.groupBy("cell_name", F.date_trunc("week", "period").cast("date").alias("period")).agg(F.min("vendor").alias("vendor"), *sums)
+
+
 def wanted(technology: str, versions: dict[str, list[int]] | None = None, only: str | None = None) -> list[Kpi]:
     """The specs that a run computes: version 1 unless `versions` lists others."""
     return [k for k in CATALOG if k.technology == technology and k.version in (versions or {}).get(k.kpi_id, [1]) and only in (None, k.kpi_id)]

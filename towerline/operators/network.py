@@ -22,7 +22,7 @@ def network_day(counters: DataFrame, pairs: dict[str, tuple[str, str]], weight:
 def traffic_mix(counters: DataFrame, cells: DataFrame) -> DataFrame:
     """Weekday and weekend by area class: volume, its share, throughput, weighted load."""
     weekend = F.dayofweek(report_day(F.col("period_start"))).isin(1, 7)
-    rows = counters.join(F.broadcast(cells.select("cell_name", "area", "n_rb")), "cell_name").withColumn("day_kind", F.when(weekend, "weekend").otherwise("weekday"))
+    rows = counters.join(cells.select("cell_name", "area", "n_rb"), "cell_name").withColumn("day_kind", F.when(weekend, "weekend").otherwise("weekday"))
     out = rows.groupBy("day_kind", "area").agg(
         F.sum("ip_vol_kbit").alias("volume"),
         (F.sum("ip_vol_kbit") / F.nullif(F.sum("ip_time_ms"), F.lit(0.0))).alias("throughput"),

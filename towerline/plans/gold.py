@@ -181,8 +181,10 @@ register("d31_reprocess_window", lambda v: rounded(_reprocessed(v).groupBy("peri
 
 
 def worst(v: Views, n: int = 1, floor: float = 0.0):
-    days = kpis.kpi_table(v.wide(), "GSM", "day").withColumnRenamed("period", "day").withColumn("value", F.round("value", 9))
-    weeks = kpis.kpi_table(v.wide(), "GSM", "week").withColumnRenamed("period", "week_start")
+    sums = kpis.window_sums(v.wide(), "GSM", "day")
+    rows = lambda s, g: kpis.kpi_rows(s, kpis.wanted("GSM"), kpis.periods_expected(g, 15))
+    days = rows(sums, "day").withColumnRenamed("period", "day").withColumn("value", F.round("value", 9))
+    weeks = rows(kpis.week_sums(sums), "week").withColumnRenamed("period", "week_start")
     return kpis.worst_cells_week(days, weeks, kpis.kpi_catalog(v.spark), persistence_n=n, min_coverage=floor)
 
 
