@@ -47,53 +47,80 @@ def symbols(body: Column) -> Column:
     bare = F.regexp_replace(F.concat(F.lit(f"<{ROOT}"), body), r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>", "")
     known = F.create_map(*[F.lit(x) for pair in LETTERS.items() for x in pair])
 
-    def letter(tag: Column) -> Column:
-        name = F.regexp_extract(tag, r"^</?(?:[\w.-]+:)?([\w.-]+)", 1)
-        x = F.coalesce(F.element_at(known, name), F.lit(FOREIGN))
+    # the name is taken out of each tag once
+    named = F.transform(F.regexp_extract_all(bare, F.lit(_TAG), F.lit(0)), lambda t: F.struct(t.alias("tag"), F.regexp_extract(t, r"^</?(?:[\w.-]+:)?([\w.-]+)", 1).alias("name")))
+
+    def letter(x: Column) -> Column:
+        tag, name = x["tag"], x["name"]
         marks = F.lit("")
         for element, attributes in REQUIRED.items():
             missing = F.lit(False)
             for a in attributes:
                 missing = missing | ~_has(tag, a)
-            marks = F.when(name == element, F.when(missing, "-").otherwise("")).otherwise(marks)
-        marks = F.when((name == "granPeriod") & _has(tag, "duration") & ~tag.rlike(DURATION), F.concat(marks, F.lit("~"))).otherwise(marks)
+            mark = F.when(missing, "-").otherwise("")
+            if element == "granPeriod":
+                mark = F.concat(mark, F.when(_has(tag, "duration") & ~tag.rlike(DURATION), "~").otherwise(""))
+            marks = F.when(name == element, mark).otherwise(marks)
         times = F.concat(F.when(_has(tag, "beginTime"), "1").otherwise(""), F.when(_has(tag, "endTime"), "2").otherwise(""))
         marks = F.when(name == "measCollec", times).otherwise(marks)
-        return F.when(F.startswith(tag, F.lit("</")), F.lower(x)).otherwise(F.concat(x, marks, F.when(F.endswith(tag, F.lit("/>")), F.lower(x)).otherwise("")))
+        letters = F.coalesce(F.element_at(known, name), F.lit(FOREIGN))
+        opened = F.concat(letters, marks, F.when(F.endswith(tag, F.lit("/>")), F.lower(letters)).otherwise(""))
+        return F.when(F.startswith(tag, F.lit("</")), F.lower(letters)).otherwise(opened)
+
+    return F.array_join(F.transform(named, letter), "")
+
 
-    return F.array_join(F.transform(F.regexp_extract_all(bare, F.lit(_TAG), F.lit(0)), letter), "")
+def _let(value: Column, then) -> Column:
+    """then(value), with the value worked out once however often it is used."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def violations(text: Column) -> Column:
     """Array of the rules that a string of ``symbols`` breaks."""
-    plain = F.regexp_replace(text, r"[-~12]", "")
-    known = F.regexp_replace(plain, "[Zz]", "")  # what foreign elements hold is judged in their place
-    values = F.regexp_replace(F.regexp_replace(known, "VRr(?:Uu)?+v", "a"), "V(?:Xx)*+(?:Uu)?+v", "b")
-    blocks = F.regexp_replace(values, "I(?:Jj)?+Gg(?:Pp)?+(?:Lla*+|(?:Tt)*+b*+)i", "o")
-    data = F.regexp_replace(blocks, "DEeo*+d", "q")
-    # header and footer are judged by themselves, so what remains is what stands between
-    footer = F.regexp_replace(data, "F[^f]*+f", "")
-    middle = F.regexp_replace(footer, "^CH[^h]*+h", "C")
-    checks = [
+    return _let(text, lambda t: _let(F.regexp_replace(t, r"[-~12]", ""), lambda plain: _broken(t, plain)))
+
+
+def _broken(text: Column, plain: Column) -> Column:
+    has = lambda s, x: F.contains(s, F.lit(x))
+    named = lambda checks: F.array_compact(F.array(*[F.when(bad, name) for name, bad in checks]))
+    around = lambda known: named([
         ("no fileHeader at the beginning", ~known.rlike("^CH")),
-        ("fileHeader without fileFormatVersion", text.rlike("H-")),
+        ("fileHeader without fileFormatVersion", has(text, "H-")),
         ("fileHeader is not fileSender, measCollec", known.rlike("^CH") & ~known.rlike("^CHSsMmh")),
         ("fileHeader without beginTime", text.rlike("H[^h]*M2?m")),
-        ("no fileFooter", ~F.contains(known, F.lit("F"))),
-        ("fileFooter is not last", F.contains(known, F.lit("F")) & ~known.rlike("f[^A-Z]*$")),
+        ("no fileFooter", ~has(known, "F")),
+        ("fileFooter is not last", has(known, "F") & ~known.rlike("f[^A-Z]*$")),
         ("fileFooter is not measCollec", known.rlike("F(?!Mmf)")),
         ("fileFooter without endTime", text.rlike("F[^f]*M1?m")),
-        ("granPeriod without duration or endTime", text.rlike("G-")),
+        ("granPeriod without duration or endTime", has(text, "G-")),
         ("duration is no number of seconds", text.rlike("G-?~")),
-        ("measValue without measObjLdn", text.rlike("V-")),
-        ("foreign element", F.contains(plain, F.lit(FOREIGN))),
-        ("measValue does not hold results of one form", F.contains(values, F.lit("V"))),
-        ("measInfo is not granPeriod, types, values", ~F.contains(values, F.lit("V")) & F.contains(blocks, F.lit("I"))),
-        ("measData is not managedElement, measInfo", ~F.contains(values, F.lit("V")) & ~F.contains(blocks, F.lit("I")) & F.contains(data, F.lit("D"))),
-    ]
-    named = F.array_compact(F.array(*[F.when(bad, name) for name, bad in checks]))
-    rest = F.when((F.size(named) == 0) & ~middle.rlike("^Cq*+c$"), F.array(F.lit("element out of place or not closed"))).otherwise(F.array().cast("array<string>"))
-    return F.concat(named, rest)
+        ("measValue without measObjLdn", has(text, "V-")),
+        ("foreign element", has(plain, FOREIGN)),
+    ])
+
+    def inside(known: Column) -> Column:
+        """Valid values become one letter, then valid blocks, then valid data sections."""
+        values = F.regexp_replace(F.regexp_replace(known, "VRr(?:Uu)?+v", "a"), "V(?:Xx)*+(?:Uu)?+v", "b")
+        blocks = lambda x: F.regexp_replace(x, "I(?:Jj)?+Gg(?:Pp)?+(?:Lla*+|(?:Tt)*+b*+)i", "o")
+        sections = lambda x: F.regexp_replace(x, "DEeo*+d", "q")
+        return _let(values, lambda v: F.when(has(v, "V"), F.array(F.lit("measValue does not hold results of one form"))).otherwise(
+            _let(blocks(v), lambda b: F.when(has(b, "I"), F.array(F.lit("measInfo is not granPeriod, types, values"))).otherwise(
+                _let(sections(b), lambda d: F.when(has(d, "D"), F.array(F.lit("measData is not managedElement, measInfo"))).otherwise(whole(d)))))))
+
+    def whole(data: Column) -> Column:
+        """Header and footer are judged by themselves: what stands between is left."""
+        middle = F.regexp_replace(F.regexp_replace(data, "F[^f]*+f", ""), "^CH[^h]*+h", "C")
+        return F.when(middle.rlike("^Cq*+c$"), F.array().cast("array<string>")).otherwise(F.array(F.lit(ELSE)))
+
+    def all_of(known: Column) -> Column:
+        return _let(F.concat(around(known), inside(known)), lambda x: F.when(F.size(x) > 1, F.array_remove(x, ELSE)).otherwise(x))
+
+    # what foreign elements hold is judged in their place
+    return _let(F.regexp_replace(plain, "[Zz]", ""), all_of)
+
+
+#: The rule for what no other one names.
+ELSE = "element out of place or not closed"
 
 
 def validate_structure(spark: SparkSession, path: str) -> DataFrame:
