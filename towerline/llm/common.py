@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,7 +38,7 @@ def durable(df: DataFrame) -> DataFrame:
 
 
 #: Bytes of rows that go to a Python worker at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 1 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -45,6 +49,23 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+@contextmanager
+def lean_worker() -> Iterator[None]:
+    """A Python worker serves many tasks.  Inside this block it hands freed memory back to the
+    system at once, and what is left when the block ends, so that a stage does not begin with
+    what an earlier one held.  Where the C library has no such calls, nothing changes."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt"):
+        libc.mallopt(-3, 2 << 20)  # M_MMAP_THRESHOLD: larger arrays are given back when freed
+        libc.mallopt(-1, 4 << 20)  # M_TRIM_THRESHOLD
+    try:
+        yield
+    finally:
+        if hasattr(libc, "malloc_trim"):
+            libc.malloc_trim(0)
+
+
 def id_key(doc_id: Column) -> Column:
     return F.coalesce(doc_id.cast("long"), F.lit(NULL_ID))
 

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 
 from .bytetext import CHUNK_BYTES, U, Chunk, chunks, mix
+from .common import lean_worker
 
 HELD = 1 << 20
 
@@ -51,7 +52,10 @@ def counter(order: int, group: str = "lang"):
                 yield pa.RecordBatch.from_arrays([pa.array([g] * m, pa.string()), pa.array(k[i : i + m].view(np.int64)), pa.array(n[i : i + m])], names=[group, "gram", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pa.set_memory_pool(pa.system_memory_pool())  # gives freed batches back
+        with lean_worker():
+            yield from counted(batches)
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, list] = {}
         size = 0
         for c in chunks(batches, most=CHUNK_BYTES // 2):
