@@ -57,6 +57,30 @@ def pm_files(v: Views, positional: bool = False) -> str:
     return _written(v, _pm_text(positional), packed=not positional)
 
 
+#: Objects and counters of a collection of the dense form.
+OBJECTS, KINDS = 60, 5
+
+
+def dense_pm_files(v: Views) -> str:
+    """One collection for each system and quarter of an hour, as systems write them: a list of
+    counters and a value of each for every object.  Values are those of the raw rows, object
+    by object; `OBJECTS` times `KINDS` values in a collection."""
+    path = scratch_path(v.spark, "dense")
+    zone = F.concat(F.date_format(F.col("period_start") + F.expr("interval 8 hours"), "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+07:00"))
+    per = v.bronze().groupBy("ems", "period_start").agg(F.round(F.sum("value"), 2).cast("string").alias("x"))
+    value = lambda i: F.concat(F.lit('<measValue measObjLdn="Cell='), i.cast("string"), F.lit('"><measResults>'), F.array_join(F.array_repeat("x", KINDS), " "), F.lit("</measResults></measValue>"))
+    values = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(OBJECTS)), value), "")
+    text = F.concat(
+        F.lit('<measCollecFile><fileHeader fileFormatVersion="1" dnPrefix="N=1"><fileSender localDn="'), F.col("ems"), F.lit('"/><measCollec beginTime="'), zone, F.lit('"/></fileHeader><measData><managedElement localDn="ME=1"/><measInfo measInfoId="G"><granPeriod duration="PT900S" endTime="'), zone,
+        F.lit('"/><measTypes>' + " ".join(f"k{i}" for i in range(KINDS)) + "</measTypes>"), values, F.lit('</measInfo></measData><fileFooter><measCollec endTime="'), zone, F.lit('"/></fileFooter></measCollecFile>'),
+    )
+    whole = F.concat(F.lit("<files>"), F.array_join(F.collect_list("t"), ""), F.lit("</files>")).alias("value")
+    n = max(per.count() // 20, 1)
+    rows = per.select(F.pmod(F.xxhash64("ems", "period_start"), F.lit(n)).alias("k"), text.alias("t")).groupBy("k").agg(whole).drop("k")
+    rows.write.option("maxRecordsPerFile", 1).option("compression", "gzip").text(path)
+    return path
+
+
 _PM = """hourly AS (SELECT ems, cell_name, date_trunc('hour', period_start)::TIMESTAMP AS hour, counter, sum(value) AS v, bool_or(suspect) AS s FROM bronze GROUP BY ALL),
 pm AS (SELECT ems, 'ME=' || cell_name AS managed_element, counter, CASE WHEN floor(v) % 17 = 0 THEN NULL ELSE round(v, 3) END AS value, bool_or(s) OVER (PARTITION BY ems, cell_name, hour) AS suspect, hour AS period_start, hour + INTERVAL 1 HOUR AS period_end FROM hourly)"""
 _PM_OUT = ["ems", "managed_element", "counter", "value", "suspect", "period_start", "period_end"]

@@ -32,16 +32,25 @@ def raw_pm_xml(spark: SparkSession, path: str) -> DataFrame:
 def pm_values(raw: DataFrame) -> DataFrame:
     """Nested measurement files to long rows; both the list form (types and results in two
     texts) and the positional form (numbered elements)."""
-    info = raw.select("file_name", F.col("fileHeader._dnPrefix").alias("prefix"), F.col("fileHeader.fileSender._localDn").alias("ems"), F.explode("measData").alias("d"))
-    info = info.select("file_name", "prefix", "ems", "d.managedElement", F.explode("d.measInfo").alias("i")).select("*", F.explode("i.measValue").alias("v"))
-    listed = F.arrays_zip(F.split(F.trim("i.measTypes"), r"\s+").alias("counter"), F.split(F.trim("v.measResults"), r"\s+").alias("text"))
-    numbered = F.transform(F.col("i.measType"), lambda t: F.struct(F.trim(t["_VALUE"]).alias("counter"), F.get(F.filter(F.col("v.r"), lambda r: r["_p"] == t["_p"]), F.lit(0))["_VALUE"].alias("text")))
-    rows = info.withColumn("x", F.explode(F.when(F.col("i.measTypes").isNotNull(), listed).otherwise(numbered)))
-    end = to_utc(F.col("i.granPeriod._endTime"))
-    dn = F.concat_ws(",", F.nullif(F.col("prefix"), F.lit("")), F.nullif(F.col("managedElement._localDn"), F.lit("")), F.nullif(F.col("v._measObjLdn"), F.lit("")))
+    # what a row needs of its block is taken out before the block is exploded, so that no row
+    # carries the whole of it
+    data = raw.select("file_name", F.col("fileHeader._dnPrefix").alias("prefix"), F.col("fileHeader.fileSender._localDn").alias("ems"), F.explode("measData").alias("d"))
+    data = data.select("file_name", "prefix", "ems", F.col("d.managedElement._localDn").alias("element"), F.col("d.managedElement._swVersion").alias("version"), F.col("d.measInfo").alias("infos"))
+    blocks = data.select("file_name", "prefix", "ems", "element", "version", F.explode("infos").alias("i"))
+    blocks = blocks.select(
+        "file_name", "prefix", "ems", "element", "version", F.col("i._measInfoId").alias("meas_group"), to_utc(F.col("i.granPeriod._endTime")).alias("end"), _seconds(F.col("i.granPeriod._duration")).alias("seconds"),
+        F.split(F.trim("i.measTypes"), r"\s+").alias("names"), F.transform("i.measType", lambda t: F.struct(t["_p"].alias("p"), F.trim(t["_VALUE"]).alias("counter"))).alias("types"), F.col("i.measValue").alias("values"),
+    )
+    of_block = [c for c in blocks.columns if c != "values"]
+    values = blocks.select(*of_block, F.explode("values").alias("v"))
+    dn = F.concat_ws(",", F.nullif(F.col("prefix"), F.lit("")), F.nullif(F.col("element"), F.lit("")), F.nullif(F.col("v._measObjLdn"), F.lit("")))
+    listed = F.arrays_zip(F.col("names").alias("counter"), F.split(F.trim("v.measResults"), r"\s+").alias("text"))
+    numbered = F.transform("types", lambda t: F.struct(t["counter"].alias("counter"), F.get(F.filter(F.col("v.r"), lambda r: r["_p"] == t["p"]), F.lit(0))["_VALUE"].alias("text")))
+    values = values.select("file_name", "ems", "element", "version", "meas_group", "end", "seconds", dn.alias("object_dn"), F.coalesce("v.suspect", F.lit(False)).alias("suspect"), F.when(F.col("names").isNotNull(), listed).otherwise(numbered).alias("found"))
+    rows = values.select(*[c for c in values.columns if c != "found"], F.explode("found").alias("x"))
     return rows.select(
-        "ems", F.col("managedElement._localDn").alias("managed_element"), dn.alias("object_dn"), F.col("i._measInfoId").alias("meas_group"), F.col("x.counter").alias("counter"), _number(F.col("x.text")).alias("value"),
-        F.coalesce("v.suspect", F.lit(False)).alias("suspect"), (end - F.make_dt_interval(secs=_seconds(F.col("i.granPeriod._duration")))).alias("period_start"), end.alias("period_end"), F.col("managedElement._swVersion").alias("dictionary_release"), "file_name",
+        "ems", F.col("element").alias("managed_element"), "object_dn", "meas_group", F.col("x.counter").alias("counter"), _number(F.col("x.text")).alias("value"), "suspect",
+        (F.col("end") - F.make_dt_interval(secs=F.col("seconds"))).alias("period_start"), F.col("end").alias("period_end"), F.col("version").alias("dictionary_release"), "file_name",
     )
 
 
@@ -54,7 +63,8 @@ def omes_values(raw: DataFrame) -> DataFrame:
     rows = raw.select("file_name", F.col("_startTime").alias("start"), F.col("_interval").alias("minutes"), F.explode("PMMOResult").alias("m"))
     dn = F.array_join(F.transform(F.flatten("m.MO.DN"), F.trim), "/")
     rows = rows.select("file_name", "start", "minutes", dn.alias("object_dn"), F.col("m.PMTarget").alias("t"))
-    rows = rows.select("file_name", "start", "minutes", "object_dn", F.col("t")["_measurementType"].alias("meas_group"), F.explode("t").alias("counter", "text")).filter(~F.startswith("counter", F.lit("_")))
+    rows = rows.select("file_name", "start", "minutes", "object_dn", F.col("t")["_measurementType"].alias("meas_group"), "t")
+    rows = rows.select("file_name", "start", "minutes", "object_dn", "meas_group", F.explode("t").alias("counter", "text")).filter(~F.startswith("counter", F.lit("_")))
     begin = to_utc(F.col("start"))
     return rows.select(managed_element(F.col("object_dn")).alias("managed_element"), "object_dn", "meas_group", "counter", _number(F.col("text")).alias("value"), F.lit(False).alias("suspect"), begin.alias("period_start"), (begin + F.make_dt_interval(mins=F.col("minutes"))).alias("period_end"), F.lit(None).cast("string").alias("dictionary_release"), "file_name")
 
