@@ -50,7 +50,7 @@ def matches(spark, crowd, monkeypatch, name, most):
     assert pairs and max(pairs) <= most
 
 
-@pytest.mark.parametrize("name", ["h16_bullington", "h15_profile", "h21_nearest_hub"])
+@pytest.mark.parametrize("name", ["h16_bullington", "h15_profile", "h20_line_of_sight", "h21_nearest_hub"])
 def test_paths_are_worked_out_between_places(spark, crowd, monkeypatch, name):
     matches(spark, crowd, monkeypatch, name, 100)
 
