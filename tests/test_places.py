@@ -60,3 +60,16 @@ def test_gathered_ids_come_back(spark, monkeypatch):
     rows = [(0.5, i) for i in range(300)] + [(1.5, 7)]
     arrays = space.gathered(spark.createDataFrame(rows, "x double, id long"), ["x"], "id", "ids")
     assert arrays.count() > 20 and sorted(map(tuple, space.spread(arrays, id="ids").collect())) == sorted(rows)
+
+
+def test_a_crowd_asks_once_for_the_nearest_line(spark, monkeypatch):
+    met, rings = [], space._rings
+
+    def counted(open_, key, candidates, *rest):
+        return rings(open_, key, lambda *a: (met.append((c := candidates(*a)).count()), c)[1], *rest)
+
+    monkeypatch.setattr(space, "_rings", counted)
+    points = spark.range(5000).selectExpr("id", "cast(id % 5 as double) as x", "0.0 as y")
+    lines = spark.range(40).selectExpr("cast(id as double) as x1", "1.0 as y1", "cast(id + 30 as double) as x2", "cast(id + 1 as double) as y2")
+    got = space.distance_to_line(points, lines, "id").groupBy("km").count().collect()
+    assert sum(r["count"] for r in got) == 5000 and sum(met) <= 40 * 5 * 4
