@@ -62,6 +62,11 @@ def test_gathered_ids_come_back(spark, monkeypatch):
     assert arrays.count() > 20 and sorted(map(tuple, space.spread(arrays, id="ids").collect())) == sorted(rows)
 
 
+@pytest.mark.parametrize("name", ["h28_greedy_cover"])
+def test_coverage_is_worked_out_between_places(spark, crowd, monkeypatch, name):
+    matches(spark, crowd, monkeypatch, name, 400)
+
+
 def test_a_crowd_asks_once_for_the_nearest_line(spark, monkeypatch):
     met, rings = [], space._rings
 
