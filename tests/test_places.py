@@ -67,6 +67,11 @@ def test_coverage_is_worked_out_between_places(spark, crowd, monkeypatch, name):
     matches(spark, crowd, monkeypatch, name, 400)
 
 
+@pytest.mark.parametrize("name", ["h06_best_server"])
+def test_levels_are_worked_out_for_rows_alike(spark, crowd, monkeypatch, name):
+    matches(spark, crowd, monkeypatch, name, 2000)
+
+
 def test_a_crowd_asks_once_for_the_nearest_line(spark, monkeypatch):
     met, rings = [], space._rings
 
