@@ -10,6 +10,9 @@ from towerline import plans
 from towerline.operators import space
 
 SF, TIMES = "/root/testdata/sf0.001", 6
+LEVELS = ["g29_layer_summary", "h06_best_server"]
+COVERAGE = ["h28_greedy_cover"]
+TOPS = []
 KEYS = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
@@ -62,14 +65,19 @@ def test_gathered_ids_come_back(spark, monkeypatch):
     assert arrays.count() > 20 and sorted(map(tuple, space.spread(arrays, id="ids").collect())) == sorted(rows)
 
 
-@pytest.mark.parametrize("name", ["h28_greedy_cover"])
+@pytest.mark.parametrize("name", COVERAGE)
 def test_coverage_is_worked_out_between_places(spark, crowd, monkeypatch, name):
     matches(spark, crowd, monkeypatch, name, 400)
 
 
-@pytest.mark.parametrize("name", ["h06_best_server"])
+@pytest.mark.parametrize("name", LEVELS)
 def test_levels_are_worked_out_for_rows_alike(spark, crowd, monkeypatch, name):
-    matches(spark, crowd, monkeypatch, name, 2000)
+    matches(spark, crowd, monkeypatch, name, 300)
+
+
+@pytest.mark.parametrize("name", TOPS)
+def test_tops_meet_villages_between_places(spark, crowd, monkeypatch, name):
+    matches(spark, crowd, monkeypatch, name, 60)
 
 
 def test_a_crowd_asks_once_for_the_nearest_line(spark, monkeypatch):
