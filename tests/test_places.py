@@ -10,7 +10,7 @@ from towerline import plans
 from towerline.operators import space
 
 SF, TIMES = "/root/testdata/sf0.001", 6
-LEVELS = ["h09_histograms", "h08_footprint", "h07_layer_weights", "h10_relation_mass", "h05_received", "h07_best_share", "g29_layer_summary", "h06_best_server"]
+LEVELS = ["h18_serves", "h09_histograms", "h08_footprint", "h07_layer_weights", "h10_relation_mass", "h05_received", "h07_best_share", "g29_layer_summary", "h06_best_server"]
 COVERAGE = ["h17_coverage", "h28_greedy_cover"]
 TOPS = []
 KEYS = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey"}
