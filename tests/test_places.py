@@ -12,7 +12,7 @@ from towerline.operators import space
 SF, TIMES = "/root/testdata/sf0.001", 6
 LEVELS = ["h18_serves", "h09_histograms", "h08_footprint", "h07_layer_weights", "h10_relation_mass", "h05_received", "h07_best_share", "g29_layer_summary", "h06_best_server"]
 COVERAGE = ["h33_largest_villages", "h29_planning_counts", "h32_score_plans", "h31_uncoverable", "h19_served_levels", "h17_coverage", "h28_greedy_cover"]
-TOPS = ["h27_candidates"]
+TOPS = ["h25_proposals", "h27_candidates"]
 KEYS = {"customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey"}
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
