@@ -91,3 +91,15 @@ def test_a_crowd_asks_once_for_the_nearest_line(spark, monkeypatch):
     lines = spark.range(40).selectExpr("cast(id as double) as x1", "1.0 as y1", "cast(id + 30 as double) as x2", "cast(id + 1 as double) as y2")
     got = space.distance_to_line(points, lines, "id").groupBy("km").count().collect()
     assert sum(r["count"] for r in got) == 5000 and sum(met) <= 40 * 5 * 4
+
+
+def test_a_crowd_asks_once_for_its_neighbours(spark, monkeypatch):
+    met, rings = [], space._rings
+
+    def counted(open_, key, candidates, *rest):
+        return rings(open_, key, lambda *a: (met.append((c := candidates(*a)).count()), c)[1], *rest)
+
+    monkeypatch.setattr(space, "_rings", counted)
+    sites = spark.range(4001).selectExpr("id as site", "cast(if(id = 4000, 9, id % 4) as double) as x", "0.0 as y")
+    got = {r["km"]: r["count"] for r in space.nearest_other(sites).groupBy("km").count().collect()}
+    assert got == {0.0: 4000, 6.0: 1} and sum(met) <= 300
