@@ -92,6 +92,19 @@ def test_exact_percentiles(spark, name):
     assert spread["n"] == len(values) and spread["median"] == pytest.approx(np.median(values)) and spread["abs_p99"] == pytest.approx(np.percentile(np.abs(values), 99))
 
 
+def test_percentiles_do_not_deal_rows_by_few_groups(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(3000).selectExpr("cast(id % 3 as string) as g", "cast(id as double) as v")
+        got = statistics.percentile_columns(df, {"m": (F.col("v"), 0.5)}, ["g"])
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        assert sorted(r["m"] for r in got.collect()) == [1498.5, 1499.5, 1500.5]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("BroadcastHashJoin") == 3 and plan.count("SortMergeJoin") == 1
+
+
 def test_last_pass_orders_a_small_part(spark):
     """Four million distinct values: what is put in order at last is a small part of them."""
     df = spark.range(4_000_000).select((F.xxhash64("id") / F.lit(1e10)).alias("v"))
