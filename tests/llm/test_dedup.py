@@ -202,6 +202,23 @@ def test_large_groups_go_by_blocks(spark, monkeypatch):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == jaccard_brute(rows)
 
 
+def test_a_large_group_has_few_different_links(spark, monkeypatch):
+    """Trees agree on the node that the others hang on."""
+    edges = []
+    connected = jaccard_join.connected
+    monkeypatch.setattr(jaccard_join, "connected", lambda e: edges.append(e.count()) or connected(e))
+    rnd = random.Random(4)
+    base = [f"w{rnd.randint(0, 9999)}" for _ in range(400)]
+    rows = []
+    for i in range(200):
+        w = list(base)
+        w[rnd.randrange(400)] = f"edit{i}"
+        rows.append((i, " ".join(w)))
+    got = jaccard_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r["class_id"], r["n_links"]) for r in got.collect()} == {(0, 199)}
+    assert edges[0] < 4 * len(rows)
+
+
 def test_one_of_each_stays(odd):
     got = jaccard_join.keep_one_each(odd)
     ids = sorted(r["doc_id"] for r in got.collect() if r["doc_id"] is not None)

@@ -4,7 +4,8 @@
    *node* with a number of copies; copies never meet each other again.
 2. A node's MinHash signature is a path of ``DEPTH`` levels in each tree of a forest.  The
    paths of a tree are sorted, which makes them a prefix trie; nodes below the same trie
-   node at the shortest depth in use hang on the first of them (no pairs are listed).
+   node at the shortest depth in use hang on the smallest of them (no pairs are listed):
+   trees agree on it, so a large group has few different links.
 3. The components of these links hold all candidate pairs.  A pair is a candidate if it
    shares a prefix in some tree that is as long as its recall allows: matching starts at
    full depth and gives up a level at a time, until a pair of these set sizes at the
@@ -113,8 +114,8 @@ def _signatures(width: int, trees: int, depth: int):
 
 
 def _trie(base: int):
-    """Rows (tree, path, node) come sorted by tree and path -> edges (u, v) of the nodes
-    that share a prefix of ``base`` levels with the first one below the same trie node."""
+    """Rows (tree, path, node) come sorted by tree, prefix of ``base`` levels and node ->
+    edges (u, v) of the nodes to the first one below the same trie node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, first = None, None
@@ -353,7 +354,7 @@ def near_duplicates(documents: DataFrame, *, id_col: str = "doc_id", text_col: s
     )
     comps = connected(
         _paths(nodes, trees).repartition(parts(spark), "tree", F.substring("path", 1, 2 * base))
-        .sortWithinPartitions("tree", "path", "node").mapInArrow(_trie(base), "u binary, v binary").distinct()
+        .sortWithinPartitions("tree", F.substring("path", 1, 2 * base), "node").mapInArrow(_trie(base), "u binary, v binary").distinct()
     )
     size = comps.groupBy("root").agg(F.count("*").alias("size")).withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
     wanted = durable(
