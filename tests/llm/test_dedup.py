@@ -81,6 +81,29 @@ def test_longest_factors_are_the_brute_force_ones():
         assert list(x.factor(earlier)) == want
 
 
+def test_factors_anywhere_are_those_of_neighbours(monkeypatch):
+    rnd = random.Random(3)
+    for top, size in ((2, 200), (300, 500), (2**20, 300)):
+        s = np.array([rnd.choice((0, 1, top)) for _ in range(size)])
+        x = suffix_dedup.Suffixes(s, 256)
+        assert list(x.repeated()) == list(np.maximum(x.factor(True), x.factor(False)))
+    assert list(suffix_dedup.Suffixes(np.array([7]), 200).repeated()) == [0]
+
+
+def test_bytes_without_any_copy_look_at_neighbours_only(spark, passage, monkeypatch):
+    """No search for nearest smaller or greater positions where any other copy counts."""
+    monkeypatch.delattr(suffix_dedup.Suffixes, "nearest")
+    rows = [(1, "head " + passage), (2, passage + " tail"), (3, "other text that stays")]
+    spec = suffix_dedup.Spec("byte", 100, 32, "all")
+    data = [np.frombuffer(t.encode(), np.uint8) for _, t in rows]
+    at = np.arange(3)
+    shard = suffix_dedup.Shard.of(spec, at, at, np.zeros(3, np.int64), np.ones(3, np.int64), np.concatenate(data), np.cumsum([0, *map(len, data)]))
+    stretch = (at[:2], shard.off[:2], shard.off[1:3])
+    row, lo, hi = suffix_dedup._by_factors(shard, spec, stretch, stretch)
+    n = len(passage)
+    assert sorted(zip(row.tolist(), (lo - shard.off[row]).tolist(), (hi - shard.off[row]).tolist(), strict=True)) == [(0, 5, 5 + n), (1, 0, n)]
+
+
 def test_automaton_statistics():
     a = substring_dedup.SuffixAutomaton()
     refs = ["abcabx", "xabcd"]

@@ -1,10 +1,11 @@
 """Exact byte-level deduplication with longest-previous-factor arrays.
 
 Within a shard (see :mod:`repeats`) the suffixes of the reference texts are sorted by rank
-doubling.  For each position, the nearest smaller positions before and after it in suffix
-order give the longest factor that also starts earlier; the nearest greater ones, the
-longest that also starts later.  ``keep='first'`` removes what an earlier copy covers;
-``keep='none'`` also removes that first copy.
+doubling, from the first few symbols packed into a number.  For each position, the nearest
+smaller positions before and after it in suffix order give the longest factor that also
+starts earlier; its two neighbours, the longest that also starts anywhere else.
+``keep='first'`` removes what an earlier copy covers; ``keep='none'`` also removes that
+first copy.
 
 Cases: null text is empty; rows that repeat an id are separate texts; texts shorter than
 ``window`` stay; extra columns are ignored; what is left may split a code point, so it is
@@ -30,9 +31,17 @@ class Suffixes:
     position."""
 
     def __init__(self, symbols: np.ndarray, depth: int):
-        n = len(symbols)
-        rank = np.unique(symbols, return_inverse=True)[1].astype(np.int64)
-        self.levels, length = [rank], 1
+        n, key = len(symbols), symbols.astype(np.int64) + 1
+        bits = int(key.max(initial=1)).bit_length()
+        self.levels, length = [], 1
+        while length < depth and 2 * length * bits <= 62:  # so many symbols fit into a number
+            self.levels.append(key)
+            nxt = np.zeros(n, np.int64)
+            nxt[: max(n - length, 0)] = key[length:]
+            key = key << length * bits | nxt
+            length *= 2
+        rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
+        self.levels.append(rank)
         while length < depth:
             nxt = np.full(n, -1, np.int64)
             nxt[: n - length] = rank[length:] if length < n else nxt[: n - length]
@@ -78,6 +87,14 @@ class Suffixes:
         out[self.order] = np.maximum(*found)
         return out
 
+    def repeated(self) -> np.ndarray:
+        """For each position, the longest factor that also starts anywhere else: one shared
+        with a neighbour in suffix order."""
+        shared = self.common(self.order[:-1], self.order[1:])
+        out = np.empty(len(self.order), np.int64)
+        out[self.order] = np.maximum(np.append(0, shared), np.append(shared, 0))
+        return out
+
 
 def _by_factors(s: Shard, spec: Spec, queries, references):
     """Places of the query stretches whose longest factors reach the window."""
@@ -99,9 +116,7 @@ def _by_factors(s: Shard, spec: Spec, queries, references):
             seen[place] = held[-1]
         where[int(k)] = seen[place]
     suffixes = Suffixes(np.concatenate(pieces), spec.window)
-    goes = suffixes.factor(True) >= spec.window
-    if spec.mode == "all":
-        goes |= suffixes.factor(False) >= spec.window
+    goes = (suffixes.repeated() if spec.mode == "all" else suffixes.factor(True)) >= spec.window
     out = []
     for k in range(n_query):
         at = np.flatnonzero(goes[where[k] : where[k] + hi[k] - lo[k]])
