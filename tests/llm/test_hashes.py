@@ -105,3 +105,19 @@ def test_very_long_texts_pass_whole(spark):
     assert got[3] > 0
 
 
+
+
+def test_a_piece_is_merged_once_whatever_words_hold_it(monkeypatch):
+    merged = []
+    merge = bpe.WordBpe.merge
+    monkeypatch.setattr(bpe.WordBpe, "merge", lambda self, parts: merged.append("".join(parts)) or merge(self, parts))
+    coder = bpe.WordBpe(vocabulary())
+    coder.encode_joined("Straße straße, (straße) straße's 'straße'")
+    assert len(merged) == len(set(merged))
+
+
+def test_latin_pieces_are_the_pieces():
+    signs = [chr(c) for c in range(256)]
+    for a in signs:
+        for b in [*signs, "'s", "'re", "x'll"]:
+            assert bpe.LATIN_PIECES.findall(a + b) == bpe.PIECES.findall(a + b), (a, b)

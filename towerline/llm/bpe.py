@@ -6,8 +6,8 @@ single digits, and runs of other signs, and each piece is merged with a contiguo
 array: the part boundaries and the ranks of adjacent pairs lie side by side; the least
 rank is found by a scan, its boundary is deleted, and the two neighbouring ranks are
 refreshed.  Pieces beyond ``SCAN`` parts take a heap with the same order of merges, so a
-very long run does not cost its length squared.  Pieces repeat, so each worker keeps a
-bounded table of those that it has met.
+very long run does not cost its length squared.  Words repeat, and the pieces of different
+words do, so each worker keeps a bounded table of those that it has met.
 
 Cases: null and empty texts have no tokens; extra columns are ignored; repeated ids give
 repeated rows.
@@ -17,8 +17,9 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -42,6 +43,9 @@ NEWER = (
 _NEWER = "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in NEWER)
 #: The pattern of the vocabulary's splitter.
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}--[{_NEWER}]]+|[\p{{N}}--[{_NEWER}]]|[^\p{{White_Space}}[[\p{{L}}\p{{N}}]--[{_NEWER}]]]+", regex.VERSION1)
+#: The same for texts of signs below U+0100 (a plainer pattern, so a faster one).
+_LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼-¾", "\x09-\x0d \x85\xa0"
+LATIN_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
 #: Capitals with a small letter that the library's tables know and Python's do not.
 CAPITALS = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
 CAPITALS |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {c: c + 27 for c in range(0x16EA0, 0x16EB9)}
@@ -58,6 +62,36 @@ def byte_signs() -> list[str]:
     return [chr(b) if b in set(plain) else chr(256 + rest.index(b)) for b in range(256)]
 
 
+def is_latin(text: str) -> bool:
+    """Whether all signs lie below U+0100."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def _joined(got: list[tuple[str, str]]) -> tuple[str, str]:
+    """Ids and tokens of several stretches; one without a token leaves no space."""
+    return " ".join([i for i, _ in got if i]), " ".join([t for i, t in got if i])
+
+
+class Remembered(dict):
+    """Results of a function for the arguments met last: at most ``REMEMBERED``, of 64 signs at most."""
+
+    def __init__(self, of: Callable[[str], tuple[str, str]]):
+        super().__init__()
+        self.of = of
+
+    def __missing__(self, x: str) -> tuple[str, str]:
+        got = self.of(x)
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(x) <= 64:
+            self[x] = got
+        return got
+
+
 class WordBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -71,7 +105,7 @@ class WordBpe:
         self.signs = byte_signs()
         longest_first = sorted(map(regex.escape, self.special), key=len, reverse=True)
         self.cut = regex.compile(f"({'|'.join(longest_first)})") if longest_first else None
-        self.known: dict[str, tuple[str, str]] = {}
+        self.pieces, self.known = Remembered(self._piece), Remembered(self.word)
 
     def merge(self, parts: list[str]) -> list[str]:
         """Merge adjacent parts, least rank first, the leftmost among equals."""
@@ -79,17 +113,14 @@ class WordBpe:
             return self._merge_long(parts)
         rank = self.ranks.get
         near = [rank(p, _BIG) for p in zip(parts, parts[1:])]
-        while near:
-            least = min(near)
-            if least == _BIG:
-                break
+        while near and (least := min(near)) != _BIG:
             i = near.index(least)
-            parts[i] += parts.pop(i + 1)
-            near.pop(i)
+            new = parts[i] = parts[i] + parts.pop(i + 1)
+            del near[i]
             if i:
-                near[i - 1] = rank((parts[i - 1], parts[i]), _BIG)
+                near[i - 1] = rank((parts[i - 1], new), _BIG)
             if i < len(near):
-                near[i] = rank((parts[i], parts[i + 1]), _BIG)
+                near[i] = rank((new, parts[i + 1]), _BIG)
         return parts
 
     def _merge_long(self, parts: list[str]) -> list[str]:
@@ -111,41 +142,32 @@ class WordBpe:
                     heapq.heappush(heap, (r, x, parts[x], parts[y]))
         return [p for p in parts if p]
 
-    def _piece(self, piece: str) -> list[str]:
+    def _piece(self, piece: str) -> tuple[str, str]:
         parts = [self.signs[b] for b in piece.encode("utf-8")]
         parts[-1] += _END
-        return [t for t in self.merge(parts) if t in self.ids]
+        tokens = [t for t in self.merge(parts) if t in self.ids]
+        return " ".join([str(self.ids[t]) for t in tokens]), " ".join(tokens)
 
     def word(self, word: str) -> tuple[str, str]:
         """Ids and tokens, each joined by spaces, of a normalised stretch without space."""
-        tokens = [t for p in PIECES.findall(word) for t in self._piece(p)]
-        return " ".join([str(self.ids[t]) for t in tokens]), " ".join(tokens)
+        found = (LATIN_PIECES if is_latin(word) else PIECES).findall(word)
+        return self.pieces[found[0]] if len(found) == 1 else _joined([self.pieces[p] for p in found])
 
     def encode_joined(self, text: str) -> tuple[str, str]:
         """Decimal ids joined by spaces, and the decoded text."""
-        ids: list[str] = []
-        out: list[str] = []
+        got: list[tuple[str, str]] = []
         known = self.known
         for part in self.cut.split(text) if self.cut and "<|" in text else (text,):
             if part in self.special:
-                ids.append(str(self.special[part]))
-                out.append(part)
+                got.append((str(self.special[part]), part))
                 continue
             if not part.isascii():
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ").translate(CAPITALS)
+                part = unicodedata.normalize("NFC", part)
+                if not is_latin(part):
+                    part = part.replace("Σ", "σ").translate(CAPITALS)
             part = part.lower()
-            for w in PIECES.findall(part) if _ODD_SPACES.search(part) else part.split():
-                got = known.get(w)
-                if got is None:
-                    got = self.word(w)
-                    if len(known) >= REMEMBERED:
-                        known.clear()
-                    if len(w) <= 64:
-                        known[w] = got
-                if got[0]:
-                    ids.append(got[0])
-                    out.append(got[1])
-        return " ".join(ids), " ".join(out)
+            got += [known[w] for w in (PIECES.findall(part) if _ODD_SPACES.search(part) else part.split())]
+        return _joined(got)
 
     def encode(self, text: str) -> list[int]:
         joined = self.encode_joined(text)[0]
