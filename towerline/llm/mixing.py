@@ -183,26 +183,36 @@ def fit_rates(table: DataFrame, targets: list[float], *, max_rate: float | None
         got = rows.agg(*[F.sum(x * t * q).alias(f"s{n}_{i}") for n, x in enumerate(rates) for i, q in enumerate(p)]).first()
         return [goal - np.array([got[f"s{n}_{i}"] or 0.0 for i in range(k)]) for n in range(len(rates))]
 
+    def beside(rows: DataFrame, **vectors) -> DataFrame:
+        """rows with vectors as columns of arrays.  As data and not as literals they leave the
+        code of an iteration as that of the one before, so that it is compiled once."""
+        one = rows.sparkSession.createDataFrame([tuple([float(x) for x in v] for v in vectors.values())], ", ".join(f"{c} array<double>" for c in vectors))
+        return rows.crossJoin(F.broadcast(one))
+
+    def dot(v: str) -> Column:
+        return sum((q * F.element_at(v, i + 1) for i, q in enumerate(p)), F.lit(0.0))
+
     now = table.select("__tokens", "__posterior", F.lit(min(1.0, most)).alias("__r"))
     gap = gaps(now, [r])[0]
     for _ in range(iterations):
         if np.linalg.norm(gap) / scale < TOLERANCE:
             break
-        along = _dot(p, gap)
+        along = dot("__gap")
         free = F.when(_held(r, along, most), 0.0).otherwise(t)
-        got = now.select(free.alias("__f"), "__posterior").agg(*[F.sum(F.col("__f") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
+        got = beside(now, __gap=gap).select(free.alias("__f"), "__posterior").agg(*[F.sum(F.col("__f") * p[i] * p[j]).alias(f"g{i}_{j}") for i in range(k) for j in range(i, k)]).first()
         gram = np.array([[got[f"g{min(i, j)}_{max(i, j)}"] or 0.0 for j in range(k)] for i in range(k)])
         longest = float(np.linalg.eigvalsh(gram)[-1])
         if longest <= 0:
             break
         scaled = np.linalg.pinv(gram, rcond=1e-10) @ gap
         tries = [part * scaled for part in PARTS] + [part * gap / longest for part in (1.0, 4.0, 16.0)]
-        left = gaps(now, [_moved(r, along, _dot(p, m), most) for m in tries])
+        moves = {f"__m{n}": m for n, m in enumerate(tries)}
+        left = gaps(beside(now, __gap=gap, **moves), [_moved(r, along, dot(m), most) for m in moves])
         best = int(np.argmin([np.linalg.norm(x) for x in left]))
         if np.linalg.norm(left[best]) > np.linalg.norm(gap) * (1 - 1e-6):
             break
         steps.append(Step(gap.tolist(), tries[best].tolist()))
-        now = durable(now.select("__tokens", "__posterior", _moved(r, along, _dot(p, tries[best]), most).alias("__r")))
+        now = durable(beside(now, __gap=gap, __move=tries[best]).select("__tokens", "__posterior", _moved(r, along, dot("__move"), most).alias("__r")))
         gap = left[best]
     return steps
 
