@@ -82,16 +82,25 @@ def silver_rows(measurements: DataFrame, granularity_min: int, names: list[str],
     return measurements.filter((F.col("granularity_min") == granularity_min) & F.col("measurement").isin(names) & (F.col("period_start") >= F.lit(lo)) & (F.col("period_start") < F.lit(hi)))
 
 
+def _ranked(rows: DataFrame, column: str) -> tuple[DataFrame, Column]:
+    """A text of few distinct values as its rank among them, and the text of the rank that a
+    column of that name holds: the least of numbers lets Spark hash sums instead of sorting."""
+    values = rows.agg(F.array_sort(F.collect_set(column))).scalar()
+    return rows.withColumn(column, F.array_position(values, F.col(column))), F.element_at(values, F.col(column).cast("int")).alias(column)
+
+
 def cell_counters(rows: DataFrame, cells: DataFrame, technology: str) -> DataFrame:
     """Long to wide: sums of each counter for a cell and period; reported: any value is
     there; suspect: any value is flagged."""
     wanted = cells.filter(F.col("technology") == technology).select("ems", "dn", "cell_name")
     sums = [F.sum(F.when(F.col("measurement") == m, F.col("value"))).alias(c) for c, m in COUNTERS[technology].items()]
-    return (
+    rows, vendor = _ranked(rows, "vendor")
+    out = (
         rows.join(wanted, (rows["ems"] == wanted["ems"]) & (rows["cell_dn"] == wanted["dn"]))
         .groupBy("cell_name", "period_start")
         .agg(F.min("vendor").alias("vendor"), *sums, (F.count("value") > 0).alias("reported"), F.bool_or("suspect").alias("suspect"))
     )
+    return out.select(*[vendor if c == "vendor" else c for c in out.columns])
 
 
 def distribution_moments(rows: DataFrame, measurement: str) -> DataFrame:
@@ -112,10 +121,12 @@ def window_sums(counters: DataFrame, technology: str, granularity: str) -> DataF
         sums += [F.sum("prb_pct").alias("prb_sum"), F.count("prb_pct").alias("prb_n")]
     if "unavail_s" in have:
         sums += [F.sum("unavail_s").alias("unavail_s"), F.count("unavail_s").alias("unavail_n")]
-    return (
+    counters, vendor = _ranked(counters, "vendor")
+    out = (
         counters.groupBy("cell_name", bucket(F.col("period_start"), granularity).alias("period"))
         .agg(F.min("vendor").alias("vendor"), *sums, F.count_if("reported").alias("periods_reported"), F.count_if(F.col("reported") & F.col("suspect")).alias("periods_suspect"))
     )
+    return out.select(*[vendor if c == "vendor" else c for c in out.columns])
 
 
 def week_sums(days: DataFrame) -> DataFrame:
@@ -129,8 +140,9 @@ def wanted(technology: str, versions: dict[str, list[int]] | None = None, only:
     return [k for k in CATALOG if k.technology == technology and k.version in (versions or {}).get(k.kpi_id, [1]) and only in (None, k.kpi_id)]
 
 
-def kpi_rows(sums: DataFrame, specs: list[Kpi], expected: int) -> DataFrame:
-    """One row for each window and KPI whose counters are there, all specs in one pass."""
+def kpi_rows(sums: DataFrame, specs: list[Kpi], expected: int, digits: int | None = None) -> DataFrame:
+    """One row for each window and KPI whose counters are there, all specs in one pass.
+    Shares of periods are worked out (and with digits rounded) once for each window."""
     row = [
         F.when(
             k.emitted(),
@@ -142,17 +154,18 @@ def kpi_rows(sums: DataFrame, specs: list[Kpi], expected: int) -> DataFrame:
         )
         for k in specs
     ]
-    out = sums.withColumn("x", F.explode(F.array_compact(F.array(*row))))
-    return out.select(
-        "cell_name", "period", "vendor", "x.*", F.lit(expected).alias("periods_expected"), "periods_reported",
-        (F.col("periods_reported") / F.lit(expected)).alias("coverage"),
-        (F.col("periods_suspect") / F.nullif(F.col("periods_reported"), F.lit(0))).alias("suspect_share"),
+    share = lambda c: c if digits is None else F.round(c, digits)
+    windows = sums.select(
+        "cell_name", "period", "vendor", "periods_reported", share(F.col("periods_reported") / F.lit(expected)).alias("coverage"),
+        share(F.col("periods_suspect") / F.nullif(F.col("periods_reported"), F.lit(0))).alias("suspect_share"), F.array(*row).alias("x"),
     )
+    out = windows.withColumn("x", F.explode("x")).filter("x is not null")
+    return out.select("cell_name", "period", "vendor", "x.*", F.lit(expected).alias("periods_expected"), "periods_reported", "coverage", "suspect_share")
 
 
-def kpi_table(counters: DataFrame, technology: str, granularity: str, *, versions: dict[str, list[int]] | None = None, only: str | None = None, minutes: int = 15, specs: list[Kpi] | None = None) -> DataFrame:
+def kpi_table(counters: DataFrame, technology: str, granularity: str, *, versions: dict[str, list[int]] | None = None, only: str | None = None, minutes: int = 15, specs: list[Kpi] | None = None, digits: int | None = None) -> DataFrame:
     specs = specs if specs is not None else wanted(technology, versions, only)
-    return kpi_rows(window_sums(counters, technology, granularity), specs, periods_expected(granularity, minutes))
+    return kpi_rows(window_sums(counters, technology, granularity), specs, periods_expected(granularity, minutes), digits)
 
 
 def kpi_catalog(spark: SparkSession, specs: tuple[Kpi, ...] = CATALOG, revised_from: str | None = None) -> DataFrame:
@@ -181,20 +194,53 @@ def worst_cells_week(days: DataFrame, weeks: DataFrame, catalog: DataFrame, *, p
     limits = F.broadcast(catalog.filter("breach_threshold is not null").select("kpi_id", "formula_version", "better", "breach_threshold"))
     keys = ["kpi_id", "formula_version"]
 
-    def beyond(value: Column) -> Column:
-        gap = F.col("breach_threshold") - value
-        return F.when(F.col("better") == "higher", gap).otherwise(-gap)
-
     judged = days.filter((F.col("coverage") >= min_coverage) & F.col("value").isNotNull()).join(limits, keys)
     counted = judged.groupBy(F.date_trunc("week", "day").cast("date").alias("week_start"), *keys, "cell_name", "better", "breach_threshold").agg(
-        F.count("*").alias("days_judged"), F.count_if(beyond(F.col("value")) > 0).alias("breach_days")
+        F.count("*").alias("days_judged"), F.count_if(_beyond(F.col("value")) > 0).alias("breach_days")
     )
     weekly = weeks.select("week_start", *keys, "cell_name", F.col("value").alias("week_value"))
+    rows = counted.filter(F.col("breach_days") >= persistence_n).join(weekly, ["week_start", *keys, "cell_name"], "left")
+    return _by_rank(rows, persistence_n, persistence_m)
+
+
+def _beyond(value: Column) -> Column:
+    """How far a value is beyond the threshold of its row."""
+    gap = F.col("breach_threshold") - value
+    return F.when(F.col("better") == "higher", gap).otherwise(-gap)
+
+
+def _by_rank(rows: DataFrame, persistence_n: int, persistence_m: int) -> DataFrame:
+    keys = ["kpi_id", "formula_version"]
     order = Window.partitionBy("week_start", *keys).orderBy(F.desc("breach_days"), F.col("margin").desc_nulls_last(), "cell_name")
     return (
-        counted.filter(F.col("breach_days") >= persistence_n)
-        .join(weekly, ["week_start", *keys, "cell_name"], "left")
-        .withColumn("margin", beyond(F.col("week_value")))
+        rows.withColumn("margin", _beyond(F.col("week_value")))
         .withColumn("rank", F.row_number().over(order).cast("long"))
         .select("week_start", *keys, "cell_name", "days_judged", "breach_days", F.lit(persistence_n).alias("persistence_n"), F.lit(persistence_m).alias("persistence_m"), "week_value", "breach_threshold", "better", "rank")
     )
+
+
+def worst_cells_of_sums(days: DataFrame, specs: list[Kpi], *, minutes: int = 15, persistence_n: int = 3, persistence_m: int = 7, min_coverage: float = 0.8, digits: int | None = None) -> DataFrame:
+    """`worst_cells_week` out of the sums of days: a cell's week is one row, with its sums and
+    the days judged and breached for each KPI, so no day has a row for each KPI and nothing
+    is joined.  digits: those of a day's value."""
+    judged = [k for k in specs if k.breach is not None]
+    covered = F.col("periods_reported") / F.lit(periods_expected("day", minutes)) >= min_coverage
+    counts = []
+    for i, k in enumerate(judged):
+        value = k.value() if digits is None else F.round(k.value(), digits)
+        gap = F.lit(k.breach) - value if k.better == "higher" else value - F.lit(k.breach)
+        counts += [(f"__gap{i}", F.when(covered & k.emitted(), gap))]
+    sums = [F.sum(c).alias(c) for c in days.columns if c not in ("cell_name", "period", "vendor")]
+    per_day = days.select(*[c for c in days.columns if c != "vendor"], *[c.alias(n) for n, c in counts])
+    weeks = per_day.groupBy("cell_name", F.date_trunc("week", "period").cast("date").alias("week_start")).agg(
+        *sums, *[F.count(n).alias(n) for n, _ in counts], *[F.count_if(F.col(n) > 0).alias(n.replace("gap", "beyond")) for n, _ in counts]
+    )
+    row = [
+        F.when(F.col(f"__beyond{i}") >= persistence_n, F.struct(
+            F.lit(k.kpi_id).alias("kpi_id"), F.lit(k.version).alias("formula_version"), F.lit(k.better).alias("better"), F.lit(k.breach).alias("breach_threshold"),
+            F.col(f"__gap{i}").alias("days_judged"), F.col(f"__beyond{i}").alias("breach_days"), F.when(k.emitted(), k.value()).alias("week_value"),
+        ))
+        for i, k in enumerate(judged)
+    ]
+    rows = weeks.select("cell_name", "week_start", F.explode(F.array(*row)).alias("x")).filter("x is not null and x.days_judged > 0").select("cell_name", "week_start", "x.*")
+    return _by_rank(rows, persistence_n, persistence_m)

@@ -132,10 +132,10 @@ def kpi_sql(keys, granularity: str, minutes: int = 15, digits: int = 9) -> str:
 
 def kpi_query(technology: str, granularity: str, only: str | None = None, versions=None, minutes: int = 15):
     def make(v: Views):
-        table = kpis.kpi_table(v.wide(), technology, granularity, versions=versions, only=only, minutes=minutes).drop("numerator", "denominator")
+        table = kpis.kpi_table(v.wide(), technology, granularity, versions=versions, only=only, minutes=minutes, digits=9).drop("numerator", "denominator")
         # throughputs are large: as many digits as a double holds of them
-        value = F.when(F.col("kpi_id") == "LTE_IP_THP_DL", F.round("value", 5)).otherwise(F.col("value"))
-        return rounded(table.withColumn("value", value), 9)
+        value = F.when(F.col("kpi_id") == "LTE_IP_THP_DL", F.round("value", 5)).otherwise(F.round("value", 9))
+        return table.withColumn("value", value)
 
     return make
 
@@ -181,11 +181,7 @@ register("d31_reprocess_window", lambda v: rounded(_reprocessed(v).groupBy("peri
 
 
 def worst(v: Views, n: int = 1, floor: float = 0.0):
-    sums = kpis.window_sums(v.wide(), "GSM", "day")
-    rows = lambda s, g: kpis.kpi_rows(s, kpis.wanted("GSM"), kpis.periods_expected(g, 15))
-    days = rows(sums, "day").withColumnRenamed("period", "day").withColumn("value", F.round("value", 9))
-    weeks = rows(kpis.week_sums(sums), "week").withColumnRenamed("period", "week_start")
-    return kpis.worst_cells_week(days, weeks, kpis.kpi_catalog(v.spark), persistence_n=n, min_coverage=floor)
+    return kpis.worst_cells_of_sums(kpis.window_sums(v.wide(), "GSM", "day"), kpis.wanted("GSM"), persistence_n=n, min_coverage=floor, digits=9)
 
 
 _GSM = [(k, ver) for k, ver in FORMULA if k.startswith("GSM")]
@@ -204,11 +200,14 @@ register("d37_network_throughput", lambda v: rounded(network.network_throughput(
 register("d38_coverage_summary", lambda v: network.coverage_summary(kpis.kpi_table(v.wide(), "LTE", "day")), with_views("wide", body=f", {sums_sql('day')} SELECT count(*) AS cell_days, count(*) FILTER (WHERE periods_reported < 96) AS below_full, count(*) FILTER (WHERE periods_suspect > 0) AS with_suspect FROM agg"))
 
 
+_REFERENCE = ["LTE_RRC_SSR", "LTE_ERAB_DROP", "LTE_PRB_UTIL"]
+
+
 def reference_day(v: Views):
     """Daily KPIs worked out straight from the counters, not by the specs."""
     w = v.wide().withColumn("period", (F.col("period_start") + F.expr("interval 7 hours")).cast("date"))
     g = w.groupBy("cell_name", "period").agg(F.try_divide(F.sum("rrc_succ") * 100, F.sum("rrc_att")).alias("LTE_RRC_SSR"), F.try_divide(F.sum("erab_rel") * 100, F.sum("erab_succ")).alias("LTE_ERAB_DROP"), F.avg("prb_pct").alias("LTE_PRB_UTIL"))
-    return g.unpivot(["cell_name", "period"], ["LTE_RRC_SSR", "LTE_ERAB_DROP", "LTE_PRB_UTIL"], "kpi_id", "value").withColumn("formula_version", F.lit(1))
+    return g.unpivot(["cell_name", "period"], _REFERENCE, "kpi_id", "value").withColumn("formula_version", F.lit(1))
 
 
 register("d40_compare", lambda v: network.compare(kpis.kpi_table(v.wide(), "LTE", "day"), reference_day(v)).select("kpi_id", "compared", "agreeing", "missing"),
