@@ -18,6 +18,12 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["d04_gsm_cell_15m"])
+def test_window_sums_are_hashed(spark, name):
+    text = plan(plans.QUERIES[name](spark, SF))
+    assert "HashAggregate" in text and "SortAggregate" not in text and "filter(array(" not in text
+
+
 def test_least_vendor_of_a_window(spark):
     rows = [("c", "b", 1.0), ("c", None, 2.0), ("c", "ab", 4.0), ("d", None, 8.0), ("e", "b", 16.0)]
     wide = spark.createDataFrame(rows, "cell_name string, vendor string, tch_req double").selectExpr("*", "timestamp_ntz'2024-03-01 00:00:00' as period_start", "true as reported", "false as suspect")
