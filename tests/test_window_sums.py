@@ -51,3 +51,11 @@ def test_worst_cells_of_sums_are_those_of_rows(spark, n, floor):
     fixed = lambda df: sorted(repr(tuple(round(x, 6) if isinstance(x, float) else x for x in r)) for r in df.collect())
     assert fixed(got) == fixed(want) and got.count() > 100
     sums.unpersist()
+
+
+def test_compare_takes_what_the_reference_has(spark, monkeypatch):
+    seen = []
+    compare = network.compare
+    monkeypatch.setattr(network, "compare", lambda gold_, ref, **kw: (seen.append(gold_), compare(gold_, ref, **kw))[1])
+    assert plans.QUERIES["d40_compare"](spark, SF).count() == len(gold._REFERENCE)
+    assert {r[0] for r in seen[0].select("kpi_id").distinct().collect()} == set(gold._REFERENCE)

@@ -210,7 +210,7 @@ def reference_day(v: Views):
     return g.unpivot(["cell_name", "period"], _REFERENCE, "kpi_id", "value").withColumn("formula_version", F.lit(1))
 
 
-register("d40_compare", lambda v: network.compare(kpis.kpi_table(v.wide(), "LTE", "day"), reference_day(v)).select("kpi_id", "compared", "agreeing", "missing"),
+register("d40_compare", lambda v: network.compare(kpis.kpi_table(v.wide(), "LTE", "day", specs=[k for k in kpis.wanted("LTE") if k.kpi_id in _REFERENCE]), reference_day(v)).select("kpi_id", "compared", "agreeing", "missing"),
          with_views("wide", body=", n AS (SELECT count(*) AS n FROM (SELECT DISTINCT cell_name, (period_start + INTERVAL 7 HOUR)::DATE FROM wide)) SELECT unnest(['LTE_RRC_SSR', 'LTE_ERAB_DROP', 'LTE_PRB_UTIL']) AS kpi_id, n AS compared, n AS agreeing, 0::BIGINT AS missing FROM n"))
 register("d41_reference_day", lambda v: rounded(reference_day(v).select("cell_name", "period", "kpi_id", "value")),
          with_views("wide", body=", g AS (SELECT cell_name, (period_start + INTERVAL 7 HOUR)::DATE AS period, 100 * sum(rrc_succ) / nullif(sum(rrc_att), 0) AS a, 100 * sum(erab_rel) / nullif(sum(erab_succ), 0) AS b, avg(prb_pct) AS c FROM wide GROUP BY 1, 2) SELECT cell_name, period, 'LTE_RRC_SSR' AS kpi_id, round(a, 6) AS value FROM g UNION ALL SELECT cell_name, period, 'LTE_ERAB_DROP', round(b, 6) FROM g UNION ALL SELECT cell_name, period, 'LTE_PRB_UTIL', round(c, 6) FROM g"))
