@@ -59,3 +59,27 @@ def test_compare_takes_what_the_reference_has(spark, monkeypatch):
     monkeypatch.setattr(network, "compare", lambda gold_, ref, **kw: (seen.append(gold_), compare(gold_, ref, **kw))[1])
     assert plans.QUERIES["d40_compare"](spark, SF).count() == len(gold._REFERENCE)
     assert {r[0] for r in seen[0].select("kpi_id").distinct().collect()} == set(gold._REFERENCE)
+
+
+def test_conflicts_read_values_once(spark):
+    text = plan(plans.QUERIES["c05_with_conflict"](spark, SF))
+    assert text.count("l_suppkey") and text.count("FileScan parquet [l_") <= 3
+
+
+def test_conflicts_are_those_of_joins(spark):
+    x, y, n = 1.0, 2.0, None
+    values = [("e", "f", h, k, v) for k, vs in enumerate([(x, x, x), (x, x, y), (y, x, x), (n, x, x), (x, n, x), (n, n, n), (n, n, x), (float("nan"), float("nan"), x)]) for h, v in zip("abc", vs, strict=True)]
+    values += [("e", "f", "a", 20, x), ("e", "f", "c", 21, x), ("e", "f", "a", None, x), ("e", "f", "c", None, y), ("e", "g", "a", 1, x), ("e", "g", "c", 1, y), ("e", "h", "a", 1, x), ("e", None, "a", 1, x)]
+    v = spark.createDataFrame(values, "ems string, file_name string, file_hash string, k int, value double")
+    s = spark.createDataFrame([("e", "f", "c", 3, True), ("e", "g", "a", 1, False), ("e", "h", None, 0, False)], "ems string, file_name string, latest_hash string, versions int, late boolean")
+    want = set()
+    for e, f, h, k, a in values:
+        for e2, f2, h2, k2, b in values:
+            same = a == b or (a != a and b != b and a is not None and b is not None)
+            if f == f2 == "f" and k is not None and k == k2 and h == "c" and h2 != "c" and not same:
+                want.add(k)
+    found = quality.conflicts(v, s, ["k"])
+    assert sorted(r["k"] for r in found.collect()) == sorted(want) and len(want) > 2
+    plain = quality.with_conflict(quality.latest_version(v, s), found, ["k"])
+    one = quality.latest_with_conflict(v, s, ["k"]).select(*plain.columns)
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, plain.collect()))
