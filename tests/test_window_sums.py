@@ -33,7 +33,7 @@ def test_least_vendor_of_a_window(spark):
     assert [(r["vendor"], r["tch_req"]) for r in none] == [(None, 8.0)] and kpis.window_sums(wide.filter("false"), "GSM", "15m").count() == 0
 
 
-@pytest.mark.parametrize("name", ["d33_worst_cells_week"])
+@pytest.mark.parametrize("name", ["d33_worst_cells_week", "d39_worst_summary"])
 def test_worst_cells_join_nothing(spark, name):
     text = plan(plans.QUERIES[name](spark, SF))
     assert "Join" not in text and "SortAggregate" not in text
