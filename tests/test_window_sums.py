@@ -18,7 +18,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["d27_lte_kpi_hour", "d27_lte_kpi_day", "d27_gsm_kpi_15m", "d27_gsm_kpi_hour", "d04_gsm_cell_15m"])
+@pytest.mark.parametrize("name", ["d27_lte_kpi_hour", "d27_lte_kpi_day", "d27_gsm_kpi_15m", "d27_gsm_kpi_hour", "d27_gsm_kpi_day", "d04_gsm_cell_15m"])
 def test_window_sums_are_hashed(spark, name):
     text = plan(plans.QUERIES[name](spark, SF))
     assert "HashAggregate" in text and "SortAggregate" not in text and "filter(array(" not in text
