@@ -85,3 +85,15 @@ def test_old_files_go_and_the_ledger_stays(spark, tmp_path):
     assert gone == {date(2024, 1, d) for d in range(1, 7)}
     left = {p.parent.name for p in tmp_path.rglob("part-*.parquet") if p.parent.name.startswith("day=")}
     assert left == {f"day=2024-01-{d:02d}" for d in range(7, 11)} and loads.ledger(spark).count() == 10
+
+
+def test_first_rows_of_keys_are_told_apart_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest.F, "count_distinct", lambda *_: pytest.fail("keys are distinct already"))
+    loads, out = ingest.Loads(str(tmp_path / "loads"), ["a", "b"]), []
+    each = loads.only_new(lambda rows, i: out.extend(map(tuple, rows.select("a", "b").collect())))
+    rows = lambda *r: spark.createDataFrame(r, "a string, b int")
+    each(rows(("x", 1), ("x", 1), ("y", None)), 0)
+    each(rows(("x", 1), ("y", None), ("z", 2), ("z", 2)), 1)
+    each(rows(("w", 3)), 1)
+    assert sorted(out, key=str) == [("x", 1), ("y", None), ("z", 2)]
+    assert sorted((r["batch"], r["rows"], r["keys"]) for r in loads.log(spark).collect()) == [(0, 2, 2), (1, 1, 1)]

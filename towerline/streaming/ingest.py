@@ -125,14 +125,16 @@ class Loads:
             same = F.lit(True)
             for k in self.keys:
                 same = same & F.col(f"b.{k}").cast("string").eqNullSafe(F.col(f"t.{k}"))
-            taken = self.ledger(spark).select(*self.keys).distinct()
+            taken = self.ledger(spark).select(*self.keys)
             new = named.alias("b").join(taken.alias("t"), same, "left_anti")
             new = (new.dropDuplicates(self.keys) if first else new).persist()
             try:
                 each(new, batch_id)
-                mine = new.select(*[F.col(k).cast("string").alias(k) for k in self.keys]).distinct()
+                mine = new.select(*[F.col(k).cast("string").alias(k) for k in self.keys])
+                mine = mine if first else mine.distinct()
                 mine.write.mode("overwrite").parquet(f"{self.path}/ledger/batch={batch_id}")
-                done = new.agg(F.count("*").alias("rows"), F.count_distinct(F.struct(*self.keys)).alias("keys"))
+                keys = F.count("*") if first else F.count_distinct(F.struct(*self.keys))
+                done = new.agg(F.count("*").alias("rows"), keys.alias("keys"))
                 done.select("rows", "keys", F.current_timestamp().alias("committed")).write.mode("overwrite").parquet(f"{self.path}/log/batch={batch_id}")
             finally:
                 new.unpersist()
