@@ -5,6 +5,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from towerline import plans
 from towerline.operators import space
@@ -103,3 +104,9 @@ def test_a_crowd_asks_once_for_its_neighbours(spark, monkeypatch):
     sites = spark.range(4001).selectExpr("id as site", "cast(if(id = 4000, 9, id % 4) as double) as x", "0.0 as y")
     got = {r["km"]: r["count"] for r in space.nearest_other(sites).groupBy("km").count().collect()}
     assert got == {0.0: 4000, 6.0: 1} and sum(met) <= 300
+
+
+@pytest.mark.parametrize("name", ["h17_coverage", "h18_serves", "h15_profile"])
+def test_pairs_are_spread_in_all_tasks(spark, crowd, name):
+    rows = plans.QUERIES[name](spark, crowd[0])
+    assert rows.select(F.spark_partition_id()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
