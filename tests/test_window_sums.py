@@ -24,6 +24,22 @@ def test_window_sums_are_hashed(spark, name):
     assert "HashAggregate" in text and "SortAggregate" not in text and "filter(array(" not in text
 
 
+def test_long_rows_are_summed_before_they_meet_cells(spark):
+    lines = plan(plans.QUERIES["d04_gsm_cell_15m"](spark, SF)).splitlines()
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning(" in line and ("cell_dn#" in line or "__dn#" in line)]
+    assert below and all("HashAggregate" in line for line in below)
+
+
+def test_cells_of_several_entries_are_summed_again(spark):
+    a, b = kpis.GSM_COUNTERS["tch_req"], kpis.GSM_COUNTERS["ho_in"]
+    rows = [("e", "d1", a, 1.0, "v", False), ("e", "d1", b, 2.0, "v", None), ("e", "d2", a, 4.0, "u", True), ("e", "d3", a, 8.0, "w", False), ("e", "d3", "else", 16.0, "w", True), ("f", "d3", a, 32.0, "w", False), ("e", "d4", a, None, None, None), (None, "d1", a, 64.0, "a", True)]
+    rows = spark.createDataFrame(rows, "ems string, cell_dn string, measurement string, value double, vendor string, suspect boolean").selectExpr("*", "timestamp_ntz'2024-03-01 00:00:00' as period_start")
+    cells = [("e", "d1", "c", "GSM"), ("e", "d2", "c", "GSM"), ("e", "d3", "x", "GSM"), ("e", "d3", "y", "GSM"), ("e", "d4", "z", "GSM"), ("f", "d3", "l", "LTE"), (None, "d1", "n", "GSM")]
+    got = kpis.cell_counters(rows, spark.createDataFrame(cells, "ems string, dn string, cell_name string, technology string"), "GSM").collect()
+    want = {"c": (5.0, 2.0, "u", True, True), "x": (8.0, None, "w", True, True), "y": (8.0, None, "w", True, True), "z": (None, None, None, False, None)}
+    assert len(got) == len(want) and {r["cell_name"]: (r["tch_req"], r["ho_in"], r["vendor"], r["reported"], r["suspect"]) for r in got} == want
+
+
 def test_least_vendor_of_a_window(spark):
     rows = [("c", "b", 1.0), ("c", None, 2.0), ("c", "ab", 4.0), ("d", None, 8.0), ("e", "b", 16.0)]
     wide = spark.createDataFrame(rows, "cell_name string, vendor string, tch_req double").selectExpr("*", "timestamp_ntz'2024-03-01 00:00:00' as period_start", "true as reported", "false as suspect")

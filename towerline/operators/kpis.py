@@ -91,16 +91,20 @@ def _ranked(rows: DataFrame, column: str) -> tuple[DataFrame, Column]:
 
 def cell_counters(rows: DataFrame, cells: DataFrame, technology: str) -> DataFrame:
     """Long to wide: sums of each counter for a cell and period; reported: any value is
-    there; suspect: any value is flagged."""
-    wanted = cells.filter(F.col("technology") == technology).select("ems", "dn", "cell_name")
-    sums = [F.sum(F.when(F.col("measurement") == m, F.col("value"))).alias(c) for c, m in COUNTERS[technology].items()]
+    there; suspect: any value is flagged.
+
+    Rows are summed by their own keys, which leaves one of all measurements, before they meet
+    the inventory.  Only cells of several entries in it are then summed again."""
+    names = list(COUNTERS[technology])
+    wanted = cells.filter(F.col("technology") == technology).select("ems", "dn", "cell_name", (F.count("*").over(Window.partitionBy("cell_name")) == 1).alias("__alone"))
     rows, vendor = _ranked(rows, "vendor")
-    out = (
-        rows.join(wanted, (rows["ems"] == wanted["ems"]) & (rows["cell_dn"] == wanted["dn"]))
-        .groupBy("cell_name", "period_start")
-        .agg(F.min("vendor").alias("vendor"), *sums, (F.count("value") > 0).alias("reported"), F.bool_or("suspect").alias("suspect"))
-    )
-    return out.select(*[vendor if c == "vendor" else c for c in out.columns])
+    least = lambda: [F.min("vendor").alias("vendor"), F.bool_or("suspect").alias("suspect")]
+    sums = [F.sum(F.when(F.col("measurement") == m, F.col("value"))).alias(c) for c, m in COUNTERS[technology].items()]
+    per = rows.groupBy(F.col("ems").alias("__ems"), F.col("cell_dn").alias("__dn"), "period_start").agg(*least(), *sums, F.count("value").alias("__n"))
+    met = per.join(wanted, (F.col("__ems") == F.col("ems")) & (F.col("__dn") == F.col("dn")))
+    out = ["cell_name", "period_start", "vendor", *names, "suspect", "__n"]
+    again = met.filter(~F.col("__alone")).groupBy("cell_name", "period_start").agg(*least(), *[F.sum(c).alias(c) for c in names], F.sum("__n").alias("__n"))
+    return met.filter("__alone").select(*out).unionByName(again).select("cell_name", "period_start", vendor, *names, (F.col("__n") > 0).alias("reported"), "suspect")
 
 
 def distribution_moments(rows: DataFrame, measurement: str) -> DataFrame:
