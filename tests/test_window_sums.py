@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from towerline import plans
 from towerline.operators import kpis, network, quality
-from towerline.plans import gold
+from towerline.plans import gold, sources
 from towerline.plans.views import Views
 
 SF = "/root/testdata/sf0.001"
@@ -99,3 +99,22 @@ def test_conflicts_are_those_of_joins(spark):
     plain = quality.with_conflict(quality.latest_version(v, s), found, ["k"])
     one = quality.latest_with_conflict(v, s, ["k"]).select(*plain.columns)
     assert sorted(map(repr, one.collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_collections_are_made_once(spark, monkeypatch):
+    """For the number of files they are not counted but estimated."""
+    hours = sources._hours
+
+    class Uncounted:
+        def __init__(self, df):
+            self.df = df
+
+        def __getattr__(self, name):
+            assert name != "count"
+            return getattr(self.df, name)
+
+    monkeypatch.setattr(sources, "_hours", lambda v: Uncounted(hours(v)))
+    v = Views(spark, SF)
+    path, n = sources.pm_files(v, True), hours(v).count()
+    assert abs(sources._about(v) / n - 1) < 0.1
+    assert spark.read.text(path).select(F.regexp_count("value", F.lit("<measCollecFile>")).alias("n")).agg(F.sum("n")).first()[0] == n

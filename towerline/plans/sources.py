@@ -42,11 +42,17 @@ def _pm_text(positional: bool):
 PER_FILE = 500
 
 
+def _about(v: Views) -> int:
+    """How many collections there are, about: for the number of files they need not be made."""
+    hour = F.date_trunc("hour", "period_start").alias("hour")
+    return v.bronze().select("ems", "cell_name", hour).agg(F.approx_count_distinct(F.struct(*_PER), 0.02)).first()[0]
+
+
 def _written(v: Views, text, name: str = "pm", packed: bool = True) -> str:
     """Files of about ``PER_FILE`` collections with a root around them, with gzip or plain."""
     path = scratch_path(v.spark, name)
     hours = _hours(v)
-    n = max(hours.count() // PER_FILE, 1)
+    n = max(_about(v) // PER_FILE, 1)
     whole = F.concat(F.lit("<files>"), F.array_join(F.collect_list("t"), ""), F.lit("</files>")).alias("value")
     files_ = hours.select(F.pmod(F.xxhash64(*_PER), F.lit(n)).alias("k"), text.alias("t")).groupBy("k").agg(whole).drop("k")
     files_.write.option("maxRecordsPerFile", 1).option("compression", "gzip" if packed else "none").text(path)
