@@ -219,6 +219,27 @@ def test_quality_rules_are_the_definition(spark, most_grams, monkeypatch):
         assert got[i]["log_perplexity"] is v is None or got[i]["log_perplexity"] == pytest.approx(v, abs=1e-5)
 
 
+def shuffled_bytes(spark):
+    found = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+    return sum(found.apply(i).totalShuffleWrite() for i in range(found.size()))
+
+
+def test_models_in_pieces_shuffle_no_text(spark, monkeypatch, tmp_path):
+    """All documents, whatever lands in a piece; n-grams of the texts stay where they are."""
+    rnd = random.Random(8)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 6))) for _ in range(60)]
+    data = [(i, "ab"[i % 2], " ".join(rnd.choice(words) for _ in range(800))) for i in range(300)]
+    df = spark.createDataFrame(data + data[:40], "doc_id long, lang string, text string").repartition(3)
+    df.write.parquet(path := f"{tmp_path}/docs")
+    df = spark.read.parquet(path)
+    want = sorted((r["doc_id"], r["kept"], round(r["log_perplexity"], 6)) for r in perplexity.judge_documents(df).collect())
+    monkeypatch.setattr(perplexity, "PER_BUCKET", 2000)
+    before = shuffled_bytes(spark)
+    got = sorted((r["doc_id"], r["kept"], round(r["log_perplexity"], 6)) for r in perplexity.judge_documents(df, most_grams=1).collect())
+    assert got == want
+    assert shuffled_bytes(spark) - before < sum(len(t) for *_, t in data)
+
+
 def test_quality_rules_odd_cases(odd, rows, empty):
     got = perplexity.judge_documents(odd).collect()
     assert len(got) == len(rows)
