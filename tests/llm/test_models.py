@@ -3,6 +3,7 @@ import os
 import random
 import re
 from collections import Counter
+from functools import partial
 
 import numpy as np
 import pytest
@@ -240,6 +241,22 @@ def test_models_in_pieces_shuffle_no_text(spark, monkeypatch, tmp_path):
     assert shuffled_bytes(spark) - before < sum(len(t) for *_, t in data)
 
 
+def test_documents_meet_verdicts_of_pieces(spark, monkeypatch, tmp_path):
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 6))) for _ in range(60)]
+    data = [(i, "ab"[i % 2] if i % 7 else None, " ".join(rnd.choice(words) for _ in range(600)), "clash") for i in range(300)] + [(300, "a", None, "x"), (None, "a", "", "x"), (301, "a", "loop " * 400, "x")]
+    spark.createDataFrame(data + data[:40], "doc_id long, lang string, text string, __key string").repartition(3).write.parquet(path := f"{tmp_path}/docs")
+    df = spark.read.parquet(path)
+    rows = lambda d: sorted(map(tuple, d.collect()), key=str)
+    want = rows(perplexity.filter_documents(df))
+    monkeypatch.setattr(perplexity, "fit", partial(perplexity.fit, most_grams=1))
+    monkeypatch.setattr(perplexity, "PER_BUCKET", 2000)
+    before = shuffled_bytes(spark)
+    got = perplexity.filter_documents(df)
+    assert got.columns == df.columns and rows(got) == want and 0 < len(want) < len(data) + 40
+    assert shuffled_bytes(spark) - before < 2 * sum(len(t or "") for _, _, t, _ in data)
+
+
 def test_quality_rules_odd_cases(odd, rows, empty):
     got = perplexity.judge_documents(odd).collect()
     assert len(got) == len(rows)
