@@ -110,3 +110,19 @@ def test_a_crowd_asks_once_for_its_neighbours(spark, monkeypatch):
 def test_pairs_are_spread_in_all_tasks(spark, crowd, name):
     rows = plans.QUERIES[name](spark, crowd[0])
     assert rows.select(F.spark_partition_id()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("name", ["h18_serves"])
+def test_pairs_are_not_shuffled(spark, crowd, name):
+    plan = plans.QUERIES[name](spark, crowd[0])._jdf.queryExecution().executedPlan().toString()
+    assert "Generate explode" in plan and "RoundRobinPartitioning" not in plan
+
+
+def test_a_hot_square_is_dealt_to_parts(spark, monkeypatch):
+    monkeypatch.setattr(space, "LEAST_WORK", 1)
+    left = spark.range(400).selectExpr("id as a", "array(id) as l", "if(id < 390, 0.5, id / 10.0) as x", "0.5 as y")
+    right = spark.range(30).selectExpr("id as b", "array(id, -id) as r", "id / 10.0 as rx", "0.6 as ry")
+    pairs = lambda df: sorted((r["a"], r["b"], round(r["km"], 9)) for r in df.select("a", "b", "km").collect())
+    got = space.within(left, right, 1.0, ids=("l", "r"))
+    assert pairs(got) == pairs(space.within(left, right, 1.0))
+    assert got.filter("a < 390").select(F.spark_partition_id()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
