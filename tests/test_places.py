@@ -112,7 +112,7 @@ def test_pairs_are_spread_in_all_tasks(spark, crowd, name):
     assert rows.select(F.spark_partition_id()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-@pytest.mark.parametrize("name", ["h05_received", "h07_layer_weights", "h18_serves"])
+@pytest.mark.parametrize("name", ["h05_received", "h07_layer_weights", "h17_coverage", "h18_serves"])
 def test_pairs_are_not_shuffled(spark, crowd, name):
     plan = plans.QUERIES[name](spark, crowd[0])._jdf.queryExecution().executedPlan().toString()
     assert "Generate explode" in plan and "RoundRobinPartitioning" not in plan
